@@ -14,7 +14,7 @@ from flowlake.functions.names import protocol_name, service_name
 from flowlake.functions.sizes import gigabytes, megabytes
 from flowlake.functions.times import bucket_end
 from flowlake.operators.rollup import pair_totals, roll_up
-from flowlake.operators.topk import latest_rows
+from flowlake.operators.topk import SINGLE_MERGE_BYTES, latest_rows
 
 # Row caps.
 TALKERS = 100
@@ -164,6 +164,9 @@ def traffic_by_hour(flows: DataFrame) -> DataFrame:
     )
 
 
-def recent_flows(flows: DataFrame, k: int = LATEST) -> DataFrame:
+def recent_flows(
+    flows: DataFrame, k: int = LATEST, single_merge: int = SINGLE_MERGE_BYTES
+) -> DataFrame:
+    """Latest flows; see ``latest_rows`` for ``single_merge``."""
     columns = [name.lstrip("-") for name in ORDER["recent_flows"]]
-    return latest_rows(flows, order_of("recent_flows"), k).select(*columns)
+    return latest_rows(flows, order_of("recent_flows"), k, single_merge).select(*columns)

@@ -1,8 +1,8 @@
-"""Additive totals per key, and totals of totals.
+"""Additive totals per key.
 
-The marts are sums, counts and distinct counts.  Grouped once by their finest
-key, the totals can be grouped again by a coarser one, so a refresh shuffles the
-flows once per family of marts instead of once per mart.
+Several marts are read off the same totals: a refresh writes those per source,
+per destination and per port once.  Totals per pair are not shared, as there may
+be nearly as many pairs as flows.
 """
 
 from __future__ import annotations
@@ -27,10 +27,16 @@ def roll_up(flows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def source_totals(flows: DataFrame) -> DataFrame:
+    return roll_up(flows, "src_addr")
+
+
+def destination_totals(flows: DataFrame) -> DataFrame:
+    return roll_up(flows, "dst_addr")
+
+
 def pair_totals(flows: DataFrame) -> DataFrame:
-    """Per (source, destination).  Counting the rows of one source counts its
-    distinct destinations, and a source with a third of all flows is spread
-    over the partitions by its destinations."""
+    """Per (source, destination)."""
     return roll_up(flows, "src_addr", "dst_addr")
 
 

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 from flowlake.functions.names import protocol_name, service_name
 from flowlake.functions.sizes import gigabytes, megabytes
 from flowlake.functions.times import bucket_end
-from flowlake.operators.rollup import pair_totals, roll_up
+from flowlake.operators.rollup import (
+    destination_totals,
+    pair_totals,
+    roll_up,
+    source_totals,
+)
 from flowlake.operators.topk import SINGLE_MERGE_BYTES, latest_rows
 
 # Row caps.
@@ -53,61 +58,82 @@ def order_of(mart: str) -> list[Column]:
     ]
 
 
-def overview_stats(flows: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """One row of totals."""
-    if pairs is None:
-        counted, first, last = F.count(F.lit(1)), F.min("received_at"), F.max("received_at")
-    else:
-        # The count of no rows is 0, the sum of no counts null.
-        counted = F.coalesce(F.sum("flows"), F.lit(0).cast("bigint"))
-        first, last = F.min("first_at"), F.max("last_at")
-    return (flows if pairs is None else pairs).agg(
-        counted.alias("total_flows"),
+def overview_stats(
+    flows: DataFrame, sources: DataFrame | None = None, destinations: DataFrame | None = None
+) -> DataFrame:
+    """One row of totals.
+
+    One pass per address column; the two passes read different columns.  Two
+    distinct counts in a single aggregate would triple every row instead.
+    """
+    sources = source_totals(flows) if sources is None else sources
+    destinations = destination_totals(flows) if destinations is None else destinations
+    return sources.agg(
+        # The sum of no counts is null, their number 0.
+        F.coalesce(F.sum("flows"), F.lit(0).cast("bigint")).alias("total_flows"),
         gigabytes(F.sum("bytes")).alias("total_gb"),
-        F.countDistinct("src_addr").alias("unique_sources"),
-        F.countDistinct("dst_addr").alias("unique_destinations"),
-        first.alias("start_time"),
-        last.alias("end_time"),
+        F.count("src_addr").alias("unique_sources"),
+        F.min("first_at").alias("start_time"),
+        F.max("last_at").alias("end_time"),
+    ).select(
+        "total_flows",
+        "total_gb",
+        "unique_sources",
+        destinations.agg(F.count("dst_addr")).scalar().alias("unique_destinations"),
+        "start_time",
+        "end_time",
+    )
+
+
+def _with_peers(flows: DataFrame, top: DataFrame, mart: str, peer: str, name: str) -> DataFrame:
+    """Add to each top row the number of distinct ``peer`` values of its key.
+
+    Distinct values are costly, so they are counted for the winners only.  The
+    winners (at most the cap of the mart) are broadcast to a second scan of two
+    columns; rows stay in their task, are deduplicated there, and the rows of
+    one hot key spread over the partitions by peer.
+    """
+    key = ORDER[mart][-1]
+    winners = F.broadcast(top.withColumnRenamed(key, "_key"))
+    return (
+        flows.select(key, peer)
+        .join(winners, F.col(key).eqNullSafe(F.col("_key")))
+        .groupBy(*top.columns)
+        .agg(F.countDistinct(peer).alias(name))
     )
 
 
 def top_talkers_by_bytes(
-    flows: DataFrame, pairs: DataFrame | None = None, k: int = TALKERS
+    flows: DataFrame, sources: DataFrame | None = None, k: int = TALKERS
 ) -> DataFrame:
-    return (
-        (pair_totals(flows) if pairs is None else pairs)
-        .groupBy("src_addr")
-        .agg(
-            megabytes(F.sum("bytes")).alias("mb"),
-            F.sum("packets").alias("packets"),
-            F.sum("flows").alias("flows"),
-            # Pairs are distinct already, so counting them counts destinations.
-            F.count("dst_addr").alias("unique_dsts"),
-        )
-        .orderBy(*order_of("top_talkers_by_bytes"))
+    order = order_of("top_talkers_by_bytes")
+    top = (
+        (source_totals(flows) if sources is None else sources)
+        .select("src_addr", megabytes(F.col("bytes")).alias("mb"), "packets", "flows")
+        .orderBy(*order)
         .limit(k)
     )
+    counted = _with_peers(flows, top, "top_talkers_by_bytes", "dst_addr", "unique_dsts")
+    return counted.orderBy(*order).limit(k)
 
 
 def top_destinations(
-    flows: DataFrame, pairs: DataFrame | None = None, k: int = DESTINATIONS
+    flows: DataFrame, destinations: DataFrame | None = None, k: int = DESTINATIONS
 ) -> DataFrame:
-    return (
-        (pair_totals(flows) if pairs is None else pairs)
-        .groupBy("dst_addr")
-        .agg(
-            megabytes(F.sum("bytes")).alias("mb"),
-            F.sum("flows").alias("flows"),
-            F.count("src_addr").alias("unique_sources"),
-        )
-        .orderBy(*order_of("top_destinations"))
+    order = order_of("top_destinations")
+    top = (
+        (destination_totals(flows) if destinations is None else destinations)
+        .select("dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows")
+        .orderBy(*order)
         .limit(k)
     )
+    counted = _with_peers(flows, top, "top_destinations", "src_addr", "unique_sources")
+    return counted.orderBy(*order).limit(k)
 
 
-def traffic_matrix(flows: DataFrame, pairs: DataFrame | None = None, k: int = PAIRS) -> DataFrame:
+def traffic_matrix(flows: DataFrame, k: int = PAIRS) -> DataFrame:
     return (
-        (pair_totals(flows) if pairs is None else pairs)
+        pair_totals(flows)
         .select("src_addr", "dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows")
         .orderBy(*order_of("traffic_matrix"))
         .limit(k)
@@ -139,26 +165,45 @@ def protocol_breakdown(flows: DataFrame, ports: DataFrame | None = None) -> Data
 def traffic_by_hour(flows: DataFrame) -> DataFrame:
     """Totals per hour, labelled by the end of the hour.
 
-    The two distinct counts run on (hour, address) after a map-side dedup, so
-    an hour with a third of all flows is spread over the partitions.
+    One pass per address column, as in the overview.  Groups are (hour, address)
+    first, so an hour with a third of all flows is spread over the partitions;
+    what meets per hour afterwards is one row per task.
     """
-    return (
-        flows.groupBy("received_hour")
+    by_source = (
+        flows.groupBy("received_hour", "src_addr")
         .agg(
-            gigabytes(F.sum("bytes")).alias("total_gb"),
-            F.count(F.lit(1)).alias("flow_count"),
-            # Exact integer sum over count; avg() would add doubles in task order.
-            F.try_divide(F.sum("bytes"), F.count("bytes")).alias("avg_bytes_per_flow"),
-            F.countDistinct("src_addr").alias("unique_sources"),
-            F.countDistinct("dst_addr").alias("unique_destinations"),
+            F.count(F.lit(1)).alias("flows"),
+            F.sum("bytes").alias("bytes"),
+            F.count("bytes").alias("sized"),
         )
+        .groupBy("received_hour")
+        .agg(
+            F.sum("flows").alias("flows"),
+            F.sum("bytes").alias("bytes"),
+            F.sum("sized").alias("sized"),
+            F.count("src_addr").alias("sources"),
+        )
+    )
+    by_destination = (
+        flows.select("received_hour", "dst_addr")
+        .distinct()
+        .groupBy("received_hour")
+        .agg(F.count("dst_addr").alias("destinations"))
+    )
+    # Each side has every hour once; null hours meet as well, unlike in a join.
+    names = ("flows", "bytes", "sized", "sources", "destinations")
+    return (
+        by_source.unionByName(by_destination, allowMissingColumns=True)
+        .groupBy("received_hour")
+        .agg(*[F.max(name).alias(name) for name in names])
         .select(
             bucket_end(F.col("received_hour")).alias("hour"),
-            "total_gb",
-            "flow_count",
-            "avg_bytes_per_flow",
-            "unique_sources",
-            "unique_destinations",
+            gigabytes(F.col("bytes")).alias("total_gb"),
+            F.col("flows").alias("flow_count"),
+            # Exact integer sum over count; avg() would add doubles in task order.
+            F.try_divide("bytes", "sized").alias("avg_bytes_per_flow"),
+            F.col("sources").alias("unique_sources"),
+            F.col("destinations").alias("unique_destinations"),
         )
         .orderBy(*order_of("traffic_by_hour"))
     )

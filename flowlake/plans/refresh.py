@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlake.operators.rollup import pair_totals, port_totals
+from flowlake.operators.rollup import destination_totals, port_totals, source_totals
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import marts, reports
 from flowlake.sources.files import write_table
@@ -15,19 +15,18 @@ from flowlake.sources.files import write_table
 def build_marts(decoded: DataFrame, root: str) -> dict[str, DataFrame]:
     """Rebuild every table under ``root`` from the decoded flows.
 
-    The wide flows are scanned four times, each time for few columns: by the
-    two totals, by the hourly mart, and by the latest rows, whose scan is cut
-    down by time.  The six other marts read the totals.  Every step starts from
-    written files.
+    Totals per source, per destination and per port are written once and serve
+    five of the marts.  Every step starts from written files.
     """
     flows = write_table(stage_flows(decoded), f"{root}/stg_flows")
-    pairs = write_table(pair_totals(flows), f"{root}/pair_totals")
+    sources = write_table(source_totals(flows), f"{root}/source_totals")
+    destinations = write_table(destination_totals(flows), f"{root}/destination_totals")
     ports = write_table(port_totals(flows), f"{root}/port_totals")
     tables = {
-        "overview_stats": marts.overview_stats(flows, pairs),
-        "top_talkers_by_bytes": marts.top_talkers_by_bytes(flows, pairs),
-        "top_destinations": marts.top_destinations(flows, pairs),
-        "traffic_matrix": marts.traffic_matrix(flows, pairs),
+        "overview_stats": marts.overview_stats(flows, sources, destinations),
+        "top_talkers_by_bytes": marts.top_talkers_by_bytes(flows, sources),
+        "top_destinations": marts.top_destinations(flows, destinations),
+        "traffic_matrix": marts.traffic_matrix(flows),
         "top_ports": marts.top_ports(flows, ports),
         "protocol_breakdown": marts.protocol_breakdown(flows, ports),
         "traffic_by_hour": marts.traffic_by_hour(flows),

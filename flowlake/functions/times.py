@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 def flow_time(nanos: Column) -> Column:
     """Timestamp of an epoch in nanoseconds.
 
-    Goes through double seconds and rounds halves to even, so the microsecond
-    shown for a flow equals what the DuckDB pipeline shows; truncating or
-    rounding halves up differs by 1 us on many rows.
+    Defined through double seconds, rounded half to even to microseconds;
+    truncating or rounding halves up differs by 1 us on many rows.
     """
     seconds = nanos.cast("double") / F.lit(1e9)
     return F.timestamp_micros(F.rint(seconds * F.lit(1e6)).cast("bigint"))

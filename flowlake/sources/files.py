@@ -15,6 +15,8 @@ EXPORT_PREFIX = "ipfix_"
 EXPORT_GLOB = "ipfix_*.parquet"
 EXPORT_NAME = "ipfix_decoded_{}.parquet"
 
+LISTING = "path string, entry string, modified_at timestamp, size_bytes long"
+
 
 def export_name(moment: datetime) -> str:
     """Name of the files of one export run."""
@@ -74,9 +76,13 @@ def list_files(spark: SparkSession, root: str, prefix: str = EXPORT_PREFIX) -> D
     """Parquet files below those entries of ``root`` whose name starts with ``prefix``.
 
     ``entry`` is the path right under ``root``: the file itself, or the folder
-    of one export run.  Only the listing is read, never the contents.
+    of one export run.  Only the listing is read, never the contents.  Nothing
+    found gives no rows.
     """
-    top = _file_system(spark, root)[1].toString().rstrip("/")
+    system, folder = _file_system(spark, root)
+    top = folder.toString().rstrip("/")
+    if not system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{top}/{prefix}*")):
+        return spark.createDataFrame([], LISTING)
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

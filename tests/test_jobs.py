@@ -230,6 +230,13 @@ def test_listing_and_expiry(spark, exports):
     ]
 
 
+def test_nothing_to_expire(spark, tmp_path):
+    files = io.list_files(spark, str(tmp_path))
+    report = retention.expire_exports(spark, files, 5, NOW, dry_run=False)
+    assert report["files_checked"] == report["files_deleted"] == report["bytes_freed"] == 0
+    assert retention.expire_exports(spark, files, 5, NOW) == {**report, "dry_run": True}
+
+
 def test_files_already_gone_are_not_counted(spark, exports):
     files = io.list_files(spark, str(exports)).cache()
     files.count()

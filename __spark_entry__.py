@@ -26,6 +26,19 @@ from flowlake.sources.files import list_files, read_exports
 from flowlake.sources.samples import PORTS, PROTOS, sample_raw_flows
 from flowlake.streaming.export import raw_stream, start_export
 
+try:  # the optional part; errors inside it are not hidden
+    from flowlake.llm import queries as llm_queries
+except ImportError as missing:
+    if missing.name not in ("flowlake", "flowlake.llm"):
+        raise
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("flowlake.llm", "corpus_pipeline"):
+        raise
+    corpus_pipeline = None
+
 AS_OF = date(2000, 1, 1)  # "today" of the reports that look back from a day
 
 
@@ -156,6 +169,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _flow_queries()
+    if llm_queries:
+        found |= llm_queries.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _flow_sql()
+    if llm_queries:
+        found |= llm_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stg_flows": _flows,
         "overview_stats": _on_flows(marts.overview_stats),
@@ -447,7 +478,7 @@ UNION ALL SELECT 'traffic_by_hour', count(DISTINCT received_hour) FROM staged
 UNION ALL SELECT 'recent_flows', least(count(*), 50000) FROM staged"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _flow_sql() -> dict[str, str]:
     """File listings (``expired_files``, ``retention_report``, ``file_report``)
     depend on file sizes and times, which no table shows; they have no SQL."""
     return {

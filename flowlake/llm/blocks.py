@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.session import scratch_path
@@ -91,24 +91,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def in_lanes(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFrame:
+def in_lanes(
+    rows: DataFrame, keys: list[str], by: list[str], limit: int, small: Column | None = None
+) -> DataFrame:
     """Prepare the comparison of all rows that share ``keys``, in bounded blocks.
 
     A group of more than ``limit`` rows is dealt over lanes by the hash of
     ``by``, and each row goes to every block (low, high) that its lane is part
     of, so any two rows of a group meet in at least one block of two lanes.
     Only groups beyond the limit are repeated.  Adds ``lane``, ``low``, ``high``.
+    The list of large groups is a stored table, so Spark knows its size and picks
+    the join by it.  ``small`` is true for rows whose group is known to be small.
     """
-    large = (
-        rows.groupBy(*keys)
+    large = stored(
+        (rows if small is None else rows.where(~small))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > limit)
-        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_lanes"))
+        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_lanes")),
+        "large",
     )
     lanes = F.coalesce("_lanes", F.lit(1))
     return (
         rows.join(large, keys, "left")
-        .withColumn("lane", F.pmod(F.xxhash64(F.col(by), F.lit(7)), lanes).cast("int"))
+        .withColumn("lane", F.pmod(F.xxhash64(*by, F.lit(7)), lanes).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), lanes - 1)))
         .withColumn("low", F.least("lane", "_other"))
         .withColumn("high", F.greatest("lane", "_other"))

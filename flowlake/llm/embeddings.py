@@ -200,7 +200,7 @@ def near_vectors(
     )
     block = ["slot", "dim", "code", "low", "high"]
     found = stored(
-        in_lanes(keyed, ["slot", "dim", "code"], "node", block_rows)
+        in_lanes(keyed, ["slot", "dim", "code"], ["node"], block_rows)
         .repartition(*block)
         .sortWithinPartitions(*block)
         .mapInArrow(_linked(threshold), "a long, b long, n long"),

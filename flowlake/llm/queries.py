@@ -5,25 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowlake.llm.embeddings import near_vectors
+from flowlake.llm.lines import dedup_lines
+from flowlake.llm.packing import pack_documents
+from flowlake.llm.pieces import encode_pieces
 from flowlake.llm.simhash import simhash_groups
+from flowlake.llm.substrings import remove_repeats
 
 
 def _table(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of an installed vocabulary file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_line_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    return dedup_lines(_table(spark, tables, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    return remove_repeats(_table(spark, tables, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return simhash_groups(_table(spark, tables, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, tables: str) -> DataFrame:
+    return encode_pieces(_table(spark, tables, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op9_hierarchical_packing(spark: SparkSession, tables: str) -> DataFrame:
+    return pack_documents(_table(spark, tables, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return near_vectors(_table(spark, tables, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_dedup": op4_line_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_hierarchical_packing": op9_hierarchical_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
@@ -48,6 +82,27 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM (SELECT node AS vec_id, min(other) AS component_id FROM reach GROUP BY node)
 LEFT JOIN counts ON counts.node = vec_id"""
 
+_SUBSTRINGS = r"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, array_to_string(w[i : i + 12], ' ') AS gram FROM words
+),
+earliest AS (SELECT gram, min(doc_id) AS first FROM windows GROUP BY gram),
+gone AS (
+    SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS at
+    FROM windows JOIN earliest USING (gram) WHERE first < doc_id
+),
+lists AS (SELECT doc_id, list(at) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+    sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+        list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(gone, i) THEN NULL ELSE x END),
+            lambda x: x IS NOT NULL) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN lists USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": _SUBSTRINGS,
     "op10_embedding_near_dedup": _NEAR_VECTORS,
 }

@@ -216,7 +216,7 @@ def simhash_groups(
     keyed = nodes.select("print", "node", F.inline(choices))
     bucket = ["choice", "key", "low", "high"]
     links = (
-        in_lanes(keyed, ["choice", "key"], "print", block_rows)
+        in_lanes(keyed, ["choice", "key"], ["print"], block_rows)
         .repartition(*bucket)
         .sortWithinPartitions(*bucket)
         .mapInArrow(_links(radius), "a long, b long")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,7 @@ from flowlake.session import scratch_path
 
 # Bytes of text a Python worker holds as words at a time; one longer text is
 # still handled whole.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 # Odd, so it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -57,14 +56,23 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return before[starts], words.filter(filled)
 
 
-def hash_words(words: pa.Array) -> np.ndarray:
-    """64-bit hash of each word; each distinct word is hashed once."""
-    coded = words.dictionary_encode()
-    if not len(coded.dictionary):
-        return np.zeros(0, np.uint64)
-    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
-    hashes = pd.util.hash_array(distinct, categorize=False)
-    return hashes[coded.indices.to_numpy(zero_copy_only=False)]
+# One random number per byte value, so that similar bytes give unrelated hashes.
+_BYTES = np.random.default_rng(64).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
+
+_powers = np.ones((2, 1), np.uint64)
+
+
+def _powers_up_to(n: int) -> np.ndarray:
+    """Powers of BASE and of its inverse, kept by the process."""
+    global _powers
+    if _powers.shape[1] <= n:
+        made = np.empty((2, 2 * n + 2), np.uint64)
+        made[0], made[1] = BASE, pow(BASE, -1, 1 << 64)
+        made[:, 0] = 1
+        _powers = np.multiply.accumulate(made, axis=1)
+    return _powers
 
 
 class Spans:
@@ -72,12 +80,7 @@ class Spans:
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        inverse = pow(BASE, -1, 1 << 64)
-        powers = np.full(n + 1, BASE, np.uint64)
-        undo = np.full(n + 1, inverse, np.uint64)
-        powers[0] = undo[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.undo = np.multiply.accumulate(undo)
+        powers, self.undo = _powers_up_to(n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.add.accumulate(values * powers[:n], out=self.sums[1:])
 
@@ -85,6 +88,33 @@ class Spans:
         return mixed((self.sums[stop] - self.sums[start]) * self.undo[start])
 
 
+class Words:
+    """Words of a slice of texts, by their place in the bytes of all of them.
+
+    ``begin`` and ``end`` are a word's bytes in ``data``; ``starts`` has the first
+    word of each text, and the end."""
+
+    def __init__(self, texts: pa.Array):
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        whole = texts.buffers()[2]
+        self.data = np.frombuffer(whole, np.uint8)[offsets[0] : offsets[-1]] if whole else np.zeros(0, np.uint8)
+        self.offsets = offsets - offsets[0]
+        solid = _SOLID[self.data]
+        inner = self.offsets[(self.offsets > 0) & (self.offsets < len(solid))]
+        first, last = solid.copy(), solid.copy()
+        first[1:] &= ~solid[:-1]
+        first[inner] = solid[inner]
+        last[:-1] &= ~solid[1:]
+        last[inner - 1] = solid[inner - 1]
+        self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.starts = np.searchsorted(self.begin, self.offsets)
+
+    def hashes(self, change: np.ndarray | None = None) -> np.ndarray:
+        """64-bit hash of each word, bytes replaced by the table ``change`` first."""
+        table = _BYTES if change is None else _BYTES[change]
+        return Spans(table[self.data]).of(self.begin, self.end)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of each value; one to one."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)

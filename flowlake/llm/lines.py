@@ -7,19 +7,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import (
-    hash_words,
-    in_lanes,
-    mixed,
-    split_words,
-    stored,
-    text_slices,
-    whole_groups,
-)
+from flowlake.llm.blocks import Words, in_lanes, mixed, stored, text_slices, whole_groups
 from flowlake.llm.substrings import KEY, keyed
 
 SIMILARITY = Fraction(4, 5)
@@ -32,13 +23,20 @@ BUCKET_BITS = 16
 BLOCK_ROWS = 20_000
 
 _LINE = [*KEY, "line"]
-_EARLIER = [f"o_{name}" for name in _LINE]
+
+# The same in two longs, in the same order: sig and line make up the place.
+_AT = ["doc_id", "place"]
+_EARLIER = ["o_doc_id", "o_place"]
+
+
+def _place() -> Column:
+    return F.shiftleft(F.col("sig").cast("long"), 32).bitwiseOR(F.col("line").cast("long"))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for _, texts in text_slices(batches, "text"):
-        buckets = hash_words(split_words(texts)[1]) >> np.uint64(64 - BUCKET_BITS)
+        buckets = Words(texts).hashes() >> np.uint64(64 - BUCKET_BITS)
         total += np.bincount(buckets.astype(np.int64), minlength=len(total))
     used = np.flatnonzero(total)
     yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
@@ -60,25 +58,28 @@ class _Lines:
     the bucket's frequency, so tokens in ascending order are in order of rarity.
     Lines without words are left out."""
 
-    def __init__(self, texts: pa.Array, rank: np.ndarray):
-        lists = pc.split_pattern(texts, "\n")
-        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        doc = np.repeat(np.arange(len(texts)), lengths)
-        number = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        starts, words = split_words(pc.list_flatten(lists))
-        hashes = hash_words(words)
+    def __init__(self, texts: pa.Array, rank: np.ndarray, wanted: np.ndarray | None = None):
+        """``wanted``: only these lines, as row of the slice << 32 | line."""
+        words = Words(texts)
+        feeds = np.flatnonzero(words.data == 10)
+        doc = np.repeat(np.arange(len(texts)), np.diff(words.starts))
+        before = np.searchsorted(feeds, words.offsets[:-1])
+        owner = (doc << 32) | (np.searchsorted(feeds, words.begin) - before[doc])
+        if wanted is not None:
+            mine = np.isin(owner, wanted)
+            owner, words.begin, words.end = owner[mine], words.begin[mine], words.end[mine]
+        hashes = words.hashes()
         low = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
         tokens = (rank[hashes >> np.uint64(64 - BUCKET_BITS)] << np.uint64(64 - BUCKET_BITS)) | (
             hashes & low
         )
-        owner = np.repeat(np.arange(len(doc)), np.diff(starts))
         order = np.lexsort((tokens, owner))
         tokens = tokens[order]
         new = np.append(True, (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1]))[: len(tokens)]
         self.tokens, owner = tokens[new], owner[new]
         begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
         self.starts = np.append(begins, len(owner))
-        self.doc, self.line = doc[owner[begins]], number[owner[begins]]
+        self.doc, self.line = owner[begins] >> 32, owner[begins] & 0xFFFFFFFF
         self.sizes = np.diff(self.starts)
 
     def summed(self, values: np.ndarray, by: np.ufunc) -> np.ndarray:
@@ -126,23 +127,16 @@ def _tokens_of(rank: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
-            x = _Lines(texts, rank)
-            wanted = batch.column("lines")
-            owner = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy())
-            mine = (owner.astype(np.int64) << 32) | wanted.flatten().to_numpy().astype(np.int64)
-            chosen = np.flatnonzero(np.isin((x.doc.astype(np.int64) << 32) | x.line, mine))
-            counts = x.sizes[chosen]
-            at = np.repeat(x.starts[:-1][chosen] - np.cumsum(counts) + counts, counts)
-            values = x.tokens[at + np.arange(len(at))] if len(at) else x.tokens[:0]
-            rows = pa.array(x.doc[chosen])
+            listed = batch.column("lines")
+            owner = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy())
+            x = _Lines(texts, rank, (owner << 32) | listed.flatten().to_numpy().astype(np.int64))
+            rows = pa.array(x.doc)
             yield pa.record_batch(
                 [
                     batch.column("doc_id").take(rows),
                     batch.column("sig").take(rows),
-                    pa.array(x.line[chosen], pa.int32()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.append(0, np.cumsum(counts)), pa.int32()), _signed(values)
-                    ),
+                    pa.array(x.line, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(x.starts, pa.int32()), _signed(x.tokens)),
                 ],
                 names=[*_LINE, "tokens"],
             )
@@ -153,16 +147,18 @@ def _tokens_of(rank: np.ndarray):
 def _candidates(similarity: Fraction, every: bool):
     """Pairs of lines (later, earlier) that share a prefix token and pass the
     length, positional and parity filters; only the earliest of each later line
-    and token unless ``every``."""
+    and bucket unless ``every``.  Rows come sorted by bucket, in no order within."""
     a, b = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, ["token", "low", "high"]):
-            n = table.column("n").to_numpy().astype(np.int64)
-            left = n - 1 - table.column("pos").to_numpy()
-            parity = table.column("parity").to_numpy().view(np.uint64)
+        for table, starts in whole_groups(batches, ["bucket"]):
+            group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            order = np.lexsort((table.column("place").to_numpy(), table.column("doc_id").to_numpy(), group))
+            size = table.column("size").to_numpy()[order]
+            n, left = size >> 32, (size >> 32) - 1 - (size & 0xFFFFFFFF)
+            parity = table.column("parity").to_numpy().view(np.uint64)[order]
             begin = np.repeat(starts[:-1], np.diff(starts))
-            open_ = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False))
+            open_ = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False)[order])
             open_ = open_[open_ > begin[open_]]
             later, earlier = [], []
             step = 0
@@ -181,10 +177,10 @@ def _candidates(similarity: Fraction, every: bool):
                 stay = begin[open_] + step < open_
                 open_ = open_[stay if every else stay & ~good]
             if later:
-                i, j = pa.array(np.concatenate(later)), pa.array(np.concatenate(earlier))
-                one, two = table.select(_LINE).take(i), table.select(_LINE).take(j)
-                pairs = pa.table([*one.columns, *two.columns], names=[*_LINE, *_EARLIER])
-                yield from pairs.combine_chunks().to_batches()
+                i, j = np.concatenate(later), np.concatenate(earlier)
+                ids, places = table.column("doc_id").to_numpy()[order], table.column("place").to_numpy()[order]
+                columns = [ids[i], places[i], ids[j], places[j]]
+                yield pa.record_batch([pa.array(c) for c in columns], names=[*_AT, *_EARLIER])
 
     return run
 
@@ -203,26 +199,39 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(len(lines))
             removed.append(len(lines) - len(left))
         yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("sig"), pa.array(rows, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
-            names=["doc_id", "sig", "text", "n_lines", "n_removed"],
+            [
+                batch.column("row"),
+                pa.array(rows, pa.string()),
+                pa.array(counts, pa.int64()),
+                pa.array(removed, pa.int64()),
+            ],
+            names=["row", "text", "n_lines", "n_removed"],
         )
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, rank: np.ndarray, similarity: Fraction) -> DataFrame:
     """Pairs with ``same``: whether the token sets really reach the similarity."""
-    other = pairs.select(*[F.col(o).alias(name) for o, name in zip(_EARLIER, _LINE)])
-    wanted = pairs.select(*_LINE).union(other).groupBy(*KEY).agg(F.collect_set("line").alias("lines"))
+    other = pairs.select(*[F.col(o).alias(name) for o, name in zip(_EARLIER, _AT)])
+    sig = F.shiftright("place", 32).cast("int")
+    line = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    wanted = (
+        pairs.select(*_AT)
+        .union(other)
+        .groupBy("doc_id", sig.alias("sig"))
+        .agg(F.collect_set(line).alias("lines"))
+    )
     sets = stored(
-        docs.dropDuplicates(KEY)
-        .join(stored(wanted, "wanted"), KEY)
-        .mapInArrow(_tokens_of(rank), "doc_id long, sig int, line int, tokens array<long>"),
+        docs.join(stored(wanted, "wanted"), KEY)
+        .mapInArrow(_tokens_of(rank), "doc_id long, sig int, line int, tokens array<long>")
+        .select("doc_id", _place().alias("place"), "tokens")
+        .dropDuplicates(_AT),
         "sets",
     )
-    others = sets.select(*[F.col(name).alias(o) for name, o in zip(_LINE, _EARLIER)], F.col("tokens").alias("o_tokens"))
+    others = sets.select(*[F.col(name).alias(o) for name, o in zip(_AT, _EARLIER)], F.col("tokens").alias("o_tokens"))
     shared = F.size(F.array_intersect("tokens", "o_tokens"))
     union = F.size("tokens") + F.size("o_tokens") - shared
-    return pairs.join(sets, _LINE).join(others, _EARLIER).select(
-        *_LINE, (shared * similarity.denominator >= union * similarity.numerator).alias("same")
+    return pairs.join(sets, _AT).join(others, _EARLIER).select(
+        *_AT, (shared * similarity.denominator >= union * similarity.numerator).alias("same")
     )
 
 
@@ -256,35 +265,43 @@ def kept_lines(
     frequent = int(np.searchsorted(totals[order], block_rows, side="right"))
 
     def pairs(rows: DataFrame, every: bool) -> DataFrame:
-        tokens = rows.select(*_LINE, "n", "parity", "asks", F.posexplode("prefix").alias("pos", "token"))
+        tokens = rows.select("doc_id", _place().alias("place"), "n", "parity", "asks", F.posexplode("prefix").alias("pos", "token"))
         rare = F.shiftrightunsigned("token", 64 - BUCKET_BITS) < frequent
-        dealt = in_lanes(tokens, ["token"], _LINE, block_rows, rare)
-        return stored(
-            dealt.repartition("token", "low", "high")
-            .sortWithinPartitions("token", "low", "high", *_LINE)
-            .mapInArrow(
-                _candidates(similarity, every),
-                ", ".join(f"{p}doc_id long, {p}sig int, {p}line int" for p in ("", "o_")),
-            )
-            .distinct(),
-            "pairs",
+        dealt = in_lanes(tokens, ["token"], _AT, block_rows, rare).select(
+            # Two buckets of one hash are compared as one, which costs a glance.
+            F.xxhash64("token", "low", "high").alias("bucket"),
+            *_AT,
+            F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
+            "parity",
+            "asks",
         )
+        found = (
+            dealt.repartition("bucket")
+            .sortWithinPartitions("bucket")
+            .mapInArrow(_candidates(similarity, every), "doc_id long, place long, o_doc_id long, o_place long")
+        )
+        if every:
+            return stored(found.distinct(), "pairs")
+        earliest = found.groupBy(*_AT).agg(F.min(F.struct(*_EARLIER)).alias("o"))
+        return stored(earliest.select(*_AT, "o.*"), "pairs")
 
     checked = stored(
         _similar(docs, pairs(classes.withColumn("asks", F.lit(True)), False), rank, similarity), "checked"
     )
-    # A line whose earliest candidates all fail asks once more, for all of them.
-    later = checked.groupBy(*_LINE).agg(F.max("same").alias("same"))
-    failed = stored(later.where("NOT same").select(*_LINE, F.lit(True).alias("asks")), "failed")
-    matched = checked.where("same").select(*_LINE)
+    # A line whose earliest candidate fails asks once more, for all of them.
+    failed = stored(checked.where("NOT same").select(*_AT, F.lit(True).alias("asks")), "failed")
+    matched = checked.where("same").select(*_AT)
+    placed = classes.withColumn("place", _place())
     if not failed.isEmpty():
-        again = classes.join(failed, _LINE, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+        again = placed.join(failed, _AT, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
         more = _similar(docs, pairs(again, True), rank, similarity)
-        matched = matched.union(more.where("same").select(*_LINE))
-    return classes.select(*_LINE).join(matched.distinct(), _LINE, "left_anti")
+        matched = matched.union(more.where("same").select(*_AT))
+    return placed.select(*_LINE, "place").join(matched.distinct(), _AT, "left_anti").select(*_LINE)
 
 
-def dedup_lines(docs: DataFrame, similarity: Fraction = SIMILARITY, **options) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, similarity: Fraction = SIMILARITY, keep_columns: bool = False, **options
+) -> DataFrame:
     """(doc_id, text, n_lines, n_removed) per row of ``docs`` (doc_id, text): the
     text without lines that resemble an earlier line.
 
@@ -295,19 +312,24 @@ def dedup_lines(docs: DataFrame, similarity: Fraction = SIMILARITY, **options) -
     a token among the rarest of each (prefix filter), and each filter drops only
     pairs that cannot reach the similarity; what passes is verified.
 
+    ``keep_columns``: the columns of ``docs`` instead, with a new ``text`` and, if
+    there, ``n_chars``.  Other columns are ignored.
+
     Lines without words stay.  Null texts are empty.  Rows with equal doc_id are
     told apart by their text; rows equal in both are one document and lose the
     same lines.  Rows without doc_id are left as they are and remove nothing.
-    Other columns are ignored.
     """
     rows = keyed(docs)
-    return _rebuilt(rows, kept_lines(rows, similarity, **options)).drop("sig")
-
-
-def _rebuilt(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    by_doc = kept.groupBy(*KEY).agg(F.collect_list("line").alias("lines"))
-    return (
-        rows.join(stored(by_doc, "kept"), KEY, "left")
-        .select("doc_id", "sig", "text", "lines")
-        .mapInArrow(_rest, "doc_id long, sig int, text string, n_lines long, n_removed long")
-    )
+    lists = kept_lines(rows, similarity, **options).groupBy(*KEY).agg(F.collect_list("line").alias("lines"))
+    lists = stored(lists, "kept")
+    columns = docs.columns if keep_columns else ["doc_id", "text"]
+    own = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"]).alias("row")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    whole = docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.hash(text).alias("sig"))
+    done = whole.join(lists, KEY, "left").select("row", "doc_id", "text", "lines")
+    kind = dict(done.dtypes)["row"]
+    done = done.mapInArrow(_rest, f"row {kind}, text string, n_lines long, n_removed long")
+    if not keep_columns:
+        return done.select("row.doc_id", "text", "n_lines", "n_removed").withColumn("doc_id", F.col("doc_id").cast("long"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return done.select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in columns])

@@ -24,7 +24,7 @@ CENTROIDS = 32
 SAMPLE_ROWS = 8192
 
 # A query visits cells until they hold this share of all vectors.
-VISITED = 0.5
+VISITED = 0.55
 
 # Vectors and queries compared in one block.
 BLOCK_ROWS = 8192
@@ -226,7 +226,7 @@ def nearest_vectors(
     )
     for cell in celled.groupBy("first", "second").count().collect():  # at most centroids squared
         index.counts[cell.first, cell.second] = cell["count"]
-    wanted = int(np.ceil(visited * index.counts.sum()))
+    wanted = max(int(np.ceil(visited * index.counts.sum())), k + 1)  # itself counts
     queries = rows.where(F.col("vec_id") % every == 0)
     asked = stored(
         queries.mapInArrow(_visits(index, wanted), f"query_id long, query {kind}, first int, seconds array<int>"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,55 +10,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import hash_words, split_words, text_slices
+from flowlake.llm.blocks import Spans, Words, mixed, stored, text_slices
 
 # Hashed features: words, their shapes, and words that repeat the one before.
 BUCKETS = 1 << 22
 
 # Rated documents the model is fitted on at most; those of the smallest hashes
 # of doc_id if there are more.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 10_000
 
-# Features in fewer rated documents have no weight.
+# A feature has a weight if it is in this many rated documents, and if its share
+# of those above some grade differs from its share of the others by this many
+# standard errors.  Others tell grades apart by chance only.
 LEAST_DOCS = 5
+LEAST_GAP = 6.0
 
 # A document is kept if its chance of the best grade is at least this.
 CUTOFF = 0.5
 
-_RUNS = [(re.compile(r"[^\W\d_]+"), lambda m: _case(m.group())), (re.compile(r"\d+"), "9"), (re.compile(r"([^\w])\1+"), r"\1")]
-
-
-def _case(letters: str) -> str:
-    if letters.isupper():
-        return "X" if len(letters) > 1 else "I"
-    return "x" if letters[1:].islower() or letters.islower() else "m"
-
-
-def word_shape(word: str) -> str:
-    """Letters by case, digits, and marks, each run as one character."""
-    for pattern, to in _RUNS:
-        word = pattern.sub(to, word)
-    return word[:12]
-
-
-def hashed_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature, count) of each feature of each text, sorted by row and feature."""
-    starts, words = split_words(texts)
-    coded = words.dictionary_encode()
-    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    distinct = coded.dictionary.to_pylist()
-    names = pa.array([w.lower() for w in distinct] + ["\0" + word_shape(w) for w in distinct] + ["\0="], pa.string())
-    hashed = (hash_words(names) % np.uint64(BUCKETS)).astype(np.int64)
-    row = np.repeat(np.arange(len(texts)), np.diff(starts))
-    again = np.flatnonzero((index[1:] == index[:-1]) & (row[1:] == row[:-1])) + 1
-    keys = np.concatenate(
+# How bytes count: letters A-Z without case in words; by class in shapes.
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
+_CLASS = np.arange(256)
+_CLASS[65:91], _CLASS[97:123], _CLASS[128:], _CLASS[48:58] = ord("X"), ord("x"), ord("x"), ord("9")
+_REPEAT = 1
+
+
+def hashed_features(
+    texts: pa.Array, known: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, count) of each feature of each text, sorted by row and feature.
+
+    A word gives its hash, that of its shape (capitals, other letters, digits and
+    marks, each run as one), and whether it repeats the word before.  ``known``
+    marks the features wanted."""
+    words = Words(texts)
+    row = np.repeat(np.arange(len(texts)), np.diff(words.starts))
+    plain = words.hashes(_LOWER)
+    kinds = _CLASS[words.data]
+    run = np.append(True, kinds[1:] != kinds[:-1])[: len(kinds)]
+    run[words.begin] = True
+    place = np.append(0, np.cumsum(run))
+    shapes = Spans(mixed(kinds[run].astype(np.uint64) + np.uint64(1))).of(place[words.begin], place[words.end])
+    again = np.flatnonzero((plain[1:] == plain[:-1]) & (row[1:] == row[:-1])) + 1
+    feature = np.concatenate(
         [
-            row * BUCKETS + hashed[index],
-            row * BUCKETS + hashed[index + len(distinct)],
-            row[again] * BUCKETS + hashed[-1],
+            (plain % np.uint64(BUCKETS)).astype(np.int64),
+            (shapes % np.uint64(BUCKETS)).astype(np.int64),
+            np.full(len(again), _REPEAT),
         ]
     )
-    found, counts = np.unique(keys, return_counts=True)
+    row = np.concatenate([row, row, row[again]])
+    if known is not None:
+        wanted = known[feature]
+        row, feature = row[wanted], feature[wanted]
+    found, counts = np.unique(row * BUCKETS + feature, return_counts=True)
     return found // BUCKETS, found % BUCKETS, counts
 
 
@@ -73,19 +78,22 @@ class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def scores(self, n: int, row: np.ndarray, feature: np.ndarray, count: np.ndarray) -> np.ndarray:
-        at, value, row = self.values(n, row, feature, count)
-        return np.bincount(row, self.weights[at] * value, n)
+    def known(self) -> np.ndarray:
+        marks = np.zeros(BUCKETS, bool)
+        marks[self.features] = True
+        return marks
+
+    def scores(self, texts: pa.Array, known: np.ndarray) -> np.ndarray:
+        at, value, row = self.values(len(texts), *hashed_features(texts, known))
+        return np.bincount(row, self.weights[at] * value, len(texts)).astype(np.float64)
 
     def values(self, n: int, row: np.ndarray, feature: np.ndarray, count: np.ndarray):
-        """(feature's place, value, row): damped counts by rarity, rows at length one."""
+        """(feature's place, value, row): damped counts by rarity, over the root of
+        a row's length, so that long texts neither drown a word nor add up noise."""
         at = np.searchsorted(self.features, feature)
-        known = at < len(self.features)
-        known[known] = self.features[at[known]] == feature[known]
-        at, row = at[known], row[known]
-        value = np.log1p(count[known]) * self.rarity[at]
+        value = np.log1p(count) * self.rarity[at]
         length = np.sqrt(np.bincount(row, value * value, n))
-        return at, value / np.maximum(length, 1e-12)[row], row
+        return at, value / np.sqrt(np.maximum(length, 1e-12))[row], row
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """Chance of more than grade k, one column per threshold."""
@@ -97,10 +105,9 @@ def fit_ordinal(
     row: np.ndarray,
     feature: np.ndarray,
     count: np.ndarray,
-    least_docs: int = LEAST_DOCS,
     rounds: int = 400,
-    rate: float = 0.3,
-    decay: float = 1e-5,
+    rate: float = 0.05,
+    decay: float = 1e-4,
 ) -> OrdinalModel:
     """Cumulative-link fit by gradient descent (Adam) over all given rows.
 
@@ -108,7 +115,6 @@ def fit_ordinal(
     """
     n, levels = len(grades), int(grades.max()) + 1
     features, docs = np.unique(feature, return_counts=True)
-    features, docs = features[docs >= least_docs], docs[docs >= least_docs]
     shares = np.array([(grades <= k).mean() for k in range(levels - 1)]).clip(1e-3, 1 - 1e-3)
     first = np.log(shares / (1 - shares))
     gaps = np.log(np.maximum(np.diff(first), 1e-2))
@@ -147,6 +153,10 @@ def fit_ordinal(
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in text_slices(batches, "text"):
         row, feature, count = hashed_features(texts)
+        # Feature -1 stands for the document itself.
+        row = np.append(row, np.arange(len(texts)))
+        feature = np.append(feature, np.full(len(texts), -1))
+        count = np.append(count, np.ones(len(texts), np.int64))
         yield pa.record_batch(
             [
                 batch.column("doc_id").take(pa.array(row)),
@@ -158,7 +168,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train_quality(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS, **fit) -> OrdinalModel | None:
+def train_quality(
+    docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS, **fit
+) -> OrdinalModel | None:
     """Fit on the rated rows of ``docs`` (doc_id, text).
 
     ``ratings`` has (doc_id, grade), grades counting from 0; of several ratings
@@ -174,27 +186,55 @@ def train_quality(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    rows = (
+    rows = stored(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .join(F.broadcast(sample), "doc_id")  # at most sample_rows ids
-        .mapInArrow(_sampled, "doc_id long, grade int, feature int, n int")
-        .toArrow()
-        .sort_by([("doc_id", "ascending"), ("feature", "ascending")])
+        .mapInArrow(_sampled, "doc_id long, grade int, feature int, n int"),
+        "features",
     )
-    doc, feature, count = (rows.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "feature", "n"))
-    grade = rows.column("grade").to_numpy()
-    _, first, row = np.unique(doc, return_index=True, return_inverse=True)
-    if len(np.unique(grade[first])) < 2:
+    # A rated document without any word counts as well.
+    rated = {row.grade: row.n for row in rows.where("feature < 0").groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(rated) < 2:
         return None
-    return fit_ordinal(grade[first].astype(np.int64), row, feature, count, **fit)
+    chosen = _telling(rows, rated)
+    wanted = docs.sparkSession.createDataFrame([(f,) for f in chosen + [-1]], "feature int")
+    table = rows.join(F.broadcast(wanted), "feature").toArrow().sort_by([("doc_id", "ascending"), ("feature", "ascending")])
+    doc, feature, count = (table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "feature", "n"))
+    _, first, row = np.unique(doc, return_index=True, return_inverse=True)
+    grade = table.column("grade").to_numpy()[first].astype(np.int64)
+    real = feature >= 0
+    return fit_ordinal(grade, row[real], feature[real], count[real], **fit)
+
+
+def _telling(rows: DataFrame, rated: dict[int, int]) -> list[int]:
+    """Features that tell grades apart; at most as many as the sample has rows of
+    them, over ``LEAST_DOCS``."""
+    grades = sorted(rated)
+    counts = (
+        rows.where("feature >= 0")
+        .groupBy("feature")
+        .agg(*[F.count_if(F.col("grade") == g).alias(f"g{g}") for g in grades])
+        .where(sum((F.col(f"g{g}") for g in grades), F.lit(0)) >= LEAST_DOCS)
+        .toArrow()
+    )
+    table = np.stack([counts.column(f"g{g}").to_numpy() for g in grades])
+    sizes = np.array([rated[g] for g in grades], np.float64)
+    share = table.sum(axis=0) / sizes.sum()
+    gap = np.zeros(table.shape[1])
+    for k in range(1, len(grades)):
+        low, high = sizes[:k].sum(), sizes[k:].sum()
+        error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / low + 1 / high))
+        gap = np.maximum(gap, np.abs(table[:k].sum(axis=0) / low - table[k:].sum(axis=0) / high) / error)
+    return counts.column("feature").to_numpy()[gap >= LEAST_GAP].tolist()
 
 
 def _graded(model: OrdinalModel | None, cutoff: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.known() if model else None
         for batch, texts in text_slices(batches, "text"):
             n = len(texts)
             if model:
-                scores = model.scores(n, *hashed_features(texts))
+                scores = model.scores(texts, known)
                 tails = model.tails(scores)
                 columns = [scores, tails.sum(axis=1), tails[:, -1], tails[:, -1] >= cutoff]
                 columns = [pa.array(c) for c in columns]
@@ -229,9 +269,10 @@ def select_documents(docs: DataFrame, model: OrdinalModel | None, cutoff: float
     inner = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.known() if model else None
         for batch, texts in text_slices(batches, "text"):
             if model:
-                tails = model.tails(model.scores(len(texts), *hashed_features(texts)))
+                tails = model.tails(model.scores(texts, known))
                 batch = batch.filter(pa.array(tails[:, -1] >= cutoff))
             yield batch
 

@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from flowlake.llm.embeddings import near_vectors
 from flowlake.llm.lines import dedup_lines
+from flowlake.llm.multiindex import nearest_vectors
 from flowlake.llm.packing import pack_documents
 from flowlake.llm.pieces import encode_pieces
+from flowlake.llm.quality import grade_documents, train_quality
 from flowlake.llm.simhash import simhash_groups
 from flowlake.llm.substrings import remove_repeats
+from flowlake.llm.surrogates import replace_entities
+from flowlake.llm.toolcalls import link_tool_calls
+
+# Whoever runs this on real data gives a secret key of their own.
+SURROGATE_KEY = "a key for the test tables"
 
 
 def _table(spark: SparkSession, tables: str, name: str) -> DataFrame:
@@ -26,6 +33,71 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def graded_labels(spark: SparkSession, tables: str) -> DataFrame:
+    """Ratings of documents: 0 bad, 1 readable but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    rated = F.col("quality").isNotNull() & F.col("toxic").isNotNull()
+    return _table(spark, tables, "labels").where(rated).select("doc_id", grade.alias("grade"))
+
+
+def op1_quality_classifier(spark: SparkSession, tables: str) -> DataFrame:
+    documents = _table(spark, tables, "documents")
+    return grade_documents(documents, train_quality(documents, graded_labels(spark, tables)))
+
+
+# Tools of the conversations; the system's own tool has no schema.
+TOOLS = {
+    "search": {
+        "properties": {
+            "query": {"type": "string", "minLength": 40},
+            "limit": {"type": "integer", "maximum": 80},
+            "after": {"type": "string"},
+        },
+        "required": ["query"],
+        "additionalProperties": False,
+    },
+    "translate": {
+        "properties": {
+            "query": {"type": "string"},
+            "after": {"type": "string"},
+            "limit": {"type": "integer", "minimum": 20},
+        },
+        "required": ["query", "limit", "after"],
+    },
+}
+
+
+def op2_tool_call_linking(spark: SparkSession, tables: str) -> DataFrame:
+    """Conversations read as tool traffic: what a user says is a call that may
+    use the result of the user's last call, an answer is the result of the call
+    before it, and a system prompt is a call of a tool nobody knows."""
+    rows = _table(spark, tables, "conversations")
+    length = F.length("text")
+    use = F.when(F.col("turn") >= 2, F.concat(F.lit("$result:c"), F.col("turn") - 2))
+    query = F.when(length % 13 > 0, F.col("text"))
+    asked = F.struct(query.alias("query"), (length % 100).alias("limit"), use.alias("after"))
+    calls = rows.where("role IN ('user', 'system')").select(
+        "conv_id",
+        "turn",
+        F.concat(F.lit("c"), "turn").alias("call_id"),
+        F.when(F.col("role") == "system", "configure")
+        .when(length % 2 == 0, "search")
+        .otherwise("translate")
+        .alias("name"),
+        F.to_json(asked).alias("arguments"),
+    )
+    results = rows.where("role = 'assistant'").select(
+        "conv_id", "turn", F.concat(F.lit("c"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    linked = link_tool_calls(calls, results, TOOLS)
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
+def op3_surrogates(spark: SparkSession, tables: str) -> DataFrame:
+    documents = _table(spark, tables, "documents")
+    return replace_entities(documents, SURROGATE_KEY).select("doc_id", "text", "n_entities")
+
+
 def op4_line_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return dedup_lines(_table(spark, tables, "documents"))
 
@@ -36,6 +108,10 @@ def op5_substring_dedup(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op6_multi_index(spark: SparkSession, tables: str) -> DataFrame:
+    return nearest_vectors(_table(spark, tables, "embeddings"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return simhash_groups(_table(spark, tables, "documents"))
 
@@ -53,8 +129,12 @@ def op10_embedding_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_tool_call_linking": op2_tool_call_linking,
+    "op3_surrogates": op3_surrogates,
     "op4_line_dedup": op4_line_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_multi_index": op6_multi_index,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_hierarchical_packing": op9_hierarchical_packing,
@@ -92,10 +172,10 @@ windows AS (
 ),
 earliest AS (SELECT gram, min(doc_id) AS first FROM windows GROUP BY gram),
 gone AS (
-    SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS at
+    SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS place
     FROM windows JOIN earliest USING (gram) WHERE first < doc_id
 ),
-lists AS (SELECT doc_id, list(at) AS gone FROM gone GROUP BY doc_id)
+lists AS (SELECT doc_id, list(place) AS gone FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
     sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
         list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(gone, i) THEN NULL ELSE x END),

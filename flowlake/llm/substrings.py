@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Spans, hash_words, mixed, split_words, stored, text_slices
+from flowlake.llm.blocks import Spans, Words, mixed, stored, text_slices
 
 # Shortest repeat, in words.
 WINDOW = 13
@@ -38,8 +38,8 @@ class _Picked:
     picked it, as places in the slice; ``doc`` the row of the slice."""
 
     def __init__(self, texts: pa.Array, window: int, anchor: int):
-        self.starts, self.words = split_words(texts)
-        values = hash_words(self.words)
+        words = Words(texts)
+        self.starts, values = words.starts, words.hashes()
         self.spans = Spans(values)
         n, width = len(values), window - anchor + 1
         starts = np.arange(max(0, n - window + 1))

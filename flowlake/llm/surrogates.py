@@ -1,0 +1,355 @@
+"""Surrogates for personal data, on Spark expressions alone.
+
+Entities found in texts get keyed replacements of their own kind.  The same
+entity gets the same one everywhere, however it is written; two entities never
+share one, and none equals a real entity of the corpus.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from flowlake.llm.blocks import stored
+
+# Words that tell a name, by gender.
+TITLES = {
+    "f": "Mrs|Ms|Miss|Lady|Frau|Madame|Mme|Mademoiselle|Señora|Señorita|Sra|Doña|Signora|Госпожа|Κυρία",
+    "m": "Mr|Mister|Sir|Lord|Herr|Monsieur|Señor|Sr|Signor|Господин|Κύριος",
+    "n": "Dr|Prof|Doktor|Professor",
+}
+GIVEN = {
+    "f": "Patricia|Jennifer|Elizabeth|Barbara|Susanne|Jessica|Margaret|Katharina|Ursula|Brigitte|Nathalie|"
+    "Isabelle|Catherine|Guadalupe|Francisca|Екатерина|Наталья|Светлана|Ελένη|Αικατερίνη",
+    "m": "Michael|William|Richard|Joseph|Charles|Christopher|Matthew|Wolfgang|Jürgen|Günther|Philippe|"
+    "François|Laurent|Alejandro|Francisco|Guillermo|Александр|Дмитрий|Владимир|Γεώργιος|Κωνσταντίνος",
+}
+
+# Syllables of made-up names by script, and their endings by gender
+# (of given names) or "s" (surnames).
+SYLLABLES = {
+    "latin": "ba be bo da de do fa fi ga ka ke la le li lo ma me mi na ne no pa ra re ri ro sa se ta ti va ve",
+    "cyrillic": "ба бе бо да де до фа фи га ка ке ла ле ли ло ма ме ми на не но па ра ре ри ро са се та ти ва ве",
+    "greek": "βα βε βο δα δε δο φα φι γα κα κε λα λε λι λο μα με μι να νε νο πα ρα ρε ρι ρο σα σε τα τι ζα ζε",
+}
+ENDINGS = {
+    "latin": {"f": "lia ria na", "m": "lan ron mir", "n": "len rin mel", "s": "son berg mann"},
+    "cyrillic": {"f": "лия рия на", "m": "лан рон мир", "n": "лен рин мел", "s": "ский енко ович"},
+    "greek": {"f": "λια ρια να", "m": "λος ρος νος", "n": "λις ρις νις", "s": "ίδης όπουλος άκης"},
+}
+
+# What an entity looks like.  Order decides where two would start
+# at the same place.
+_NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
+_TITLE = "(?:" + "|".join(TITLES.values()) + ")"
+_FIRST = "(?:" + "|".join(GIVEN.values()) + ")"
+_LABEL = r"(?:password|passwd|pwd|secret|token|api_?key)"
+PATTERNS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
+    "secret": rf"(?<=(?i:{_LABEL}) ?[=:] ?[\"']?)[A-Za-z0-9+/_.~-]{{6,}}(?<![.])"
+    r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[a-f]*\d)[0-9a-f]{32,64}\b",
+    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}\b|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}\b"
+    r"|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
+    "ip": r"\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b",
+    "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
+    "card": r"\b\d(?:[ -]?\d){12,18}\b",
+    "name": rf"(?<=\b{_TITLE}\.? ){_NAME}|(?<=\b{_TITLE}\.? {_NAME} ){_NAME}"
+    rf"|\b{_FIRST}(?= \p{{Lu}}\p{{L}})|(?<=\b{_FIRST} ){_NAME}",
+}
+PATTERN = "|".join(PATTERNS.values())
+
+# Characters before an entity that help to tell its kind.
+_BEFORE = 40
+
+_ROW = ["doc_id", "sig"]
+
+
+def _is(kind: str, hit: Column) -> Column:
+    return hit.rlike(f"^(?:{PATTERNS[kind]})$")
+
+
+def _kind(hit: Column, before: Column, after: Column) -> Column:
+    """Kind of an entity, names by gender and script as ``name_f_latin``."""
+    script = (
+        F.when(hit.rlike(r"\p{IsCyrillic}"), "cyrillic").when(hit.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    )
+    # A name is a surname if it is the second of two, after a title or a known
+    # first name, or if it is alone after a title.
+    second = before.rlike(rf"(?:\b{_TITLE}\.? {_NAME} |\b{_FIRST} )$")
+    surname = ~hit.rlike(f"^{_FIRST}$") & (second | (after != " "))
+    gender = F.lit("n")
+    for g in ("f", "m"):
+        named = hit.rlike(f"^(?:{GIVEN[g]})$") | before.rlike(rf"\b(?:{TITLES[g]})\.? $")
+        gender = F.when(named, g).otherwise(gender)
+    name = F.concat_ws("_", F.lit("name"), F.when(surname, "s").otherwise(gender), script)
+    return (
+        F.when(hit.contains("@"), "email")
+        .when(before.rlike(rf"(?i){_LABEL} ?[=:] ?[\"']?$"), "secret")
+        .when(hit.rlike(r"^(?:AKIA[0-9A-Z]{16}|(?=[a-f]*\d)[0-9a-f]{32,64})$"), "secret")
+        .when(_is("iban", hit), "iban")
+        .when(_is("ip", hit), "ip")
+        .when(_is("ssn", hit), "ssn")
+        .when(_is("phone", hit), "phone")
+        .when(_is("card", hit), "card")
+        .otherwise(name)
+    )
+
+
+def _normal(kind: Column, hit: Column) -> Column:
+    """One spelling for all ways an entity is written."""
+    digits = F.regexp_replace(hit, r"\D", "")
+    return (
+        F.when(kind == "email", F.lower(hit))
+        # Ten digits are a number with or without its country code.
+        .when(kind == "phone", F.when(F.length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
+        .when(kind.isin("ssn", "card"), digits)
+        .when(kind == "iban", F.replace(hit, F.lit(" "), F.lit("")))
+        .when(kind.startswith("name"), F.lower(hit))
+        .otherwise(hit)
+    )
+
+
+def _number(digest: Column, at: Column, below: int) -> Column:
+    """Number from two places of a hex digest, repeating after 62 places."""
+    return (F.conv(F.substr(digest, at % 62 * 2 + F.lit(1), F.lit(4)), 16, 10).cast("int") % below).cast("int")
+
+
+def _letters(digest: Column, plain: Column) -> Column:
+    """Each letter becomes one of its script and case, each digit a digit."""
+    hexed = plain.rlike("^[0-9a-f]+$")
+
+    def one(at: Column) -> Column:
+        c = F.substr(plain, at, F.lit(1))
+
+        def shifted(first: str, count: int) -> Column:
+            return F.substr(
+                F.lit("".join(chr(ord(first) + i) for i in range(count))),
+                _number(digest, at, count) + F.lit(1),
+                F.lit(1),
+            )
+
+        return (
+            F.when(c.rlike("[0-9]"), shifted("0", 10))
+            .when(hexed & c.rlike("[a-f]"), shifted("a", 6))
+            .when(c.rlike("[a-z]"), shifted("a", 26))
+            .when(c.rlike("[A-Z]"), shifted("A", 26))
+            .otherwise(c)
+        )
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(plain)), one), "")
+
+
+def _luhn(digits: Column) -> Column:
+    """The last digit made the check digit of the others."""
+
+    def worth(at: Column) -> Column:
+        digit = F.substr(digits, at, F.lit(1)).cast("int")
+        twice = digit * 2
+        odd = (F.length(digits) - at) % 2 == 1
+        return F.when(odd, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(digit)
+
+    total = F.aggregate(
+        F.sequence(F.lit(1), F.length(digits) - 1), F.lit(0), lambda sum_, at: sum_ + worth(at)
+    )
+    return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((10 - total % 10) % 10).cast("string"))
+
+
+def _made_name(digest: Column, kind: Column, turn: Column) -> Column:
+    """Syllables and an ending; more syllables the more often a name was taken."""
+
+    def pick(values: str, at: Column) -> Column:
+        words = values.split()
+        return F.element_at(F.array(*map(F.lit, words)), _number(digest, at, len(words)) + 1)
+
+    def body_of(syllables: str) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), turn + 3), lambda i: pick(syllables, i)), "")
+
+    made = F.lit(None).cast("string")
+    for script, syllables in SYLLABLES.items():
+        body = body_of(syllables)
+        for part, endings in ENDINGS[script].items():
+            name = F.concat(body, pick(endings, F.lit(0)))
+            made = F.when(kind == f"name_{part}_{script}", name).otherwise(made)
+    return made
+
+
+def surrogate(key: str, kind: Column, normal: Column, turn: Column) -> Column:
+    """Keyed replacement of a normal spelling; another one for each ``turn``."""
+    message = F.concat_ws("|", kind, turn.cast("string"), normal)
+    inner = F.sha2(F.concat(F.lit(key + "|"), message), 512)
+    digest = F.sha2(F.concat(F.lit(key + "|"), inner), 512)
+    octets = F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(digest, i * 3, 254) + 1).cast("string")), "."
+    )
+    changed = _letters(digest, normal)
+    return (
+        # The last label of a host and the first letters of a key or account stay.
+        F.when(
+            kind == "email",
+            F.concat(
+                F.regexp_replace(changed, r"\.[^.]*$", ""), F.regexp_extract(normal, r"(\.[^.]*)$", 1)
+            ),
+        )
+        .when(kind == "ip", octets)
+        .when(kind == "card", _luhn(changed))
+        .when(kind == "iban", F.concat(F.left(normal, F.lit(2)), F.substr(changed, F.lit(3))))
+        .when(normal.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substr(changed, F.lit(5))))
+        .when(kind.startswith("name"), _made_name(digest, kind, turn))
+        .otherwise(changed)
+    )
+
+
+def _written(kind: Column, hit: Column, normal: Column) -> Column:
+    """A surrogate in the format of the entity it replaces."""
+    count = F.length(F.regexp_replace(hit, r"\D", ""))
+
+    def put(state: Column, at: Column) -> Column:
+        c = F.substr(hit, at, F.lit(1))
+        seen = state["seen"]
+        # Digits line up from the right: a country code stays.
+        mine = seen - count + F.length(normal) + 1
+        digit = c.rlike("[0-9]")
+        new = F.when(digit & (mine > 0), F.substr(normal, mine, F.lit(1))).otherwise(c)
+        return F.struct(
+            F.concat(state["text"], new).alias("text"), (seen + digit.cast("int")).alias("seen")
+        )
+
+    places = F.sequence(F.lit(1), F.length(hit))
+    numbers = F.aggregate(
+        places, F.struct(F.lit("").alias("text"), F.lit(0).alias("seen")), put, lambda state: state["text"]
+    )
+    spaced = F.aggregate(
+        places,
+        F.struct(F.lit("").alias("text"), F.lit(0).alias("seen")),
+        lambda state, at: F.struct(
+            F.concat(
+                state["text"],
+                F.when(F.substr(hit, at, F.lit(1)) == " ", " ").otherwise(F.substr(normal, at - state["seen"], F.lit(1))),
+            ).alias("text"),
+            (state["seen"] + (F.substr(hit, at, F.lit(1)) == " ").cast("int")).alias("seen"),
+        ),
+        lambda state: state["text"],
+    )
+    capital = F.concat(F.upper(F.left(normal, F.lit(1))), F.substr(normal, F.lit(2)))
+    cased = F.array_join(
+        F.transform(
+            F.sequence(F.lit(1), F.length(normal)),
+            lambda at: F.when(F.substr(hit, at, F.lit(1)).rlike("[A-Z]"), F.upper(F.substr(normal, at, F.lit(1)))).otherwise(
+                F.substr(normal, at, F.lit(1))
+            ),
+        ),
+        "",
+    )
+    return (
+        F.when(kind.isin("phone", "ssn", "card"), numbers)
+        .when(kind == "iban", spaced)
+        .when(kind == "email", cased)
+        .when(
+            kind.startswith("name"),
+            F.when((hit == F.upper(hit)) & (F.length(hit) > 1), F.upper(normal)).otherwise(capital),
+        )
+        .otherwise(normal)
+    )
+
+
+def find_entities(docs: DataFrame) -> DataFrame:
+    """(doc_id, sig, place, hit, kind, normal) of each entity of ``docs`` (doc_id,
+    text, sig), ``place`` counting the entities of a text."""
+    # Most texts hold nothing that could start an entity; those are told apart by
+    # a single, cheaper pass.
+    likely = F.col("text").rlike(rf"[0-9@]|(?i:{_LABEL})|\b(?:{_TITLE}|{_FIRST})\b")
+    hits = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
+    gaps = F.transform(F.split("text", PATTERN, -1), lambda gap: F.right(gap, F.lit(_BEFORE)))
+    found = (
+        docs.where(likely)
+        .select(*_ROW, hits.alias("hits"), gaps.alias("gaps"))
+        .select(*_ROW, F.col("hits"), F.col("gaps"), F.posexplode("hits").alias("place", "hit"))
+    )
+    # What stands before an entity: the gap, and the entity before that if near.
+    last = F.when(F.col("place") > 0, F.element_at("hits", F.greatest(F.col("place"), F.lit(1)))).otherwise("")
+    before = F.right(F.concat(last, F.element_at("gaps", F.col("place") + 1)), F.lit(_BEFORE))
+    after = F.element_at("gaps", F.col("place") + 2)
+    kinds = found.select(*_ROW, "place", "hit", before.alias("before"), after.alias("after")).withColumn(
+        "kind", _kind(F.col("hit"), F.col("before"), F.col("after"))
+    )
+    return kinds.select(*_ROW, "place", "hit", "kind", _normal(F.col("kind"), F.col("hit")).alias("normal"))
+
+
+def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, normal, surrogate) for the distinct ``entities`` (kind, normal).
+
+    Of entities with one surrogate the first (fewest turns, then smallest) keeps
+    it, and none may keep one that is itself an entity of its kind; the others
+    take another turn, until all differ.
+    """
+    names = entities.select("kind", "normal").distinct()
+    rows = names.withColumn("turn", F.lit(0))
+    while True:
+        made = rows.select(
+            "kind", "normal", "turn", surrogate(key, F.col("kind"), F.col("normal"), F.col("turn")).alias("surrogate")
+        )
+        made = stored(made, "surrogates")
+        first = made.groupBy("kind", "surrogate").agg(F.min(F.struct("turn", "normal")).alias("first"))
+        real = made.select("kind", F.col("normal").alias("surrogate"), F.lit(True).alias("real"))
+        judged = (
+            made.join(first, ["kind", "surrogate"])
+            .join(real, ["kind", "surrogate"], "left")
+            .withColumn("again", (F.col("first.normal") != F.col("normal")) | F.col("real").isNotNull())
+        )
+        judged = stored(judged.select("kind", "normal", "turn", "surrogate", "again"), "judged")
+        if judged.where("again").isEmpty():
+            return judged.select("kind", "normal", "surrogate")
+        rows = judged.select("kind", "normal", (F.col("turn") + F.col("again").cast("int")).alias("turn"))
+
+
+def replace_entities(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` (doc_id, text, and any others) with each entity of ``text``
+    replaced, and ``n_entities``.
+
+    Kinds: e-mail addresses, passwords and keys, IBANs, telephone, card and
+    social security numbers, IPv4 addresses, names after a title or with a known
+    first name.  A surrogate has the kind, script, gender, punctuation and case of
+    what it replaces; cards keep a valid check digit, IBANs their country, but not
+    its check digits.  The last ten digits make a telephone number, so one with
+    and one without a country code are the same.  First names and surnames are
+    entities of their own, so a name stays recognisable where only a part of it
+    is used.
+
+    Only entities are shuffled and compared; texts move once, to meet their
+    surrogates.  Texts without entities, empty and null texts are unchanged.
+    Rows that repeat are replaced alike; rows without doc_id too.  Columns of
+    ``docs`` may have any names but ``n_entities``, which is replaced.
+    """
+    columns = [c for c in docs.columns if c != "n_entities"]
+    own = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"]).alias("row")
+    rows = docs.select(
+        own,
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64("text").alias("sig"),
+    )
+    found = stored(
+        find_entities(rows).groupBy(*_ROW, "place").agg(*[F.first(c).alias(c) for c in ("hit", "kind", "normal")]),
+        "entities",
+    )
+    named = found.join(make_surrogates(found, key), ["kind", "normal"])
+    written = _written(F.col("kind"), F.col("hit"), F.col("surrogate"))
+    by_row = (
+        named.select(*_ROW, "place", written.alias("new"))
+        .groupBy(*_ROW)
+        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"))
+    )
+    rebuilt = F.array_join(
+        F.zip_with(
+            F.split("text", PATTERN, -1),
+            F.col("_new.new"),
+            lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))),
+        ),
+        "",
+    )
+    text = F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col("text"))
+    return rows.join(by_row, _ROW, "left").select(
+        *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
+        F.when(F.col("_new").isNotNull(), F.size("_new")).otherwise(0).cast("long").alias("n_entities"),
+    )

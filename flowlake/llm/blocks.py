@@ -20,14 +20,27 @@ TEXT_BYTES = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
+# Lets Spark delete the shuffle files of a write once it is complete.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage there.
 
-    A lost executor then costs only the work after this table.
+    A lost executor then costs only the work after this table, and the shuffle
+    files of the work before it are freed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -155,14 +155,19 @@ def in_lanes(
         "large",
     )
     lanes = F.coalesce("_lanes", F.lit(1))
-    return (
-        rows.join(large, keys, "left")
+    dealt = (
+        (rows if small is None else rows.where(~small))
+        .join(large, keys, "left")
         .withColumn("lane", F.pmod(F.xxhash64(*by, F.lit(7)), lanes).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), lanes - 1)))
         .withColumn("low", F.least("lane", "_other"))
         .withColumn("high", F.greatest("lane", "_other"))
         .drop("_lanes", "_other")
     )
+    if small is None:
+        return dealt
+    one = {name: F.lit(0) for name in ("lane", "low", "high")}
+    return rows.where(small).withColumns(one).unionByName(dealt)
 
 
 def whole_groups(

@@ -27,6 +27,7 @@ _LINE = [*KEY, "line"]
 # The same in two longs, in the same order: sig and line make up the place.
 _AT = ["doc_id", "place"]
 _EARLIER = ["o_doc_id", "o_place"]
+_PARITY = ["parity", "parity2"]
 
 
 def _place() -> Column:
@@ -91,7 +92,10 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _sets(rank: np.ndarray, similarity: Fraction):
-    """Per line: digest and size of its token set, parity bits, prefix."""
+    """Per line: digest and size of its token set, parity bits, prefix.
+
+    Each token flips one bit of either parity word, so two sets differ in at
+    least as many tokens as either word does in bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
@@ -111,12 +115,15 @@ def _sets(rank: np.ndarray, similarity: Fraction):
                     batch.column("sig").take(rows),
                     pa.array(x.line, pa.int32()),
                     pa.array(n, pa.int32()),
-                    _signed(x.summed(np.uint64(1) << (spread & np.uint64(63)), np.bitwise_xor)),
+                    *[
+                        _signed(x.summed(np.uint64(1) << (spread >> shift & np.uint64(63)), np.bitwise_xor))
+                        for shift in (np.uint64(0), np.uint64(6))
+                    ],
                     pa.ListArray.from_arrays(
                         pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), _signed(x.tokens[kept])
                     ),
                 ],
-                names=["d1", "d2", *_LINE, "n", "parity", "prefix"],
+                names=["d1", "d2", *_LINE, "n", *_PARITY, "prefix"],
             )
 
     return run
@@ -156,7 +163,7 @@ def _candidates(similarity: Fraction, every: bool):
             order = np.lexsort((table.column("place").to_numpy(), table.column("doc_id").to_numpy(), group))
             size = table.column("size").to_numpy()[order]
             n, left = size >> 32, (size >> 32) - 1 - (size & 0xFFFFFFFF)
-            parity = table.column("parity").to_numpy().view(np.uint64)[order]
+            parity = [table.column(name).to_numpy().view(np.uint64)[order] for name in _PARITY]
             begin = np.repeat(starts[:-1], np.diff(starts))
             open_ = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False)[order])
             open_ = open_[open_ > begin[open_]]
@@ -166,11 +173,11 @@ def _candidates(similarity: Fraction, every: bool):
                 first = begin[open_] + step
                 total = n[open_] + n[first]
                 shared = -(-a * total // (a + b))  # tokens two such lines must share
-                good = (
-                    (np.minimum(n[open_], n[first]) * b >= a * np.maximum(n[open_], n[first]))
-                    & (1 + np.minimum(left[open_], left[first]) >= shared)
-                    & (np.bitwise_count(parity[open_] ^ parity[first]) <= total - 2 * shared)
+                good = (np.minimum(n[open_], n[first]) * b >= a * np.maximum(n[open_], n[first])) & (
+                    1 + np.minimum(left[open_], left[first]) >= shared
                 )
+                for word in parity:
+                    good &= np.bitwise_count(word[open_] ^ word[first]) <= total - 2 * shared
                 later.append(open_[good])
                 earlier.append(first[good])
                 step += 1
@@ -248,53 +255,58 @@ def kept_lines(
     rank[order] = np.arange(len(order), dtype=np.uint64)
     lines = docs.mapInArrow(
         _sets(rank, similarity),
-        "d1 long, d2 long, doc_id long, sig int, line int, n int, parity long, prefix array<long>",
+        "d1 long, d2 long, doc_id long, sig int, line int, n int, parity long, parity2 long, prefix array<long>",
     )
     # Equal sets are one class, known by its first line; later ones go.
     classes = stored(
         lines.groupBy("d1", "d2", "n")
         .agg(
             F.min(F.struct(*_LINE)).alias("at"),
-            F.first("parity").alias("parity"),
-            F.first("prefix").alias("prefix"),
+            *[F.first(name).alias(name) for name in (*_PARITY, "prefix")],
         )
-        .select("at.*", "n", "parity", "prefix"),
+        .select("at.*", "n", *_PARITY, "prefix"),
         "lines",
     )
     # Only tokens of buckets this frequent can exceed a block.
     frequent = int(np.searchsorted(totals[order], block_rows, side="right"))
 
-    def pairs(rows: DataFrame, every: bool) -> DataFrame:
-        tokens = rows.select("doc_id", _place().alias("place"), "n", "parity", "asks", F.posexplode("prefix").alias("pos", "token"))
+    placed = classes.withColumn("place", _place())
+
+    def candidates(rows: DataFrame, every: bool) -> DataFrame:
         rare = F.shiftrightunsigned("token", 64 - BUCKET_BITS) < frequent
-        dealt = in_lanes(tokens, ["token"], _AT, block_rows, rare).select(
+        dealt = in_lanes(rows, ["token"], _AT, block_rows, rare).select(
             # Two buckets of one hash are compared as one, which costs a glance.
             F.xxhash64("token", "low", "high").alias("bucket"),
             *_AT,
             F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
-            "parity",
+            *_PARITY,
             "asks",
         )
-        found = (
+        return (
             dealt.repartition("bucket")
             .sortWithinPartitions("bucket")
             .mapInArrow(_candidates(similarity, every), "doc_id long, place long, o_doc_id long, o_place long")
         )
-        if every:
-            return stored(found.distinct(), "pairs")
-        earliest = found.groupBy(*_AT).agg(F.min(F.struct(*_EARLIER)).alias("o"))
-        return stored(earliest.select(*_AT, "o.*"), "pairs")
 
-    checked = stored(
-        _similar(docs, pairs(classes.withColumn("asks", F.lit(True)), False), rank, similarity), "checked"
+    tokens = placed.select(*_AT, "n", *_PARITY, F.posexplode("prefix").alias("pos", "token"))
+    earliest = (
+        candidates(tokens.withColumn("asks", F.lit(True)), False)
+        .groupBy(*_AT)
+        .agg(F.min(F.struct(*_EARLIER)).alias("o"))
+        .select(*_AT, "o.*")
     )
-    # A line whose earliest candidate fails asks once more, for all of them.
-    failed = stored(checked.where("NOT same").select(*_AT, F.lit(True).alias("asks")), "failed")
+    checked = stored(_similar(docs, stored(earliest, "pairs"), rank, similarity), "checked")
     matched = checked.where("same").select(*_AT)
-    placed = classes.withColumn("place", _place())
+    # A line whose earliest candidate fails asks once more, for all it has.
+    failed = stored(
+        placed.join(checked.where("NOT same").select(*_AT), _AT, "left_semi").select(*_AT, "prefix"), "failed"
+    )
     if not failed.isEmpty():
-        again = placed.join(failed, _AT, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
-        more = _similar(docs, pairs(again, True), rank, similarity)
+        shared = stored(failed.select(F.explode("prefix").alias("token")).distinct(), "shared")
+        asking = failed.select(*_AT, F.lit(True).alias("asks"))
+        again = tokens.join(shared, "token", "left_semi").join(asking, _AT, "left")
+        again = again.withColumn("asks", F.coalesce("asks", F.lit(False)))
+        more = _similar(docs, stored(candidates(again, True).distinct(), "pairs"), rank, similarity)
         matched = matched.union(more.where("same").select(*_AT))
     return placed.select(*_LINE, "place").join(matched.distinct(), _AT, "left_anti").select(*_LINE)
 

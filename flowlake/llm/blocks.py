@@ -58,17 +58,6 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = TEX
             start = stop
 
 
-def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Words between ASCII white space: (first word of each text and the end, words)."""
-    lists = pc.ascii_split_whitespace(texts)
-    words = pc.list_flatten(lists)
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-    filled = pc.greater(pc.binary_length(words), 0)
-    before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False), dtype=np.int64)])
-    return before[starts], words.filter(filled)
-
-
 # One random number per byte value, so that similar bytes give unrelated hashes.
 _BYTES = np.random.default_rng(64).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SOLID = np.ones(256, bool)

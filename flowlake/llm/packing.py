@@ -6,6 +6,7 @@ import os
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import split_words, text_slices
+from flowlake.llm.blocks import Words, text_slices
 
 # Window lengths, longest first, all powers of two; a window of any tier is full.
 TIERS = (4096, 2048, 1024, 512)
@@ -26,8 +27,11 @@ STEP_TOKENS = 16 * 4096
 # Tokens a task gathers before it packs them.
 BUFFER_TOKENS = 1 << 20
 
-# Words whose ids a task remembers; then it starts afresh.
-WORDS_HELD = 300_000
+# Words whose ids a task remembers, at some 30 bytes each; then it starts afresh.
+WORDS_HELD = 2_000_000
+
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -36,53 +40,83 @@ SCHEMA = (
 
 
 class WordIds:
-    """Token ids of texts by a tokenizer that never joins across white space.
+    """Token ids of texts by a tokenizer that splits at white space and between
+    letters and marks, and takes A-Z as a-z.
 
-    Each distinct word is encoded once; the ids of a text are those of its words."""
+    A text is cut into words, and a comma or full stop off a letter.  Each distinct
+    one is encoded once; its ids are held in plain arrays under its 64-bit hash."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.held: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)  # sorted
+        self.slots = np.zeros(0, np.int64)
+        self.flat, self.place = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word, from one call for all: that is faster than many."""
-        if not words:
-            return []
+    def _ids(self, words: list[str]) -> tuple[list[int], np.ndarray]:
+        """(ids of all words, number of each word), from one call, which is faster
+        than many."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         begins = np.cumsum([0] + [len(word) + 1 for word in words])
         place = np.array([start for start, _ in found.offsets], np.int64)
-        ends = np.searchsorted(place, begins).tolist()
-        ids = found.ids
-        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+        return found.ids, np.diff(np.searchsorted(place, begins))
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        ids, counts = self._ids(words)
+        slots = len(self.place) - 1 + np.arange(len(keys))
+        self.flat = np.append(self.flat, np.array(ids, np.uint32))
+        self.place = np.append(self.place, self.place[-1] + np.cumsum(counts))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end``; first id of each text and the end)."""
-        starts, words = split_words(texts)
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.held) + len(distinct) > WORDS_HELD:
-            self.held = {}
-        new = [word for word in distinct if word not in self.held]
-        self.held.update(zip(new, self._ids(new)))
-        lists = [self.held[word] for word in distinct]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((x for ids in lists for x in ids), np.uint32, int(sizes.sum()))
-        place = np.cumsum(sizes) - sizes
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        counts = sizes[index]
+        words = Words(texts)
+        data = words.data
+        if len(words.begin):
+            last, before = data[words.end - 1], data[np.maximum(words.end - 2, 0)] | 32
+            tail = ((last == 44) | (last == 46)) & (before >= 97) & (before <= 122)
+            tail &= words.end - words.begin > 1
+            cut = words.end[tail]
+            words.begin = np.sort(np.append(words.begin, cut - 1))
+            words.end = np.sort(np.append(words.end - tail, cut))
+        starts = np.searchsorted(words.begin, words.offsets)
+        distinct, first, index = np.unique(words.hashes(_LOWER), return_index=True, return_inverse=True)
+        if len(self.keys) + len(distinct) > WORDS_HELD:
+            self._forget()
+        at = np.searchsorted(self.keys, distinct)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == distinct[known]
+        if not known.all():
+            new = first[~known]
+            buffer = data.tobytes()
+            spelled = [buffer[a:b].decode() for a, b in zip(words.begin[new].tolist(), words.end[new].tolist())]
+            self._learn(distinct[~known], spelled)
+            at = np.searchsorted(self.keys, distinct)
+        slot = self.slots[at][index] if len(index) else index
+        place = self.place[slot]
+        counts = self.place[slot + 1] - place if len(index) else slot
         before = np.append(0, np.cumsum(counts))
-        at = np.repeat(place[index] - before[:-1], counts) + np.arange(before[-1])
+        source = np.repeat(place - before[:-1], counts) + np.arange(before[-1])
         ends = before[starts[1:]] + np.arange(len(texts))  # one closing id per text before
         ids = np.full(before[-1] + len(texts), end, np.uint32)
         stays = np.ones(len(ids), bool)
         stays[ends] = False
-        ids[stays] = flat[at]
+        ids[stays] = self.flat[source]
         return ids, np.append(0, ends + 1)
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """Kept by a Python worker from task to task; it only saves work."""
+    return WordIds(path)
+
+
 class Packer:
     """Packs the documents of one task; a piece is [length, document, start]."""
 
@@ -180,7 +214,7 @@ class Packer:
 
 def _packed(path: str, end: int, tiers: tuple[int, ...], step_tokens: int, buffer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(path)
+        encoder = _word_ids(path)
         packer = Packer(TaskContext.get().partitionId(), tiers, step_tokens)
 
         def rows(last: bool) -> pa.RecordBatch:

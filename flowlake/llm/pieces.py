@@ -6,6 +6,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -231,9 +232,15 @@ class Encoder:
         return ids, wrong[0] == 0, wrong[1] == 0
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, threads: int) -> Encoder:
+    """Kept by a Python worker from task to task; it only saves work."""
+    return Encoder(path, threads)
+
+
 def _encoded(path: str, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, threads)
+        encoder = _encoder(path, threads)
         for batch, texts in text_slices(batches, "text"):
             ids, parity, back = encoder.encode(texts)
             yield pa.record_batch(

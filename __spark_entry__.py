@@ -7,9 +7,9 @@ shares no decoding code with the Spark side.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from flowlake.operators.rollup import pair_totals, port_totals
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import layout, marts, refresh, reports, retention
 from flowlake.session import configure, scratch_path
-from flowlake.sources.files import list_files, read_exports
+from flowlake.sources.files import read_exports, write_export
 from flowlake.sources.samples import PORTS, PROTOS, sample_raw_flows
 from flowlake.streaming.export import raw_stream, start_export
 
@@ -40,6 +40,7 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = None
 
 AS_OF = date(2000, 1, 1)  # "today" of the reports that look back from a day
+CUTOFF = "1998-01-15 00:00:00"  # orders have times at midnight, some of them this one
 
 
 def _raw(spark: SparkSession, tables: str) -> DataFrame:
@@ -125,42 +126,78 @@ def _export_stream(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _mart_refresh(spark: SparkSession, tables: str) -> DataFrame:
-    """Rebuild all tables in the shared folder; rows per table, as read back."""
-    stored = refresh.build_marts(_decoded(spark, tables), scratch_path(spark, "marts"))
-    counts = [
-        table.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
-        for name, table in stored.items()
-    ]
-    union = counts[0]
-    for count in counts[1:]:
-        union = union.unionByName(count)
-    return union
+    """Export in two batches, refresh after each; every stored column in figures.
+
+    The second refresh stages the second batch only, so what it publishes shows
+    that old and new totals add up."""
+    exports, root = scratch_path(spark, "exports"), scratch_path(spark, "marts")
+    decoded = _decoded(spark, tables)
+    first = F.col("time_received_ns") % 3 == 0
+    for number, batch in enumerate((decoded.where(first), decoded.where(~first))):
+        write_export(batch, exports, f"ipfix_decoded_{number}.parquet")
+        stored = refresh.refresh_marts(spark, exports, root)
+    figures = [_figures(name, table) for name, table in stored.items()]
+    return reduce(DataFrame.unionByName, figures)
+
+
+def _figures(mart: str, table: DataFrame) -> DataFrame:
+    """Per column: rows, non-null values, and a sum of numbers, lengths or times."""
+    figures = []
+    for name, kind in table.dtypes:
+        value = F.col(name)
+        if kind == "string":
+            value = F.length(name)
+        elif kind == "timestamp":
+            value = F.unix_micros(name) / 1000000 - 820000000
+        total = F.coalesce(F.round(F.sum(value.cast("double")), 3), F.lit(0.0))
+        figures.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.count(name).alias("filled"),
+                total.alias("total"),
+            )
+        )
+    row = table.agg(F.count(F.lit(1)).alias("rows"), F.array(*figures).alias("figures"))
+    return row.select(F.lit(mart).alias("mart"), "rows", F.inline("figures"))
 
 
 def _compacted_days(spark: SparkSession, tables: str) -> DataFrame:
     """Lay the exports out by day, then report on the days kept by event time."""
     path = scratch_path(spark, "days")
-    size = layout.total_size(list_files(configure(spark), tables, prefix="lineitem"))
-    # One file per task slot, but none above the target size.
-    share = math.ceil(size / spark.sparkContext.defaultParallelism)
-    layout.compact(_decoded(spark, tables), path, size, min(share, layout.FILE_BYTES))
+    # Two runs that meet within the days, as if later exports were compacted later.
+    layout.compact(_decoded(spark, tables), path, last=date(1998, 6, 1))
+    layout.compact(_decoded(spark, tables), path, first=date(1998, 6, 1))
     kept = retention.keep_recent(stage_flows(layout.read_days(spark, path)), days=7, as_of=AS_OF)
     return layout.day_report(kept)
 
 
-def _file_report(spark: SparkSession, tables: str) -> DataFrame:
-    files = layout.file_rows(configure(spark), f"{tables}/lineitem.parquet")
-    return layout.file_report(files, layout.entry_of_path())
+def _listing(spark: SparkSession, tables: str) -> DataFrame:
+    """A listing of files made of orders: dates as ages, prices as sizes; eight
+    files to an entry, a table per priority, a partition per month."""
+    orders = configure(spark).read.parquet(f"{tables}/orders.parquet")
+    entry = F.concat(F.lit("/exports/ipfix_"), F.floor(F.col("o_orderkey") / 8), F.lit(".parquet"))
+    day = F.date_format("o_orderdate", "yyyyMM'01'")
+    return orders.select(
+        F.concat(F.lit("/t"), F.col("o_custkey") % 5, F.lit("/day="), day, F.lit("/"), "o_orderkey").alias("path"),
+        entry.alias("entry"),
+        F.col("o_orderdate").cast("timestamp").alias("modified_at"),
+        F.floor("o_totalprice").cast("bigint").alias("size_bytes"),
+        F.col("o_custkey").alias("rows"),
+    )
+
 
+def _on_listing(query: Callable[[DataFrame], DataFrame]):
+    return lambda spark, tables: query(_listing(spark, tables))
 
-def _expired_files(spark: SparkSession, tables: str) -> DataFrame:
-    files = list_files(configure(spark), tables, prefix="")
-    return retention.expired_exports(files, F.current_timestamp())
 
+def _cutoff():
+    return F.lit(CUTOFF).cast("timestamp")
 
-def _retention_report(spark: SparkSession, tables: str) -> DataFrame:
-    files = list_files(configure(spark), tables, prefix="")
-    return retention.retention_report(files, F.current_timestamp())
+
+def _lineitem_files(spark: SparkSession, tables: str) -> DataFrame:
+    """The report over real files, less what depends on how they were written."""
+    files = layout.file_rows(configure(spark), f"{tables}/lineitem.parquet")
+    return layout.file_report(files, layout.entry_of_path()).select("partition", "rows")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -197,13 +234,7 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "traffic_by_hour": _on_flows(marts.traffic_by_hour),
         "traffic_matrix": _on_flows(marts.traffic_matrix),
         "recent_flows": _on_flows(marts.recent_flows),
-        # The plan for tables beyond the single-merge size, whatever the size here.
-        "recent_flows_narrowed": _on_flows(
-            lambda flows: marts.recent_flows(flows, single_merge=0)
-        ),
-        "hourly_traffic": _on_flows(
-            lambda flows: reports.hourly_traffic(marts.traffic_by_hour(flows), AS_OF)
-        ),
+        "hourly_traffic": _on_flows(lambda flows: reports.hourly_traffic_of(flows, AS_OF)),
         "top_convos": _on_flows(
             lambda flows: reports.top_conversations(marts.traffic_matrix(flows))
         ),
@@ -232,9 +263,14 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_report": _on_flows(layout.day_report),
         "compacted_days": _compacted_days,
         "mart_refresh": _mart_refresh,
-        "expired_files": _expired_files,
-        "retention_report": _retention_report,
-        "file_report": _file_report,
+        "expired_files": _on_listing(lambda files: retention.expired_exports(files, _cutoff())),
+        "retention_report": _on_listing(lambda files: retention.retention_report(files, _cutoff())),
+        "file_report": _on_listing(lambda files: layout.file_report(files, layout.day_of_path())),
+        "newest_files": _on_listing(layout.newest_files),
+        "table_sizes": _on_listing(
+            lambda files: layout.table_sizes(files, F.regexp_extract("path", "^/([^/]+)", 1))
+        ),
+        "lineitem_files": _lineitem_files,
     }
 
 
@@ -466,21 +502,60 @@ SELECT o_orderkey,
         ELSE plain END AS address
 FROM texts"""
 
-_MART_ROWS = """
-SELECT 'stg_flows' AS mart, count(*) AS rows FROM staged
-UNION ALL SELECT 'overview_stats', 1
-UNION ALL SELECT 'top_talkers_by_bytes', least(count(DISTINCT src_addr), 100) FROM staged
-UNION ALL SELECT 'top_destinations', least(count(DISTINCT dst_addr), 100) FROM staged
-UNION ALL SELECT 'traffic_matrix', least(count(DISTINCT (src_addr, dst_addr)), 500) FROM staged
-UNION ALL SELECT 'top_ports', least(count(DISTINCT dst_port), 50) FROM staged
-UNION ALL SELECT 'protocol_breakdown', count(DISTINCT proto) FROM staged
-UNION ALL SELECT 'traffic_by_hour', count(DISTINCT received_hour) FROM staged
-UNION ALL SELECT 'recent_flows', least(count(*), 50000) FROM staged"""
+# A mart's columns: T text, M moment, N number.
+_MARTS = {
+    "stg_flows": ("SELECT * FROM staged", "received_at:M received_hour:M received_date:M bytes:N gb:N packets:N src_addr:T dst_addr:T src_port:N dst_port:N proto:N"),
+    "overview_stats": (_OVERVIEW, "total_flows:N total_gb:N unique_sources:N unique_destinations:N start_time:M end_time:M"),
+    "top_talkers_by_bytes": (_TALKERS.format(k=100), "src_addr:T mb:N packets:N flows:N unique_dsts:N"),
+    "top_destinations": (_DESTINATIONS.format(k=100), "dst_addr:T mb:N flows:N unique_sources:N"),
+    "traffic_matrix": (_MATRIX.format(k=500), "src_addr:T dst_addr:T mb:N flows:N"),
+    "top_ports": (_PORTS.replace("{k}", "50"), "dst_port:N service:T connections:N mb:N"),
+    "protocol_breakdown": (_PROTOCOLS, "proto:N protocol_name:T flows:N gb:N"),
+    "traffic_by_hour": (_HOURS, "hour:M total_gb:N flow_count:N avg_bytes_per_flow:N unique_sources:N unique_destinations:N"),
+    "recent_flows": (_LATEST.format(k=50000), "received_at:M src_addr:T dst_addr:T src_port:N dst_port:N proto:N bytes:N packets:N"),
+}
+_SUMMED = {"T": "length({})", "M": "epoch_us({}) / 1000000 - 820000000", "N": "{}"}
+
+
+def _mart_figures() -> str:
+    parts = []
+    for mart, (query, columns) in _MARTS.items():
+        for column in columns.split():
+            name, kind = column.split(":")
+            value = _SUMMED[kind].format(name)
+            parts.append(
+                f"SELECT '{mart}' AS mart, count(*) AS rows, '{name}' AS \"column\", count({name}) AS filled, "
+                f"coalesce(round(sum(({value})::DOUBLE), 3), 0) AS total FROM ({query})"
+            )
+    return " UNION ALL ".join(parts)
+
+
+_LISTING = """
+listing AS (
+    SELECT
+        concat('/t', o_custkey % 5, '/day=', strftime(o_orderdate, '%Y%m01'), '/', o_orderkey) AS path,
+        concat('/exports/ipfix_', o_orderkey // 8, '.parquet') AS entry,
+        o_orderdate::TIMESTAMP AS modified_at,
+        floor(o_totalprice)::BIGINT AS size_bytes, o_custkey AS rows
+    FROM orders
+),
+ages AS (
+    SELECT entry, max(modified_at) AS modified_at, sum(size_bytes)::BIGINT AS size_bytes, count(*) AS files
+    FROM listing GROUP BY entry
+)"""
+
+
+def _listed(body: str) -> str:
+    return _with(body, _LISTING)
+
+
+def _parts(key: str, order: str) -> str:
+    return f"""
+    SELECT {key}, {_size_text("sum(size_bytes)")} AS size, sum(rows)::BIGINT AS rows, count(*) AS parts,
+    {order} FROM listing GROUP BY 1"""
 
 
 def _flow_sql() -> dict[str, str]:
-    """File listings (``expired_files``, ``retention_report``, ``file_report``)
-    depend on file sizes and times, which no table shows; they have no SQL."""
     return {
         "stg_flows": _staged("SELECT * FROM staged"),
         "overview_stats": _staged(_OVERVIEW),
@@ -491,7 +566,6 @@ def _flow_sql() -> dict[str, str]:
         "traffic_by_hour": _staged(_HOURS),
         "traffic_matrix": _staged(_MATRIX.format(k=500)),
         "recent_flows": _staged(_LATEST.format(k=50000)),
-        "recent_flows_narrowed": _staged(_LATEST.format(k=50000)),
         "hourly_traffic": _staged(
             f"SELECT * FROM ({_HOURS}) WHERE hour >= DATE '{AS_OF}' - INTERVAL 7 DAY"
         ),
@@ -526,5 +600,26 @@ def _flow_sql() -> dict[str, str]:
         "traffic_sizes": _staged(_SIZES),
         "day_report": _staged(_days()),
         "compacted_days": _staged(_days(f"WHERE received_at >= DATE '{AS_OF}' - INTERVAL 7 DAY")),
-        "mart_refresh": _staged(_MART_ROWS),
+        "mart_refresh": _staged(_mart_figures()),
+        "expired_files": _listed(f"SELECT * FROM ages WHERE modified_at < TIMESTAMP '{CUTOFF}'"),
+        "retention_report": _listed(
+            f"""SELECT count(*) AS files_checked,
+                count(*) FILTER (modified_at < TIMESTAMP '{CUTOFF}') AS files_deleted,
+                coalesce(sum(size_bytes) FILTER (modified_at < TIMESTAMP '{CUTOFF}'), 0)::BIGINT AS bytes_freed,
+                5 AS retention_days FROM ages"""
+        ),
+        "file_report": _listed(
+            _parts(
+                "path.split('/')[3][5:] AS partition",
+                "min(modified_at) AS oldest_part, max(modified_at) AS newest_part",
+            )
+        ),
+        "newest_files": _listed(
+            f"""SELECT path, rows, {_size_text("size_bytes")} AS size, modified_at
+            FROM listing ORDER BY modified_at DESC, path LIMIT 20"""
+        ),
+        "table_sizes": _listed(
+            _parts('path.split(\'/\')[2] AS "table"', "sum(size_bytes)::BIGINT AS size_bytes")
+        ),
+        "lineitem_files": "SELECT 'lineitem.parquet' AS partition, count(*) AS rows FROM lineitem",
     }

@@ -64,7 +64,7 @@ def main() -> None:
         "traffic_matrix": lambda: marts.traffic_matrix(flows).collect(),
         "recent_flows": lambda: _drain(marts.recent_flows(flows)),
         "hourly_traffic": lambda: _drain(
-            reports.hourly_traffic(marts.traffic_by_hour(flows), date(2000, 1, 1))
+            reports.hourly_traffic_of(flows, date(2000, 1, 1))
         ),
         "day_report": lambda: _drain(layout.day_report(flows)),
         "mart_refresh": lambda: refresh.build_marts(decoded, f"{root}/marts-{next(runs)}"),

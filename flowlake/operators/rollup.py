@@ -27,6 +27,29 @@ def roll_up(flows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def hour_totals(flows: DataFrame, address: str) -> DataFrame:
+    """Totals per (hour, address); ``sized`` counts the rows that have a size."""
+    return flows.groupBy("received_hour", address).agg(
+        F.count(F.lit(1)).alias("flows"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("packets").alias("packets"),
+        F.count("bytes").alias("sized"),
+        F.min("received_at").alias("first_at"),
+        F.max("received_at").alias("last_at"),
+    )
+
+
+def fold(totals: DataFrame, *keys: str) -> DataFrame:
+    """Totals per key from totals per finer key."""
+    return totals.groupBy(*keys).agg(
+        F.sum("flows").alias("flows"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("packets").alias("packets"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
+
+
 def source_totals(flows: DataFrame) -> DataFrame:
     return roll_up(flows, "src_addr")
 

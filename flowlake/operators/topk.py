@@ -1,9 +1,8 @@
-"""Top rows of an order for caps too large for one task to merge naively.
+"""Top rows of an order, for any cap and any number of tasks.
 
-``orderBy().limit(k)`` keeps k rows per task and merges them all in one task.
-For k = 100 that is fine at any scale; for k = 50,000 over 100,000 tasks the
-merge would receive billions of rows.  ``top_rows`` merges in rounds instead,
-and ``latest_rows`` first narrows the input by time.  Both are exact.
+``orderBy().limit(k)`` keeps k rows per task and merges them all in one task: k
+times the number of tasks, which grows with the cluster.  ``top_rows`` merges in
+rounds instead, and ``latest_rows`` first narrows the input by time.  Both are exact.
 """
 
 from __future__ import annotations
@@ -13,10 +12,6 @@ from pyspark.sql import functions as F
 
 from flowlake.functions.times import partition_key
 
-# Estimated input size up to which one task merges the top rows of all tasks:
-# some 32 tasks of the default split size, as in the final merge of the rounds.
-SINGLE_MERGE_BYTES = 4 * 2**30
-
 # Groups per merge round.  A first-round group receives k rows from 1/4096 of
 # the tasks, a second-round group from 128 groups, the final merge from 32.
 ROUNDS = (4096, 32)
@@ -71,26 +66,16 @@ def _since(df: DataFrame, name: str, cut: Column) -> DataFrame:
     return df.where((F.col(name) >= cut) | F.col(name).isNull())
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate: file sizes for scans, very large if unknown."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def latest_rows(
-    flows: DataFrame, order: list[Column], k: int, single_merge: int = SINGLE_MERGE_BYTES
-) -> DataFrame:
+def latest_rows(flows: DataFrame, order: list[Column], k: int) -> DataFrame:
     """First ``k`` staged flows in ``order``, which must start with
     ``received_at`` descending, nulls last.
 
-    Beyond ``single_merge`` bytes the input is narrowed first.  The hour
-    histogram reads a single, highly compressible column and fixes the hour in
-    which the k-th latest row lies; a second histogram, over those hours only,
-    fixes the second.  What is left is about k rows, whatever the size of the
-    table; should one second hold a large share of it, ``top_rows`` still merges
-    that in rounds.  The size only selects the plan: the rows are the same.
+    The hour histogram reads a single, highly compressible column and fixes the
+    hour in which the k-th latest row lies; a second histogram, over those hours
+    only, fixes the second.  What is left is about k rows, whatever the size of
+    the table; should one second hold a large share of it, ``top_rows`` still
+    merges that in rounds.
     """
-    if _estimated_bytes(flows) <= single_merge:
-        return flows.orderBy(*order).limit(k)
     hour = _cut(flows, "received_hour", k)
     in_hours = _since(flows, "received_hour", hour)
     if "day" in flows.columns:

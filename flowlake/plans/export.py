@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlake.functions.times import run_stamp
 from flowlake.operators.decode import decode_flows
 from flowlake.operators.flags import export_census, mark_flows, remaining_flows
-from flowlake.sources.files import export_name, read_raw, write_export
+from flowlake.sources.files import (
+    EXPORT_NAME,
+    is_complete,
+    list_files,
+    read_decoded,
+    read_raw,
+    write_export,
+)
+
+
+def batch_name(files: DataFrame, mark: bool) -> str:
+    """Name of the export of a batch of raw files: when the newest one was
+    written, and a digest of them all.  The same batch has the same name always."""
+    digest = F.bit_xor(F.xxhash64("path", "size_bytes", "modified_at", F.lit(mark)))
+    row = files.agg(run_stamp(F.max("modified_at")).alias("stamp"), F.hex(digest).alias("digest")).first()
+    return EXPORT_NAME.format(f"{row.stamp}_{row.digest.lower()}")
 
 
 def run_export(
@@ -19,29 +33,30 @@ def run_export(
     remainder_path: str,
     mark: bool = True,
     dry_run: bool = True,
-    moment: datetime | None = None,
 ) -> dict:
     """Mark, export, purge.  A dry run, the default, only counts.
 
     The raw files are never rewritten in place: after the export is complete,
     the unmarked rest goes to ``remainder_path``, and the caller switches over
-    to it.  A failure before that leaves the raw files as the only truth, and
-    neither target may exist beforehand, so a repeated run cannot export twice
-    under one name.  ``mark=False`` exports only rows that are flagged already.
+    to it.  The export is named after the batch, so a run repeated after a crash
+    finds what the first one completed and goes on from there: no row is exported
+    twice.  A batch without files exports nothing.  ``mark=False`` exports only
+    rows that are flagged already.
     """
+    files = list_files(spark, raw_path, prefix="")
     raw = read_raw(spark, raw_path)
     if dry_run:
         return {"dry_run": True, **export_census(raw).first().asDict()}
     batch = mark_flows(raw) if mark else raw
-    marked = batch.where("exported = 1")
-    counted = Observation("export")
-    path = write_export(
-        decode_flows(marked).observe(counted, F.count(F.lit(1)).alias("rows")),
-        export_root,
-        export_name(moment or datetime.now(timezone.utc)),
-    )
-    remaining_flows(batch).write.option("compression", "zstd").parquet(remainder_path)
-    return {"dry_run": False, "path": path, "rows_exported": counted.get["rows"]}
+    path, rows = None, 0
+    if not files.isEmpty():
+        name = batch_name(files, mark)
+        path = f"{export_root}/{name}"
+        if not is_complete(spark, path):
+            write_export(decode_flows(batch.where("exported = 1")), export_root, name, mode="overwrite")
+        rows = read_decoded(spark, path).count()  # from the footers
+    remaining_flows(batch).write.mode("overwrite").option("compression", "zstd").parquet(remainder_path)
+    return {"dry_run": False, "path": path, "rows_exported": rows}
 
 
 def exported_rows(exports: DataFrame) -> int:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.functions.sizes import readable_size
 from flowlake.functions.times import flow_time, partition_key
+from flowlake.operators.topk import top_rows
 from flowlake.schema import DECODED
 
-FILE_BYTES = 512 * 2**20  # target size of a compacted file
+FILE_ROWS = 10_000_000  # rows of a compacted file, some 500 MB
 
 
 def file_rows(spark: SparkSession, glob: str) -> DataFrame:
@@ -63,31 +65,70 @@ def day_report(flows: DataFrame) -> DataFrame:
     )
 
 
-def compact(decoded: DataFrame, path: str, total_bytes: int, file_bytes: int = FILE_BYTES) -> None:
-    """Rewrite many small exports as few time-clustered files under ``day=``.
+def compact(
+    decoded: DataFrame,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    rows_per_file: int = FILE_ROWS,
+) -> None:
+    """Rewrite exports as few time-clustered files under ``day=``.
+
+    Only flows of the days ``first`` to ``last`` are read (the bounds reach the
+    scan) and only their partitions of ``path`` are written; a repeated run
+    replaces them.  ``path`` must not be where ``decoded`` is read from.
 
     Range partitioning by receive time gives each file a narrow time span, so
     later time filters skip files by their footers, and splits a heavy day over
     several files.  The row id as last key splits even equal timestamps.
-    ``path`` must be a new location; retire the old files once it is complete.
     """
-    files = max(1, math.ceil(total_bytes / file_bytes))
-    row_id = "_row_id"
+    if first is not None:
+        decoded = decoded.where(F.col("time_received_ns") >= _nanos(first) - 1000)
+    if last is not None:
+        decoded = decoded.where(F.col("time_received_ns") < _nanos(last + timedelta(days=1)) + 1000)
+    row_id, day = "_row_id", F.col("day")
+    flows = decoded.withColumn("day", partition_key(flow_time(F.col("time_received_ns"))))
+    # Times are rounded to microseconds: the day decides what lies on its border.
+    if first is not None:
+        flows = flows.where(day >= first.strftime("%Y%m%d"))
+    if last is not None:
+        flows = flows.where(day <= last.strftime("%Y%m%d"))
+    files = max(1, math.ceil(flows.count() / rows_per_file))
     (
-        decoded.withColumn("day", partition_key(flow_time(F.col("time_received_ns"))))
-        .withColumn(row_id, F.monotonically_increasing_id())
+        flows.withColumn(row_id, F.monotonically_increasing_id())
         .repartitionByRange(files, F.col("time_received_ns"), F.col(row_id))
         .sortWithinPartitions("day", "time_received_ns")
         .drop(row_id)
         .write.partitionBy("day")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .parquet(path)
     )
 
 
-def total_size(files: DataFrame) -> int:
-    """Bytes of listed files (one row on the driver)."""
-    return files.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
+def _nanos(day: date) -> int:
+    return (day - date(1970, 1, 1)).days * 86_400_000_000_000
+
+
+def newest_files(files: DataFrame, k: int = 20) -> DataFrame:
+    """Rows and size per file, newest first."""
+    shown = files.select("path", "rows", readable_size(F.col("size_bytes")).alias("size"), "modified_at")
+    return top_rows(shown, [F.desc_nulls_last("modified_at"), F.asc_nulls_last("path")], k)
+
+
+def table_sizes(files: DataFrame, table: Column) -> DataFrame:
+    """Size, rows and files per table, largest first; ``table`` is derived from ``path``."""
+    return (
+        files.groupBy(table.alias("table"))
+        .agg(
+            F.sum("size_bytes").alias("size_bytes"),
+            readable_size(F.sum("size_bytes")).alias("size"),
+            F.sum("rows").alias("rows"),
+            F.count(F.lit(1)).alias("parts"),
+        )
+        .orderBy(F.desc_nulls_last("size_bytes"), F.asc_nulls_last("table"))
+    )
 
 
 def read_days(spark: SparkSession, path: str) -> DataFrame:

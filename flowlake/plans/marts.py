@@ -15,11 +15,12 @@ from flowlake.functions.sizes import gigabytes, megabytes
 from flowlake.functions.times import bucket_end
 from flowlake.operators.rollup import (
     destination_totals,
+    hour_totals,
     pair_totals,
     roll_up,
     source_totals,
 )
-from flowlake.operators.topk import SINGLE_MERGE_BYTES, latest_rows
+from flowlake.operators.topk import latest_rows, top_rows
 
 # Row caps.
 TALKERS = 100
@@ -29,7 +30,7 @@ PAIRS = 500
 LATEST = 50_000
 
 # Ranking of each mart ("-" is descending), then its tie-breaks.  Files have no
-# row order, so whoever reads a stored mart sorts by this again.
+# row order, so marts that have no cap come unsorted, and readers sort by this.
 ORDER = {
     "top_talkers_by_bytes": ("-mb", "src_addr"),
     "top_destinations": ("-mb", "dst_addr"),
@@ -88,13 +89,13 @@ def overview_stats(
 def _with_peers(flows: DataFrame, top: DataFrame, mart: str, peer: str, name: str) -> DataFrame:
     """Add to each top row the number of distinct ``peer`` values of its key.
 
-    Distinct values are costly, so they are counted for the winners only.  The
-    winners (at most the cap of the mart) are broadcast to a second scan of two
-    columns; rows stay in their task, are deduplicated there, and the rows of
-    one hot key spread over the partitions by peer.
+    Distinct values are costly, so they are counted for the winners only, in a
+    second scan of two columns.  Spark knows the cap and broadcasts the winners
+    while they are few; then rows stay in their task, are deduplicated there, and
+    the rows of one hot key spread over the partitions by peer.
     """
     key = ORDER[mart][-1]
-    winners = F.broadcast(top.withColumnRenamed(key, "_key"))
+    winners = top.withColumnRenamed(key, "_key")
     return (
         flows.select(key, peer)
         .join(winners, F.col(key).eqNullSafe(F.col("_key")))
@@ -107,12 +108,10 @@ def top_talkers_by_bytes(
     flows: DataFrame, sources: DataFrame | None = None, k: int = TALKERS
 ) -> DataFrame:
     order = order_of("top_talkers_by_bytes")
-    top = (
-        (source_totals(flows) if sources is None else sources)
-        .select("src_addr", megabytes(F.col("bytes")).alias("mb"), "packets", "flows")
-        .orderBy(*order)
-        .limit(k)
+    totals = (source_totals(flows) if sources is None else sources).select(
+        "src_addr", megabytes(F.col("bytes")).alias("mb"), "packets", "flows"
     )
+    top = top_rows(totals, order, k)
     counted = _with_peers(flows, top, "top_talkers_by_bytes", "dst_addr", "unique_dsts")
     return counted.orderBy(*order).limit(k)
 
@@ -121,23 +120,19 @@ def top_destinations(
     flows: DataFrame, destinations: DataFrame | None = None, k: int = DESTINATIONS
 ) -> DataFrame:
     order = order_of("top_destinations")
-    top = (
-        (destination_totals(flows) if destinations is None else destinations)
-        .select("dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows")
-        .orderBy(*order)
-        .limit(k)
+    totals = (destination_totals(flows) if destinations is None else destinations).select(
+        "dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows"
     )
+    top = top_rows(totals, order, k)
     counted = _with_peers(flows, top, "top_destinations", "src_addr", "unique_sources")
     return counted.orderBy(*order).limit(k)
 
 
 def traffic_matrix(flows: DataFrame, k: int = PAIRS) -> DataFrame:
-    return (
-        pair_totals(flows)
-        .select("src_addr", "dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows")
-        .orderBy(*order_of("traffic_matrix"))
-        .limit(k)
+    pairs = pair_totals(flows).select(
+        "src_addr", "dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows"
     )
+    return top_rows(pairs, order_of("traffic_matrix"), k)
 
 
 def top_ports(flows: DataFrame, ports: DataFrame | None = None, k: int = PORTS) -> DataFrame:
@@ -158,34 +153,31 @@ def protocol_breakdown(flows: DataFrame, ports: DataFrame | None = None) -> Data
         .groupBy("proto")
         .agg(F.sum("flows").alias("flows"), gigabytes(F.sum("bytes")).alias("gb"))
         .select("proto", protocol_name(F.col("proto")).alias("protocol_name"), "flows", "gb")
-        .orderBy(*order_of("protocol_breakdown"))
     )
 
 
-def traffic_by_hour(flows: DataFrame) -> DataFrame:
+def traffic_by_hour(
+    flows: DataFrame, by_source: DataFrame | None = None, by_destination: DataFrame | None = None
+) -> DataFrame:
     """Totals per hour, labelled by the end of the hour.
 
-    One pass per address column, as in the overview.  Groups are (hour, address)
-    first, so an hour with a third of all flows is spread over the partitions;
-    what meets per hour afterwards is one row per task.
+    From totals per (hour, address), of which there may be several rows: one pass
+    per address column, and an hour with a third of all flows is spread over the
+    partitions; what meets per hour afterwards is one row per task.
     """
+    by_source = hour_totals(flows, "src_addr") if by_source is None else by_source
+    by_destination = hour_totals(flows, "dst_addr") if by_destination is None else by_destination
     by_source = (
-        flows.groupBy("received_hour", "src_addr")
-        .agg(
-            F.count(F.lit(1)).alias("flows"),
-            F.sum("bytes").alias("bytes"),
-            F.count("bytes").alias("sized"),
-        )
+        by_source.groupBy("received_hour", "src_addr")
+        .agg(*[F.sum(name).alias(name) for name in ("flows", "bytes", "sized")])
         .groupBy("received_hour")
         .agg(
-            F.sum("flows").alias("flows"),
-            F.sum("bytes").alias("bytes"),
-            F.sum("sized").alias("sized"),
+            *[F.sum(name).alias(name) for name in ("flows", "bytes", "sized")],
             F.count("src_addr").alias("sources"),
         )
     )
     by_destination = (
-        flows.select("received_hour", "dst_addr")
+        by_destination.select("received_hour", "dst_addr")
         .distinct()
         .groupBy("received_hour")
         .agg(F.count("dst_addr").alias("destinations"))
@@ -205,13 +197,9 @@ def traffic_by_hour(flows: DataFrame) -> DataFrame:
             F.col("sources").alias("unique_sources"),
             F.col("destinations").alias("unique_destinations"),
         )
-        .orderBy(*order_of("traffic_by_hour"))
     )
 
 
-def recent_flows(
-    flows: DataFrame, k: int = LATEST, single_merge: int = SINGLE_MERGE_BYTES
-) -> DataFrame:
-    """Latest flows; see ``latest_rows`` for ``single_merge``."""
+def recent_flows(flows: DataFrame, k: int = LATEST) -> DataFrame:
     columns = [name.lstrip("-") for name in ORDER["recent_flows"]]
-    return latest_rows(flows, order_of("recent_flows"), k, single_merge).select(*columns)
+    return latest_rows(flows, order_of("recent_flows"), k).select(*columns)

@@ -1,44 +1,168 @@
-"""Full refresh: staging table, shared totals, all marts."""
+"""Refresh of the staging table, the shared totals and all marts.
+
+Exports are staged once, in segments: a segment holds the exports that were new
+at one refresh, and their totals, which add up.  A refresh stages what is new,
+stages again the rest of segments that lost an export, and leaves all others as
+they are.  Marts are built from the totals of all segments.
+
+Everything goes to folders of its own.  A version is published at the end by one
+empty marker; readers follow the latest marker, so they see the old tables until
+the new ones are complete, and keep them if a refresh fails.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlake.operators.rollup import destination_totals, port_totals, source_totals
+from flowlake.operators.rollup import fold, hour_totals, port_totals
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import marts, reports
-from flowlake.sources.files import write_table
+from flowlake.sources.files import (
+    delete_path,
+    list_files,
+    list_names,
+    make_folder,
+    read_decoded,
+    write_table,
+)
+
+# Jobs submitted side by side; a small mart leaves most of a cluster idle.
+SIDE_BY_SIDE = 4
+
+# Tables of a segment, from its staged flows.
+TOTALS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "hour_sources": lambda flows: hour_totals(flows, "src_addr"),
+    "hour_destinations": lambda flows: hour_totals(flows, "dst_addr"),
+    "port_totals": port_totals,
+}
+
+MANIFEST = "segment string, entry string, stamp long"
 
 
 def build_marts(decoded: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Rebuild every table under ``root`` from the decoded flows.
+    """Build and publish every table under ``root`` from the decoded flows alone."""
+    spark = decoded.sparkSession
+    segment = _stage(decoded, root)
+    return _publish(spark, root, spark.createDataFrame([(segment, None, None)], MANIFEST))
+
 
-    Totals per source, per destination and per port are written once and serve
-    five of the marts.  Every step starts from written files.
+def refresh_marts(spark: SparkSession, export_root: str, root: str) -> dict[str, DataFrame]:
+    """Bring the tables under ``root`` up to the exports now under ``export_root``.
+
+    Reads only exports that are new, or changed, or share a segment with one that
+    is gone.  The driver sees one row per export.
     """
-    flows = write_table(stage_flows(decoded), f"{root}/stg_flows")
-    sources = write_table(source_totals(flows), f"{root}/source_totals")
-    destinations = write_table(destination_totals(flows), f"{root}/destination_totals")
-    ports = write_table(port_totals(flows), f"{root}/port_totals")
+    stamp = F.bit_xor(F.xxhash64("path", "size_bytes", "modified_at"))
+    listed = {
+        (row.entry, row.stamp)
+        for row in list_files(spark, export_root).groupBy("entry").agg(stamp.alias("stamp")).collect()
+    }
+    segments: dict[str, set] = {}
+    for row in _manifest(spark, root).collect():
+        segments.setdefault(row.segment, set()).add((row.entry, row.stamp))
+    kept = {name: exports for name, exports in segments.items() if exports <= listed}
+    waiting = listed.difference(*kept.values())
+    if waiting:
+        decoded = read_decoded(spark, *sorted(entry for entry, _ in waiting))
+        kept[_stage(decoded, root)] = waiting
+    rows = [(name, entry, mark) for name, exports in kept.items() for entry, mark in sorted(exports)]
+    if not rows:
+        raise ValueError(f"no exports under {export_root}")
+    return _publish(spark, root, spark.createDataFrame(rows, MANIFEST))
+
+
+def _stage(decoded: DataFrame, root: str) -> str:
+    """Write a segment; its totals start from the written flows."""
+    segment = f"segments/{uuid.uuid4().hex}"
+    flows = write_table(stage_flows(decoded), f"{root}/{segment}/stg_flows")
+    _side_by_side({name: (build(flows), f"{root}/{segment}/{name}") for name, build in TOTALS.items()})
+    return segment
+
+
+def _side_by_side(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return dict(zip(tables, pool.map(lambda table: write_table(*table), tables.values()), strict=True))
+
+
+def _publish(spark: SparkSession, root: str, manifest: DataFrame) -> dict[str, DataFrame]:
+    before = versions(spark, root)
+    version = f"v{int(before[-1][1:]) + 1 if before else 1:010d}"
+    folder = f"{root}/{version}"
+    delete_path(spark, folder)  # left over by a refresh that failed
+    manifest = write_table(manifest.coalesce(1), f"{folder}/manifest")
+    segments = [row.segment for row in manifest.select("segment").distinct().collect()]
+
+    def all_of(name: str) -> DataFrame:
+        parts = [spark.read.parquet(f"{root}/{segment}/{name}") for segment in sorted(segments)]
+        return reduce(DataFrame.unionByName, parts)
+
+    flows, ports = all_of("stg_flows"), all_of("port_totals")
+    by_source, by_destination = all_of("hour_sources"), all_of("hour_destinations")
+    totals = _side_by_side(
+        {
+            "source_totals": (fold(by_source, "src_addr"), f"{folder}/source_totals"),
+            "destination_totals": (fold(by_destination, "dst_addr"), f"{folder}/destination_totals"),
+        }
+    )
+    sources, destinations = totals["source_totals"], totals["destination_totals"]
     tables = {
-        "overview_stats": marts.overview_stats(flows, sources, destinations),
+        "traffic_matrix": marts.traffic_matrix(flows),
+        "recent_flows": marts.recent_flows(flows),
         "top_talkers_by_bytes": marts.top_talkers_by_bytes(flows, sources),
         "top_destinations": marts.top_destinations(flows, destinations),
-        "traffic_matrix": marts.traffic_matrix(flows),
+        "traffic_by_hour": marts.traffic_by_hour(flows, by_source, by_destination),
+        "overview_stats": marts.overview_stats(flows, sources, destinations),
         "top_ports": marts.top_ports(flows, ports),
         "protocol_breakdown": marts.protocol_breakdown(flows, ports),
-        "traffic_by_hour": marts.traffic_by_hour(flows),
-        "recent_flows": marts.recent_flows(flows),
     }
-    stored = {name: write_table(table, f"{root}/{name}") for name, table in tables.items()}
+    stored = _side_by_side({name: (table, f"{folder}/{name}") for name, table in tables.items()})
+    make_folder(spark, f"{root}/published/{version}")
     return {"stg_flows": flows, **stored}
 
 
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Published versions, oldest first."""
+    return sorted(list_names(spark, f"{root}/published/v*"))
+
+
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
+    found = versions(spark, root)
+    if not found:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(f"{root}/{found[-1]}/manifest").where("entry IS NOT NULL")
+
+
+def clear_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` latest versions, and segments only those used.
+
+    Not part of a refresh: a reader may still be at work on an older version.
+    """
+    found = versions(spark, root)
+    old, kept = found[: max(0, len(found) - keep)], found[max(0, len(found) - keep) :]
+    used = set()
+    for version in kept:
+        rows = spark.read.schema(MANIFEST).parquet(f"{root}/{version}/manifest").select("segment").distinct()
+        used |= {row.segment for row in rows.collect()}
+    for version in old:
+        delete_path(spark, f"{root}/published/{version}")
+        delete_path(spark, f"{root}/{version}")
+    unused = {f"segments/{name}" for name in list_names(spark, f"{root}/segments/*")} - used
+    return [path for path in [*old, *sorted(unused)] if path in old or delete_path(spark, f"{root}/{path}")]
+
+
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored mart in its own row order."""
-    table = spark.read.parquet(f"{root}/{name}")
+    """A mart of the latest version, in its own row order."""
+    found = versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"nothing published under {root}")
+    table = spark.read.parquet(f"{root}/{found[-1]}/{name}")
     return table.orderBy(*marts.order_of(name)) if name in marts.ORDER else table
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,10 +50,6 @@ def retention_report(
     )
 
 
-def _delete(spark: SparkSession, paths: Iterable[str]) -> set[str]:
-    return {path for path in paths if delete_path(spark, path)}
-
-
 def expire_exports(
     spark: SparkSession,
     files: DataFrame,
@@ -64,21 +59,20 @@ def expire_exports(
 ) -> dict:
     """Delete expired exports and report; by default only report.
 
-    The driver handles one row per export run (1,440 at one run per five
-    minutes and five days), not one per data file.  Only exports that were
-    really removed count as deleted and as freed.
+    Expired exports come to the driver one by one, not those that stay nor their
+    data files.  Only exports that were really removed count as deleted and freed.
     """
     cutoff = age_limit(retention_days, now)
     if dry_run:
         return {"dry_run": True, **retention_report(files, cutoff, retention_days).first().asDict()}
-    ages = export_ages(files).select("entry", "size_bytes", (F.col("modified_at") < cutoff).alias("old"))
-    exports = ages.collect()
-    gone = _delete(spark, [row["entry"] for row in exports if row["old"]])
+    checked = export_ages(files).count()
+    old = expired_exports(files, cutoff).select("entry", "size_bytes").toLocalIterator()
+    freed = [row.size_bytes for row in old if delete_path(spark, row.entry)]
     return {
         "dry_run": False,
-        "files_checked": len(exports),
-        "files_deleted": len(gone),
-        "bytes_freed": sum(row["size_bytes"] for row in exports if row["entry"] in gone),
+        "files_checked": checked,
+        "files_deleted": len(freed),
+        "bytes_freed": sum(freed),
         "retention_days": retention_days,
     }
 
@@ -112,5 +106,4 @@ def drop_days(
     rows = expired_days(files, before).select("day", "partition_path").collect()
     if dry_run:
         return [row["day"] for row in rows]
-    gone = _delete(spark, [row["partition_path"] for row in rows])
-    return [row["day"] for row in rows if row["partition_path"] in gone]
+    return [row["day"] for row in rows if delete_path(spark, row["partition_path"])]

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Largest row cap of any mart (the latest-flows table).  Spark plans a map-side
-# limit ahead of a ranked filter only up to this threshold (its default is 1000).
-RANKED_LIMIT = 50_000
+# Spark prunes ahead of a ranked filter only for ranks up to a threshold (1000 by
+# default); the largest there is, so no cap can outgrow it.
+RANKED_LIMIT = 2**31 - 1
 
 # HotSpot interprets methods beyond this many bytes of bytecode.  Above the limit
 # Spark generates code per operator, which it splits into small methods: the
@@ -29,7 +30,7 @@ def configure(spark: SparkSession) -> SparkSession:
         "spark.sql.optimizer.windowGroupLimitThreshold",
         "spark.sql.codegen.hugeMethodLimit",
     )
-    spark.conf.set(ranked, str(max(int(spark.conf.get(ranked)), RANKED_LIMIT)))
+    spark.conf.set(ranked, str(RANKED_LIMIT))
     spark.conf.set(method, str(min(int(spark.conf.get(method)), METHOD_BYTES)))
     return spark
 
@@ -66,7 +67,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowlake.schema import DECODED, RAW, conform
 
@@ -18,13 +18,17 @@ EXPORT_NAME = "ipfix_decoded_{}.parquet"
 LISTING = "path string, entry string, modified_at timestamp, size_bytes long"
 
 
-def export_name(moment: datetime) -> str:
-    """Name of the files of one export run."""
-    return EXPORT_NAME.format(moment.strftime("%Y%m%d_%H%M%S"))
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Raw flows under ``path``; none while no file has arrived."""
+    return conform(spark.read.schema(raw_schema(spark, path)).parquet(path), RAW)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(path), RAW)
+def raw_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of the raw files under ``path``, ``RAW`` while there are none."""
+    if list_files(spark, path, prefix="").isEmpty():
+        make_folder(spark, path)
+        return RAW
+    return spark.read.parquet(path).schema
 
 
 def read_decoded(spark: SparkSession, *globs: str) -> DataFrame:
@@ -66,6 +70,23 @@ def _file_system(spark: SparkSession, path: str):
     return system, system.makeQualified(target)
 
 
+def list_names(spark: SparkSession, glob: str) -> list[str]:
+    """Names of the files and folders that match."""
+    system, target = _file_system(spark, glob)
+    return [status.getPath().getName() for status in system.globStatus(target) or []]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True if a Spark job wrote ``path`` to its end."""
+    system, target = _file_system(spark, f"{path}/_SUCCESS")
+    return system.exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder; False if it was not there."""
     system, target = _file_system(spark, path)

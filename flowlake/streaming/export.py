@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.operators.decode import decode_flows
 from flowlake.schema import RAW, conform
-from flowlake.sources.files import EXPORT_NAME, write_export
+from flowlake.sources.files import EXPORT_NAME, raw_schema, write_export
 
 INTERVAL = "5 minutes"  # fixed value: time between export runs
 
@@ -31,11 +31,13 @@ def raw_stream(
     """Raw files as they arrive under ``path``.
 
     ``schema`` defaults to that of the files present, which covers writers with
-    unsigned types.  ``purge`` removes files of completed batches: ``delete``,
-    or ``archive`` to move them to the folder ``archive``.
+    unsigned types; before any has arrived it is that of raw flows.  ``purge``
+    removes files of completed batches: ``delete``, or ``archive`` to move them to
+    the folder ``archive``.  Spark does so when it plans a later batch, so the
+    files of the last batch stay until more arrive.
     """
     reader = (
-        spark.readStream.schema(schema or spark.read.parquet(path).schema)
+        spark.readStream.schema(schema or raw_schema(spark, path))
         .option("pathGlobFilter", "*.parquet")
         .option("cleanSource", purge)
     )

@@ -1,21 +1,24 @@
 """Export, retention, layout and refresh jobs on scratch folders."""
 
 import os
+import re
+import time
 from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from flowlake.operators import flags
 from flowlake.operators.decode import decode_flows
 from flowlake.operators.staging import stage_flows
-from flowlake.plans import export, layout, refresh, retention
+from flowlake.plans import export, layout, marts, refresh, reports, retention
+from flowlake.plans.analytics import run_analytics
 from flowlake.schema import DECODED, RAW, STAGED
 from flowlake.sources import files as io
+from flowlake.sources.files import write_table
 from flowlake.sources.samples import sample_raw_flows
 from flowlake.streaming.export import raw_stream, start_export
 
@@ -118,25 +121,58 @@ def test_batch_export_round_trip(spark, raw, tmp_path):
     assert census == {"dry_run": True, **flags.export_census(raw).first().asDict()}
     assert not (tmp_path / "exports").exists()
 
-    moment = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
-    run = dict(raw_path=source, export_root=root, dry_run=False, moment=moment)
+    run = dict(raw_path=source, export_root=root, dry_run=False)
     first = export.run_export(spark, remainder_path=str(tmp_path / "rest"), mark=False, **run)
-    assert first["path"].endswith("/ipfix_decoded_20240102_030405.parquet")
+    assert re.search(r"/ipfix_decoded_\d{8}_\d{6}_[0-9a-f]+\.parquet$", first["path"])
     marked = raw.where("exported = 1")
     assert first["rows_exported"] == marked.count()
     assert sums(io.read_exports(spark, root)) == sums(decode_flows(marked))
     assert io.read_raw(spark, str(tmp_path / "rest")).count() == 2000 - marked.count()
     assert any(".zstd." in f.name for f in Path(first["path"]).iterdir())
-    # The same run cannot be written twice.
-    with pytest.raises(AnalysisException):
-        export.run_export(spark, remainder_path=str(tmp_path / "rest2"), mark=False, **run)
     # Marking first exports everything that is left.
-    run |= {"raw_path": str(tmp_path / "rest"), "moment": moment + timedelta(minutes=5)}
+    run |= {"raw_path": str(tmp_path / "rest")}
     export.run_export(spark, remainder_path=str(tmp_path / "rest3"), **run)
     assert sums(io.read_exports(spark, root)) == sums(decode_flows(raw))
     assert io.read_raw(spark, str(tmp_path / "rest3")).count() == 0
 
 
+@pytest.mark.parametrize("complete", [True, False])
+def test_batch_export_after_a_crash(spark, raw, tmp_path, monkeypatch, complete):
+    """A run that ends within the export or before the remainder, and one more."""
+    source, root, rest = (str(tmp_path / name) for name in ("raw", "exports", "rest"))
+    raw.write.parquet(source)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(export, "remaining_flows", crash)
+        with pytest.raises(RuntimeError):
+            export.run_export(spark, source, root, rest, dry_run=False)
+    if not complete:
+        (folder,) = (tmp_path / "exports").iterdir()
+        (folder / "_SUCCESS").unlink()
+        next(folder.glob("part-*")).unlink()
+    for _ in range(2):
+        report = export.run_export(spark, source, root, rest, dry_run=False)
+        assert report["rows_exported"] == 2000 and len(list((tmp_path / "exports").iterdir())) == 1
+        assert sums(io.read_exports(spark, root)) == sums(decode_flows(raw))
+        assert io.read_raw(spark, rest).count() == 0
+
+
+def test_nothing_has_landed_yet(spark, raw, tmp_path):
+    source, root = f"{tmp_path}/raw", f"{tmp_path}/exports"
+    report = export.run_export(spark, source, root, f"{tmp_path}/rest", dry_run=False)
+    assert report == {"dry_run": False, "path": None, "rows_exported": 0}
+    assert export.run_export(spark, source, root, f"{tmp_path}/rest")["total_rows"] == 0
+    query = start_export(raw_stream(spark, source), root, f"{tmp_path}/checkpoint", once=True)
+    query.awaitTermination()
+    assert not list(tmp_path.glob("exports/*"))
+    raw.coalesce(1).write.mode("append").parquet(source)
+    start_export(raw_stream(spark, source), root, f"{tmp_path}/checkpoint", once=True).awaitTermination()
+    assert sums(io.read_exports(spark, root)) == sums(decode_flows(raw))
+
+
 def run_stream(spark, root, purge="off", **options):
     stream = raw_stream(spark, f"{root}/raw", purge=purge, **options)
     query = start_export(stream, f"{root}/exports", f"{root}/checkpoint", once=True)
@@ -177,12 +213,24 @@ def test_stream_with_a_new_checkpoint_keeps_earlier_exports(spark, raw, tmp_path
 
 
 def test_stream_purges_processed_files(spark, raw, tmp_path):
+    """Spark removes the files of a batch when it plans a later one."""
+
+    def left():
+        return {p.name for p in (tmp_path / "raw").glob("*.parquet")}
+
     raw.repartition(2).write.parquet(f"{tmp_path}/raw")
+    first = left()
     run_stream(spark, tmp_path, purge="delete")
+    assert left() == first
     raw.limit(10).coalesce(1).write.mode("append").parquet(f"{tmp_path}/raw")
+    second = left() - first
     exported = run_stream(spark, tmp_path, purge="delete")
     assert exported.count() == 2010
-    assert len(list((tmp_path / "raw").glob("*.parquet"))) < 3
+    for _ in range(50):  # the removal runs beside the query
+        if left() == second:
+            break
+        time.sleep(0.2)
+    assert left() == second
 
 
 # --- retention ---------------------------------------------------------------
@@ -268,7 +316,7 @@ def day_flows(spark, hours=96, hot=900):
 def test_compaction_by_day(spark, tmp_path):
     flows = day_flows(spark)
     path = f"{tmp_path}/days"
-    layout.compact(flows, path, total_bytes=8, file_bytes=1)
+    layout.compact(flows, path, rows_per_file=100)
     table = layout.read_days(spark, path)
     assert sums(table.drop("day")) == sums(flows)
     assert sorted(p.name for p in Path(path).glob("day=*")) == [f"day=2024050{d}" for d in (1, 2, 3, 4)]
@@ -290,14 +338,32 @@ def test_compaction_by_day(spark, tmp_path):
     assert sorted(p.name for p in Path(path).glob("day=*")) == ["day=20240503", "day=20240504"]
 
 
-def test_narrowed_latest_rows_prune_days(spark, tmp_path):
-    from flowlake.plans import marts
-
-    layout.compact(day_flows(spark), f"{tmp_path}/days", total_bytes=4, file_bytes=1)
+def test_compaction_of_one_day_leaves_the_others(spark, tmp_path):
+    path = f"{tmp_path}/days"
+    flows = write_table(day_flows(spark).repartition(8), f"{tmp_path}/exports")
+    layout.compact(flows, path)
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    more = flows.unionByName(day_flows(spark, hours=50, hot=0))
+    layout.compact(more, path, date(2024, 5, 3), date(2024, 5, 3))
+    after = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    changed = {p.parent.name for p in before.keys() ^ after.keys()}
+    assert changed == {"day=20240503"} and all(after[p] == before[p] for p in before.keys() & after.keys())
+    counts = {r.day: r["count"] for r in layout.read_days(spark, path).groupBy("day").count().collect()}
+    assert counts == {"20240501": 24, "20240502": 924, "20240503": 26, "20240504": 24}
+    plan = flows.where(F.col("time_received_ns") >= layout._nanos(date(2024, 5, 3)))._jdf.queryExecution()
+    assert "GreaterThanOrEqual(time_received_ns" in plan.executedPlan().toString()
+
+
+def test_latest_rows_of_a_table_by_day(spark, tmp_path):
+    layout.compact(day_flows(spark), f"{tmp_path}/days", rows_per_file=250)
     flows = stage_flows(layout.read_days(spark, f"{tmp_path}/days"))
     for k in (10, 200, 2000):
-        narrowed, plain = marts.recent_flows(flows, k, 0), marts.recent_flows(flows, k)
-        assert narrowed.collect() == plain.collect()
+        plain = flows.select(*[n.lstrip("-") for n in marts.ORDER["recent_flows"]])
+        plain = plain.orderBy(*marts.order_of("recent_flows")).limit(k)
+        assert marts.recent_flows(flows, k).collect() == plain.collect()
+    plan = reports.hourly_traffic_of(flows, date(2024, 5, 10))._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "day#" in filters and "20240502" in filters
 
 
 def test_file_report(spark, tmp_path):
@@ -309,17 +375,81 @@ def test_file_report(spark, tmp_path):
     size = sum(p.stat().st_size for p in Path(tmp_path).glob("t/day=20240502/*.parquet"))
     assert report[1].size == (f"{size:.2f} B" if size < 1024 else f"{size / 1024:.2f} KiB")
     assert report[0].oldest_part <= report[0].newest_part
-    assert layout.total_size(io.list_files(spark, f"{tmp_path}/t", "day=")) > 0
+    assert layout.newest_files(files, 2).count() == 2
+    sizes = layout.table_sizes(files, F.regexp_extract("path", r"/(t)/", 1)).first()
+    assert (sizes.table, sizes.rows, sizes.parts) == ("t", 40, 4)
 
 
 # --- refresh -----------------------------------------------------------------
 
 
-def test_refresh_twice_and_dashboard(spark, raw, tmp_path):
+def contents(spark, root):
+    names = [*marts.ORDER, "overview_stats"]
+    return {name: [tuple(r) for r in refresh.read_mart(spark, root, name).collect()] for name in names}
+
+
+def write_exports(raw, root, *numbers):
+    for n in numbers:
+        part = raw.where(F.xxhash64("time_received_ns", "src_port") % 3 == n)
+        io.write_export(decode_flows(part).coalesce(1), root, f"ipfix_decoded_{n}.parquet", "overwrite")
+
+
+def test_refresh_reads_only_what_is_new(spark, raw, tmp_path):
+    exports, root = f"{tmp_path}/exports", f"{tmp_path}/marts"
+    write_exports(raw, exports, 0, -1)
+    refresh.refresh_marts(spark, exports, root)
+    first = set((tmp_path / "marts" / "segments").iterdir())
+    write_exports(raw, exports, 1, -2, 2)
+    refresh.refresh_marts(spark, exports, root)
+    (added,) = set((tmp_path / "marts" / "segments").iterdir()) - first
+    new = raw.where(F.xxhash64("time_received_ns", "src_port") % 3 > 0).count()
+    new += raw.where(F.xxhash64("time_received_ns", "src_port") % 3 == -2).count()
+    assert spark.read.parquet(f"{added}/stg_flows").count() == new
+    refresh.build_marts(io.read_exports(spark, exports), f"{tmp_path}/full")
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/full")
+    assert contents(spark, root)["overview_stats"][0][0] == 2000
+    # Without anything new, no segment is written.
+    refresh.refresh_marts(spark, exports, root)
+    assert len(list((tmp_path / "marts" / "segments").iterdir())) == 2
+    # An export that is gone takes the rest of its segment along, once more.
+    io.delete_path(spark, f"{exports}/ipfix_decoded_0.parquet")
+    refresh.refresh_marts(spark, exports, root)
+    refresh.build_marts(io.read_exports(spark, exports), f"{tmp_path}/less")
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/less")
+    assert len(refresh.versions(spark, root)) == 4
+    refresh.clear_versions(spark, root)
+    assert len(refresh.versions(spark, root)) == 2
+    assert len(list((tmp_path / "marts" / "segments").iterdir())) == 3
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/less")
+
+
+def test_failed_refresh_changes_and_deletes_nothing(spark, raw, exports, tmp_path, monkeypatch):
+    source, root = f"{tmp_path}/own", f"{tmp_path}/marts"
+    write_exports(raw, source, 0)
+    refresh.refresh_marts(spark, source, root)
+    before = contents(spark, root)
+    write_exports(raw, source, 1)
+    later = datetime.now() + timedelta(days=400)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh.marts, "top_ports", crash)
+        with pytest.raises(RuntimeError):
+            run_analytics(spark, source, root, 5, later, dry_run=False)
+    assert contents(spark, root) == before
+    assert io.read_exports(spark, source).count() > 0
+    report = run_analytics(spark, source, root, 5, later, dry_run=False)
+    assert report["files_deleted"] == 2 and contents(spark, root) != before
+    assert not list((tmp_path / "own").glob("ipfix_*"))
+    with pytest.raises(FileNotFoundError):
+        refresh.read_mart(spark, f"{tmp_path}/none", "top_ports")
+
+
+def test_dashboard(spark, raw, tmp_path):
     root = f"{tmp_path}/marts"
-    decoded = decode_flows(raw)
-    refresh.build_marts(decoded.limit(10), root)
-    stored = refresh.build_marts(decoded, root)
+    stored = refresh.build_marts(decode_flows(raw), root)
     assert stored["stg_flows"].count() == 2000
     page = refresh.dashboard(spark, root, date(2000, 1, 1))
     assert page["overview_stats"].first().total_flows == 2000

@@ -5,7 +5,7 @@ from check import TESTDATA, compare, oracle
 
 import __spark_entry__ as entry
 
-SQL = entry.oracle_sql()
+SQL = entry._flow_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,18 +13,15 @@ def connection():
     return oracle(f"{TESTDATA}/sf0.01")
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._flow_queries()))
 def test_query(spark, connection, name):
-    result = entry.queries()[name](spark, f"{TESTDATA}/sf0.01")
-    if name in SQL:
-        assert compare(result, SQL[name], connection) > 0
-    else:
-        assert result.count() > 0
+    result = entry._flow_queries()[name](spark, f"{TESTDATA}/sf0.01")
+    assert compare(result, SQL[name], connection) > 0
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_only_file_listings_lack_sql():
-    assert set(entry.queries()) - set(SQL) == {"expired_files", "retention_report", "file_report"}
+def test_every_flow_query_has_sql():
+    assert set(entry._flow_queries()) == set(entry._flow_sql())

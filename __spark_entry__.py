@@ -40,6 +40,7 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = None
 
 AS_OF = date(2000, 1, 1)  # "today" of the reports that look back from a day
+EPOCH_MICROS = 820_000_000_000_000  # keeps sums of moments small
 CUTOFF = "1998-01-15 00:00:00"  # orders have times at midnight, some of them this one
 
 
@@ -144,12 +145,10 @@ def _figures(mart: str, table: DataFrame) -> DataFrame:
     """Per column: rows, non-null values, and a sum of numbers, lengths or times."""
     figures = []
     for name, kind in table.dtypes:
-        value = F.col(name)
-        if kind == "string":
-            value = F.length(name)
-        elif kind == "timestamp":
-            value = F.unix_micros(name) / 1000000 - 820000000
-        total = F.coalesce(F.round(F.sum(value.cast("double")), 3), F.lit(0.0))
+        total = F.sum(F.length(name) if kind == "string" else name)
+        if kind == "timestamp":  # summed as integers: exact in any order
+            total = F.sum(F.unix_micros(name) - EPOCH_MICROS) / 1000000.0
+        total = F.coalesce(F.round(total.cast("double"), 3), F.lit(0.0))
         figures.append(
             F.struct(
                 F.lit(name).alias("column"),
@@ -514,7 +513,11 @@ _MARTS = {
     "traffic_by_hour": (_HOURS, "hour:M total_gb:N flow_count:N avg_bytes_per_flow:N unique_sources:N unique_destinations:N"),
     "recent_flows": (_LATEST.format(k=50000), "received_at:M src_addr:T dst_addr:T src_port:N dst_port:N proto:N bytes:N packets:N"),
 }
-_SUMMED = {"T": "length({})", "M": "epoch_us({}) / 1000000 - 820000000", "N": "{}"}
+_SUMMED = {
+    "T": "sum(length({}))",
+    "M": f"sum(epoch_us({{}}) - {EPOCH_MICROS})::DOUBLE / 1000000",
+    "N": "sum({})",
+}
 
 
 def _mart_figures() -> str:
@@ -525,7 +528,7 @@ def _mart_figures() -> str:
             value = _SUMMED[kind].format(name)
             parts.append(
                 f"SELECT '{mart}' AS mart, count(*) AS rows, '{name}' AS \"column\", count({name}) AS filled, "
-                f"coalesce(round(sum(({value})::DOUBLE), 3), 0) AS total FROM ({query})"
+                f"coalesce(round(({value})::DOUBLE, 3), 0) AS total FROM ({query})"
             )
     return " UNION ALL ".join(parts)
 

@@ -182,7 +182,50 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
             lambda x: x IS NOT NULL) END, ' ')) AS kept_sha256
 FROM words LEFT JOIN lists USING (doc_id)"""
 
+_TOOL_CALLS = """
+WITH RECURSIVE turns AS (SELECT DISTINCT conv_id, turn, role, text, length(text) AS n FROM conversations),
+calls AS (
+    SELECT conv_id, turn, n % 100 AS lim,
+        CASE WHEN role = 'system' THEN 'configure' WHEN n % 2 = 0 THEN 'search' ELSE 'translate' END AS name,
+        CASE WHEN n % 13 > 0 THEN text END AS query, CASE WHEN turn >= 2 THEN turn - 2 END AS use
+    FROM turns WHERE role IN ('user', 'system')
+),
+results AS (SELECT conv_id, turn, turn - 1 AS call, text FROM turns WHERE role = 'assistant'),
+levels AS (
+    SELECT c.conv_id, c.turn, 0 AS level FROM calls c ANTI JOIN calls d ON d.conv_id = c.conv_id AND d.turn = c.use
+    UNION ALL
+    SELECT c.conv_id, c.turn, level + 1 FROM levels l JOIN calls c ON c.conv_id = l.conv_id AND c.use = l.turn
+),
+checked AS (
+    SELECT *, CASE name
+            WHEN 'search' THEN [
+                CASE WHEN lim > 80 THEN 'limit: maximum' END,
+                CASE WHEN length(query) < 40 THEN 'query: minLength' END,
+                CASE WHEN query IS NULL THEN 'query: required' END]
+            WHEN 'translate' THEN [
+                CASE WHEN use IS NULL THEN 'after: required' END, CASE WHEN lim < 20 THEN 'limit: minimum' END]
+            ELSE ['unknown tool'] END
+        || [CASE WHEN use IS NOT NULL AND NOT EXISTS (
+            SELECT 1 FROM calls d WHERE d.conv_id = calls.conv_id AND d.turn = calls.use
+        ) THEN 'no such call: c' || use END] AS found
+    FROM calls
+)
+SELECT conv_id, 'call' AS kind, turn, 'c' || turn AS call_id, name, level,
+    CASE WHEN r.conv_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+    len(list_filter(found, lambda x: x IS NOT NULL)) = 0 AS valid,
+    array_to_string(list_filter(found, lambda x: x IS NOT NULL), '; ') AS errors,
+    concat('{"arguments":{', CASE WHEN use IS NOT NULL THEN concat('"after":"$result:c', use, '",') END,
+        '"limit":', lim, CASE WHEN query IS NOT NULL THEN concat(',"query":', to_json(query)) END,
+        '},"id":"c', turn, '","name":"', name, '","result":', coalesce(to_json(r.text)::VARCHAR, 'null'), '}') AS record
+FROM checked JOIN levels USING (conv_id, turn)
+LEFT JOIN (SELECT conv_id, call AS turn, text FROM results) r USING (conv_id, turn)
+UNION ALL
+SELECT r.conv_id, 'result', r.turn, 'c' || call, NULL, NULL,
+    CASE WHEN c.conv_id IS NULL THEN 'orphan' ELSE 'linked' END, NULL, NULL, NULL
+FROM results r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.turn = r.call"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_tool_call_linking": _TOOL_CALLS,
     "op5_substring_dedup": _SUBSTRINGS,
     "op10_embedding_near_dedup": _NEAR_VECTORS,
 }

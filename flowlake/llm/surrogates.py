@@ -40,13 +40,15 @@ ENDINGS = {
 
 # What an entity looks like.  Order decides where two would start
 # at the same place.
+# Patterns read forwards only: looking back from every character is slow.  A label
+# or title is matched with what it announces, and told apart afterwards.
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 _TITLE = "(?:" + "|".join(TITLES.values()) + ")"
 _FIRST = "(?:" + "|".join(GIVEN.values()) + ")"
-_LABEL = r"(?:password|passwd|pwd|secret|token|api_?key)"
+_LABEL = r"(?i:password|passwd|pwd|secret|token|api_?key) ?[=:] ?[\"']?"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
-    "secret": rf"(?<=(?i:{_LABEL}) ?[=:] ?[\"']?)[A-Za-z0-9+/_.~-]{{6,}}(?<![.])"
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
+    "secret": rf"\b{_LABEL}[A-Za-z0-9+/_.~-]{{5,}}[A-Za-z0-9+/_~-]"
     r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[a-f]*\d)[0-9a-f]{32,64}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}\b|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}\b"
@@ -54,14 +56,10 @@ PATTERNS = {
     "ip": r"\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "card": r"\b\d(?:[ -]?\d){12,18}\b",
-    "name": rf"(?<=\b{_TITLE}\.? ){_NAME}|(?<=\b{_TITLE}\.? {_NAME} ){_NAME}"
-    rf"|\b{_FIRST}(?= \p{{Lu}}\p{{L}})|(?<=\b{_FIRST} ){_NAME}",
+    "name": rf"\b{_TITLE}\.? {_NAME}(?: {_NAME})?|\b{_FIRST} {_NAME}",
 }
 PATTERN = "|".join(PATTERNS.values())
 
-# Characters before an entity that help to tell its kind.
-_BEFORE = 40
-
 _ROW = ["doc_id", "sig"]
 
 
@@ -69,23 +67,29 @@ def _is(kind: str, hit: Column) -> Column:
     return hit.rlike(f"^(?:{PATTERNS[kind]})$")
 
 
-def _kind(hit: Column, before: Column, after: Column) -> Column:
-    """Kind of an entity, names by gender and script as ``name_f_latin``."""
+def _lead(hit: Column) -> Column:
+    """The label or title that an entity was matched with, or nothing."""
+    return F.regexp_extract(hit, rf"^(?:{_LABEL}|{_TITLE}\.? (?=\p{{Lu}}))", 0)
+
+
+def _kind(hit: Column, lead: Column, first: Column, alone: Column) -> Column:
+    """Kind of an entity, names by gender and script as ``name_f_latin``.
+
+    ``hit`` comes without its ``lead``; of a name it is one of its words, the
+    ``first`` or another.  A name ``alone`` after a title is a surname, unless it
+    is a known first name."""
     script = (
         F.when(hit.rlike(r"\p{IsCyrillic}"), "cyrillic").when(hit.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
     )
-    # A name is a surname if it is the second of two, after a title or a known
-    # first name, or if it is alone after a title.
-    second = before.rlike(rf"(?:\b{_TITLE}\.? {_NAME} |\b{_FIRST} )$")
-    surname = ~hit.rlike(f"^{_FIRST}$") & (second | (after != " "))
+    surname = ~hit.rlike(f"^{_FIRST}$") & (~first | alone)
     gender = F.lit("n")
     for g in ("f", "m"):
-        named = hit.rlike(f"^(?:{GIVEN[g]})$") | before.rlike(rf"\b(?:{TITLES[g]})\.? $")
+        named = hit.rlike(f"^(?:{GIVEN[g]})$") | lead.rlike(rf"^(?:{TITLES[g]})\.? $")
         gender = F.when(named, g).otherwise(gender)
     name = F.concat_ws("_", F.lit("name"), F.when(surname, "s").otherwise(gender), script)
     return (
-        F.when(hit.contains("@"), "email")
-        .when(before.rlike(rf"(?i){_LABEL} ?[=:] ?[\"']?$"), "secret")
+        F.when(lead.rlike("[=:]"), "secret")
+        .when(hit.contains("@"), "email")
         .when(hit.rlike(r"^(?:AKIA[0-9A-Z]{16}|(?=[a-f]*\d)[0-9a-f]{32,64})$"), "secret")
         .when(_is("iban", hit), "iban")
         .when(_is("ip", hit), "ip")
@@ -254,26 +258,27 @@ def _written(kind: Column, hit: Column, normal: Column) -> Column:
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """(doc_id, sig, place, hit, kind, normal) of each entity of ``docs`` (doc_id,
-    text, sig), ``place`` counting the entities of a text."""
+    """(doc_id, sig, place, part, lead, hit, kind, normal) of each entity of
+    ``docs`` (doc_id, text, sig), ``place`` counting the matches of a text and
+    ``part`` the words of a name."""
     # Most texts hold nothing that could start an entity; those are told apart by
-    # a single, cheaper pass.
-    likely = F.col("text").rlike(rf"[0-9@]|(?i:{_LABEL})|\b(?:{_TITLE}|{_FIRST})\b")
-    hits = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    gaps = F.transform(F.split("text", PATTERN, -1), lambda gap: F.right(gap, F.lit(_BEFORE)))
-    found = (
-        docs.where(likely)
-        .select(*_ROW, hits.alias("hits"), gaps.alias("gaps"))
-        .select(*_ROW, F.col("hits"), F.col("gaps"), F.posexplode("hits").alias("place", "hit"))
+    # cheaper passes.
+    likely = F.col("text").rlike("[0-9@=:]") | F.col("text").rlike(rf"\b(?:{_TITLE}|{_FIRST})\b")
+    found = docs.where(likely).select(
+        *_ROW, F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "whole")
+    )
+    bare = found.withColumn("lead", _lead(F.col("whole"))).withColumn(
+        "rest", F.substr("whole", F.length("lead") + 1)
+    )
+    is_name = (F.length("lead") > 0) & ~F.col("lead").rlike("[=:]") | F.col("rest").rlike(rf"^{_FIRST} ")
+    words = F.when(is_name, F.split("rest", " ")).otherwise(F.array("rest"))
+    parts = bare.withColumn("words", words).select(
+        *_ROW, "place", "lead", F.size("words").alias("n"), F.posexplode("words").alias("part", "hit")
     )
-    # What stands before an entity: the gap, and the entity before that if near.
-    last = F.when(F.col("place") > 0, F.element_at("hits", F.greatest(F.col("place"), F.lit(1)))).otherwise("")
-    before = F.right(F.concat(last, F.element_at("gaps", F.col("place") + 1)), F.lit(_BEFORE))
-    after = F.element_at("gaps", F.col("place") + 2)
-    kinds = found.select(*_ROW, "place", "hit", before.alias("before"), after.alias("after")).withColumn(
-        "kind", _kind(F.col("hit"), F.col("before"), F.col("after"))
+    kind = _kind(F.col("hit"), F.col("lead"), F.col("part") == 0, F.col("n") == 1)
+    return parts.withColumn("kind", kind).select(
+        *_ROW, "place", "part", "lead", "hit", "kind", _normal(F.col("kind"), F.col("hit")).alias("normal")
     )
-    return kinds.select(*_ROW, "place", "hit", "kind", _normal(F.col("kind"), F.col("hit")).alias("normal"))
 
 
 def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -330,15 +335,20 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         F.xxhash64("text").alias("sig"),
     )
     found = stored(
-        find_entities(rows).groupBy(*_ROW, "place").agg(*[F.first(c).alias(c) for c in ("hit", "kind", "normal")]),
+        find_entities(rows)
+        .groupBy(*_ROW, "place", "part")
+        .agg(*[F.first(c).alias(c) for c in ("lead", "hit", "kind", "normal")]),
         "entities",
     )
     named = found.join(make_surrogates(found, key), ["kind", "normal"])
     written = _written(F.col("kind"), F.col("hit"), F.col("surrogate"))
     by_row = (
-        named.select(*_ROW, "place", written.alias("new"))
+        named.select(*_ROW, "place", "lead", F.struct("part", written.alias("new")).alias("word"))
+        .groupBy(*_ROW, "place", "lead")
+        .agg(F.sort_array(F.collect_list("word")).alias("words"))
+        .select(*_ROW, "place", F.concat("lead", F.array_join("words.new", " ")).alias("new"), F.size("words").alias("n"))
         .groupBy(*_ROW)
-        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"), F.sum("n").alias("n_entities"))
     )
     rebuilt = F.array_join(
         F.zip_with(
@@ -351,5 +361,5 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     text = F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col("text"))
     return rows.join(by_row, _ROW, "left").select(
         *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
-        F.when(F.col("_new").isNotNull(), F.size("_new")).otherwise(0).cast("long").alias("n_entities"),
+        F.coalesce("n_entities", F.lit(0)).cast("long").alias("n_entities"),
     )

@@ -94,13 +94,14 @@ def _signed(values: np.ndarray) -> pa.Array:
 def _sets(rank: np.ndarray, similarity: Fraction):
     """Per line: digest and size of its token set, parity bits, prefix.
 
-    Each token flips one bit of either parity word, so two sets differ in at
-    least as many tokens as either word does in bits."""
+    Each token flips one of 128 parity bits, held in two words, so two sets differ
+    in at least as many tokens as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
             x = _Lines(texts, rank)
             spread = mixed(x.tokens)
+            bit = np.uint64(1) << (spread & np.uint64(63))
             n = x.sizes
             least = -(-similarity.numerator * n // similarity.denominator)
             prefix = n - least + 1
@@ -116,8 +117,8 @@ def _sets(rank: np.ndarray, similarity: Fraction):
                     pa.array(x.line, pa.int32()),
                     pa.array(n, pa.int32()),
                     *[
-                        _signed(x.summed(np.uint64(1) << (spread >> shift & np.uint64(63)), np.bitwise_xor))
-                        for shift in (np.uint64(0), np.uint64(6))
+                        _signed(x.summed(np.where(spread >> np.uint64(6) & np.uint64(1) == half, bit, 0), np.bitwise_xor))
+                        for half in (0, 1)
                     ],
                     pa.ListArray.from_arrays(
                         pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), _signed(x.tokens[kept])
@@ -173,11 +174,12 @@ def _candidates(similarity: Fraction, every: bool):
                 first = begin[open_] + step
                 total = n[open_] + n[first]
                 shared = -(-a * total // (a + b))  # tokens two such lines must share
-                good = (np.minimum(n[open_], n[first]) * b >= a * np.maximum(n[open_], n[first])) & (
-                    1 + np.minimum(left[open_], left[first]) >= shared
+                unlike = sum(np.bitwise_count(word[open_] ^ word[first]) for word in parity)
+                good = (
+                    (np.minimum(n[open_], n[first]) * b >= a * np.maximum(n[open_], n[first]))
+                    & (1 + np.minimum(left[open_], left[first]) >= shared)
+                    & (unlike <= total - 2 * shared)
                 )
-                for word in parity:
-                    good &= np.bitwise_count(word[open_] ^ word[first]) <= total - 2 * shared
                 later.append(open_[good])
                 earlier.append(first[good])
                 step += 1

@@ -89,8 +89,9 @@ def op2_tool_call_linking(spark: SparkSession, tables: str) -> DataFrame:
     results = rows.where("role = 'assistant'").select(
         "conv_id", "turn", F.concat(F.lit("c"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
     )
-    linked = link_tool_calls(calls, results, TOOLS)
-    return linked.withColumn("errors", F.array_join("errors", "; "))
+    linked = link_tool_calls(calls, results, TOOLS).withColumn("errors", F.array_join("errors", "; "))
+    # Results have no name, level, errors or record of their own.
+    return linked.fillna("", ["name", "errors", "record"]).fillna(-1, ["level"]).fillna(False, ["valid"])
 
 
 def op3_surrogates(spark: SparkSession, tables: str) -> DataFrame:
@@ -203,7 +204,8 @@ checked AS (
                 CASE WHEN length(query) < 40 THEN 'query: minLength' END,
                 CASE WHEN query IS NULL THEN 'query: required' END]
             WHEN 'translate' THEN [
-                CASE WHEN use IS NULL THEN 'after: required' END, CASE WHEN lim < 20 THEN 'limit: minimum' END]
+                CASE WHEN use IS NULL THEN 'after: required' END, CASE WHEN lim < 20 THEN 'limit: minimum' END,
+                CASE WHEN query IS NULL THEN 'query: required' END]
             ELSE ['unknown tool'] END
         || [CASE WHEN use IS NOT NULL AND NOT EXISTS (
             SELECT 1 FROM calls d WHERE d.conv_id = calls.conv_id AND d.turn = calls.use
@@ -220,8 +222,8 @@ SELECT conv_id, 'call' AS kind, turn, 'c' || turn AS call_id, name, level,
 FROM checked JOIN levels USING (conv_id, turn)
 LEFT JOIN (SELECT conv_id, call AS turn, text FROM results) r USING (conv_id, turn)
 UNION ALL
-SELECT r.conv_id, 'result', r.turn, 'c' || call, NULL, NULL,
-    CASE WHEN c.conv_id IS NULL THEN 'orphan' ELSE 'linked' END, NULL, NULL, NULL
+SELECT r.conv_id, 'result', r.turn, 'c' || call, '', -1,
+    CASE WHEN c.conv_id IS NULL THEN 'orphan' ELSE 'linked' END, false, '', ''
 FROM results r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.turn = r.call"""
 
 ORACLE_SQL: dict[str, str] = {

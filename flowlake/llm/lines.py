@@ -301,12 +301,16 @@ def kept_lines(
     matched = checked.where("same").select(*_AT)
     # A line whose earliest candidate fails asks once more, for all it has.
     failed = stored(
-        placed.join(checked.where("NOT same").select(*_AT), _AT, "left_semi").select(*_AT, "prefix"), "failed"
+        placed.join(checked.where("NOT same").select(*_AT), _AT, "left_semi").select(*_AT, "n", "prefix"), "failed"
     )
     if not failed.isEmpty():
-        shared = stored(failed.select(F.explode("prefix").alias("token")).distinct(), "shared")
+        # Of each token only lines of a length that one of them could resemble.
+        held = failed.select("n", F.explode("prefix").alias("token")).groupBy("token")
+        shared = stored(held.agg(F.min("n").alias("least"), F.max("n").alias("most")), "shared")
         asking = failed.select(*_AT, F.lit(True).alias("asks"))
-        again = tokens.join(shared, "token", "left_semi").join(asking, _AT, "left")
+        a, b = similarity.numerator, similarity.denominator
+        near = tokens.join(shared, "token").where((F.col("n") * b >= F.col("least") * a) & (F.col("n") * a <= F.col("most") * b))
+        again = near.drop("least", "most").join(asking, _AT, "left")
         again = again.withColumn("asks", F.coalesce("asks", F.lit(False)))
         more = _similar(docs, stored(candidates(again, True).distinct(), "pairs"), rank, similarity)
         matched = matched.union(more.where("same").select(*_AT))

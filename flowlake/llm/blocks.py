@@ -113,8 +113,12 @@ class Words:
 
     def hashes(self, change: np.ndarray | None = None) -> np.ndarray:
         """64-bit hash of each word, bytes replaced by the table ``change`` first."""
-        table = _BYTES if change is None else _BYTES[change]
-        return Spans(table[self.data]).of(self.begin, self.end)
+        return Spans(byte_values(self.data, change)).of(self.begin, self.end)
+
+
+def byte_values(data: np.ndarray, change: np.ndarray | None = None) -> np.ndarray:
+    """Value of each byte for ``Spans``, bytes replaced by the table ``change`` first."""
+    return (_BYTES if change is None else _BYTES[change])[data]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -10,11 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Spans, Words, mixed, stored, text_slices
+from flowlake.llm.blocks import Spans, Words, byte_values, mixed, stored, text_slices
 
-# Hashed features: words, their shapes, and words that repeat the one before.
+# Hashed features: words, their beginnings and shapes, and words that repeat the
+# one before.
 BUCKETS = 1 << 22
 
+# Letters of the beginnings of longer words.  Compounds too rare to tell anything
+# one by one tell it together.
+BEGINNINGS = (4, 6)
+
 # Rated documents the model is fitted on at most; those of the smallest hashes
 # of doc_id if there are more.
 SAMPLE_ROWS = 10_000
@@ -23,10 +28,10 @@ SAMPLE_ROWS = 10_000
 # of those above some grade differs from its share of the others by this many
 # standard errors.  Others tell grades apart by chance only.
 LEAST_DOCS = 5
-LEAST_GAP = 6.0
+LEAST_GAP = 4.0
 
 # A document is kept if its chance of the best grade is at least this.
-CUTOFF = 0.5
+CUTOFF = 0.6
 
 # How bytes count: letters A-Z without case in words; by class in shapes.
 _LOWER = np.arange(256)
@@ -41,26 +46,29 @@ def hashed_features(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, count) of each feature of each text, sorted by row and feature.
 
-    A word gives its hash, that of its shape (capitals, other letters, digits and
-    marks, each run as one), and whether it repeats the word before.  ``known``
-    marks the features wanted."""
+    A word gives its hash, those of its ``BEGINNINGS`` if it is longer, that of its
+    shape (capitals, other letters, digits and marks, each run as one), and whether
+    it repeats the word before.  ``known`` marks the features wanted."""
     words = Words(texts)
     row = np.repeat(np.arange(len(texts)), np.diff(words.starts))
-    plain = words.hashes(_LOWER)
+    lower = Spans(byte_values(words.data, _LOWER))
+    plain = lower.of(words.begin, words.end)
     kinds = _CLASS[words.data]
     run = np.append(True, kinds[1:] != kinds[:-1])[: len(kinds)]
     run[words.begin] = True
     place = np.append(0, np.cumsum(run))
     shapes = Spans(mixed(kinds[run].astype(np.uint64) + np.uint64(1))).of(place[words.begin], place[words.end])
+    begun = [_beginnings(words, lower, letters) for letters in BEGINNINGS]
     again = np.flatnonzero((plain[1:] == plain[:-1]) & (row[1:] == row[:-1])) + 1
     feature = np.concatenate(
         [
             (plain % np.uint64(BUCKETS)).astype(np.int64),
             (shapes % np.uint64(BUCKETS)).astype(np.int64),
+            *[(hashes % np.uint64(BUCKETS)).astype(np.int64) for _, hashes in begun],
             np.full(len(again), _REPEAT),
         ]
     )
-    row = np.concatenate([row, row, row[again]])
+    row = np.concatenate([row, row, *[row[at] for at, _ in begun], row[again]])
     if known is not None:
         wanted = known[feature]
         row, feature = row[wanted], feature[wanted]
@@ -68,6 +76,15 @@ def hashed_features(
     return found // BUCKETS, found % BUCKETS, counts
 
 
+def _beginnings(words: Words, lower: Spans, letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, hash of its first ``letters``) of each word of more letters."""
+    lead = np.flatnonzero((words.data & 0xC0) != 0x80)  # first bytes of UTF-8 letters
+    first, last = np.searchsorted(lead, words.begin), np.searchsorted(lead, words.end)
+    at = np.flatnonzero(last - first > letters)
+    # Told apart from words of as many letters, and other beginnings.
+    return at, mixed(lower.of(words.begin[at], lead[first[at] + letters]) ^ np.uint64(letters))
+
+
 @dataclass
 class OrdinalModel:
     """One weight per feature, shared by all grades, and a rising threshold

@@ -48,7 +48,8 @@ _FIRST = "(?:" + "|".join(GIVEN.values()) + ")"
 _LABEL = r"(?i:password|passwd|pwd|secret|token|api_?key) ?[=:] ?[\"']?"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
-    "secret": rf"\b{_LABEL}[A-Za-z0-9+/_.~-]{{5,}}[A-Za-z0-9+/_~-]"
+    # Marks alone are a form to fill in or a rule, not a secret.
+    "secret": rf"\b{_LABEL}(?=[+/_.~-]*[A-Za-z0-9])[A-Za-z0-9+/_.~-]{{5,}}[A-Za-z0-9+/_~-]"
     r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[a-f]*\d)[0-9a-f]{32,64}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}\b|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}\b"
@@ -60,6 +61,10 @@ PATTERNS = {
 }
 PATTERN = "|".join(PATTERNS.values())
 
+# Turns after which a surrogate gets characters more, one each turn: few shapes
+# have many values, and some have none but the entity's own.
+LONGER = 4
+
 _ROW = ["doc_id", "sig"]
 
 
@@ -179,7 +184,9 @@ def _made_name(digest: Column, kind: Column, turn: Column) -> Column:
 
 
 def surrogate(key: str, kind: Column, normal: Column, turn: Column) -> Column:
-    """Keyed replacement of a normal spelling; another one for each ``turn``."""
+    """Keyed replacement of a normal spelling; another one for each ``turn``, and a
+    longer one from turn ``LONGER`` on.  What is added comes last, but first in an
+    e-mail address."""
     message = F.concat_ws("|", kind, turn.cast("string"), normal)
     inner = F.sha2(F.concat(F.lit(key + "|"), message), 512)
     digest = F.sha2(F.concat(F.lit(key + "|"), inner), 512)
@@ -187,25 +194,31 @@ def surrogate(key: str, kind: Column, normal: Column, turn: Column) -> Column:
         F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(digest, i * 3, 254) + 1).cast("string")), "."
     )
     changed = _letters(digest, normal)
+    more = F.right(digest, F.greatest(turn - LONGER + 1, F.lit(0)))
+    more = F.when(kind.isin("ip", "ssn", "phone", "card", "iban"), F.translate(more, "abcdef", "012345")).otherwise(more)
     return (
         # The last label of a host and the first letters of a key or account stay.
         F.when(
             kind == "email",
             F.concat(
-                F.regexp_replace(changed, r"\.[^.]*$", ""), F.regexp_extract(normal, r"(\.[^.]*)$", 1)
+                more, F.regexp_replace(changed, r"\.[^.]*$", ""), F.regexp_extract(normal, r"(\.[^.]*)$", 1)
             ),
         )
-        .when(kind == "ip", octets)
-        .when(kind == "card", _luhn(changed))
-        .when(kind == "iban", F.concat(F.left(normal, F.lit(2)), F.substr(changed, F.lit(3))))
-        .when(normal.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substr(changed, F.lit(5))))
+        .when(kind == "ip", F.concat(octets, more))
+        .when(kind == "card", _luhn(F.concat(changed, more)))
+        .when(kind == "iban", F.concat(F.left(normal, F.lit(2)), F.substr(changed, F.lit(3)), more))
         .when(kind.startswith("name"), _made_name(digest, kind, turn))
-        .otherwise(changed)
+        .when(normal.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substr(changed, F.lit(5)), more))
+        .otherwise(F.concat(changed, more))
     )
 
 
-def _written(kind: Column, hit: Column, normal: Column) -> Column:
-    """A surrogate in the format of the entity it replaces."""
+def _written(kind: Column, hit: Column, old: Column, made: Column) -> Column:
+    """A surrogate ``made`` in the format of the entity it replaces, whose normal
+    spelling is ``old``.  What it has more follows."""
+    placed = kind.isin("phone", "ssn", "card", "iban")
+    normal = F.when(placed, F.left(made, F.length(old))).otherwise(made)
+    more = F.substr(made, F.length(old) + 1)
     count = F.length(F.regexp_replace(hit, r"\D", ""))
 
     def put(state: Column, at: Column) -> Column:
@@ -246,8 +259,8 @@ def _written(kind: Column, hit: Column, normal: Column) -> Column:
         "",
     )
     return (
-        F.when(kind.isin("phone", "ssn", "card"), numbers)
-        .when(kind == "iban", spaced)
+        F.when(kind.isin("phone", "ssn", "card"), F.concat(numbers, more))
+        .when(kind == "iban", F.concat(spaced, more))
         .when(kind == "email", cased)
         .when(
             kind.startswith("name"),
@@ -286,7 +299,8 @@ def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
     Of entities with one surrogate the first (fewest turns, then smallest) keeps
     it, and none may keep one that is itself an entity of its kind; the others
-    take another turn, until all differ.
+    take another turn, until all differ.  From turn ``LONGER`` on there are ever
+    more values of any shape, so that comes to an end.
     """
     names = entities.select("kind", "normal").distinct()
     rows = names.withColumn("turn", F.lit(0))
@@ -341,7 +355,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         "entities",
     )
     named = found.join(make_surrogates(found, key), ["kind", "normal"])
-    written = _written(F.col("kind"), F.col("hit"), F.col("surrogate"))
+    written = _written(F.col("kind"), F.col("hit"), F.col("normal"), F.col("surrogate"))
     by_row = (
         named.select(*_ROW, "place", "lead", F.struct("part", written.alias("new")).alias("word"))
         .groupBy(*_ROW, "place", "lead")

@@ -1,0 +1,51 @@
+"""Surrogates of entities whose shape has few values or one, and of rare texts."""
+
+import re
+
+import pytest
+from flowlake.llm.surrogates import make_surrogates, replace_entities
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(replace_entities(docs, "k").collect(), key=lambda r: r.doc_id)]
+
+
+@pytest.fixture
+def few_rounds(monkeypatch):
+    """Fails where tables are written without end."""
+    from flowlake.llm import surrogates
+
+    rounds, stored = [], surrogates.stored
+
+    def counted(df, label):
+        rounds.append(label)
+        assert len(rounds) < 40, "surrogates are drawn without end"
+        return stored(df, label)
+
+    monkeypatch.setattr(surrogates, "stored", counted)
+
+
+def test_marks_after_a_label_stay(spark, few_rounds):
+    texts = ["password: ________ and token=------", "pwd=____a___.", "write to _@-.com"]
+    got = replaced(spark, texts)
+    assert got[0] == texts[0]
+    assert re.fullmatch(r"pwd=____[b-z]___\.", got[1])
+    assert got[2] != texts[2] and re.fullmatch(r"write to [0-9a-f]+_@-\.com", got[2])
+
+
+def test_shapes_that_run_out(spark, few_rounds):
+    rows = [("secret", f"-----{i}") for i in range(10)] + [("secret", "______"), ("secret", "AKIA__")]
+    rows += [("phone", f"{i:02d}") for i in range(100)] + [("email", f"{c}@-.x") for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("card", f"{i:02d}") for i in range(100)] + [("ssn", str(i)) for i in range(10)]
+    made = make_surrogates(spark.createDataFrame(rows, "kind string, normal string"), "k").collect()
+    assert sorted((r.kind, r.normal) for r in made) == sorted(rows)
+    assert len({(r.kind, r.surrogate) for r in made}) == len(rows)
+    assert not {(r.kind, r.surrogate) for r in made} & set(rows)
+
+
+def test_longer_surrogates_are_written_whole(spark, few_rounds):
+    labels = [f"token=-----{i}" for i in range(10)]
+    got = replaced(spark, [" ".join(labels)])[0].split(" ")
+    assert len(set(got)) == 10 and not set(got) & set(labels)
+    assert all(re.fullmatch(r"token=-----\d[0-9a-f]+", x) for x in got)

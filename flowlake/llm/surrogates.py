@@ -276,7 +276,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
     ``part`` the words of a name."""
     # Most texts hold nothing that could start an entity; those are told apart by
     # cheaper passes.
-    likely = F.col("text").rlike("[0-9@=:]") | F.col("text").rlike(rf"\b(?:{_TITLE}|{_FIRST})\b")
+    likely = F.col("text").rlike("[0-9@=:]|AKIA[A-Z]{16}") | F.col("text").rlike(rf"\b(?:{_TITLE}|{_FIRST})\b")
     found = docs.where(likely).select(
         *_ROW, F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "whole")
     )

@@ -18,11 +18,55 @@ TITLES = {
     "m": "Mr|Mister|Sir|Lord|Herr|Monsieur|Señor|Sr|Signor|Господин|Κύριος",
     "n": "Dr|Prof|Doktor|Professor",
 }
+# Given names by gender: common ones of English, German, French, Spanish, Italian and
+# some of other languages, Russian and Greek, without many that are words or places.
 GIVEN = {
     "f": "Patricia|Jennifer|Elizabeth|Barbara|Susanne|Jessica|Margaret|Katharina|Ursula|Brigitte|Nathalie|"
-    "Isabelle|Catherine|Guadalupe|Francisca|Екатерина|Наталья|Светлана|Ελένη|Αικατερίνη",
+    "Isabelle|Catherine|Guadalupe|Francisca|Mary|Linda|Susan|Sarah|Karen|Lisa|Nancy|Betty|Sandra|"
+    "Ashley|Kimberly|Emily|Donna|Michelle|Amanda|Melissa|Deborah|Stephanie|Rebecca|Laura|Helen|Sharon|"
+    "Cynthia|Kathleen|Amy|Angela|Shirley|Anna|Ruth|Brenda|Pamela|Nicole|Samantha|Katherine|Emma|"
+    "Christine|Rachel|Carolyn|Janet|Maria|Diane|Olivia|Julie|Joyce|Victoria|Christina|Joan|Evelyn|"
+    "Lauren|Judith|Megan|Cheryl|Hannah|Jacqueline|Martha|Gloria|Teresa|Ann|Sara|Frances|Kathryn|Janice|"
+    "Abigail|Alice|Julia|Judy|Sophia|Denise|Doris|Marilyn|Danielle|Beverly|Theresa|Diana|Brittany|"
+    "Natalie|Isabella|Charlotte|Kayla|Anne|Jane|Eleanor|Lucy|Chloe|Claire|Zoe|Fiona|Sophie|Mia|Ella|"
+    "Amelia|Sabine|Petra|Monika|Heike|Claudia|Renate|Karin|Birgit|Gabriele|Ingrid|Helga|Erika|Christa|"
+    "Gisela|Anja|Silke|Kerstin|Katrin|Jana|Lena|Leonie|Johanna|Franziska|Annika|Anke|Nadine|Jutta|Elke|"
+    "Hannelore|Ilse|Gertrud|Greta|Heidi|Marie|Monique|Françoise|Sylvie|Martine|Valérie|Véronique|"
+    "Sandrine|Céline|Aurélie|Chantal|Élodie|Hélène|Amélie|Juliette|Margaux|Mathilde|Pauline|Émilie|"
+    "Geneviève|Colette|Carmen|Josefa|Ana|Lucía|Marta|Cristina|Paula|Elena|Raquel|Rocío|Beatriz|Silvia|"
+    "Inés|Sofía|Alicia|Yolanda|Montserrat|Nuria|Verónica|Gabriela|Daniela|Valentina|Mariana|Fernanda|"
+    "Luisa|Juana|Giulia|Chiara|Francesca|Federica|Giovanna|Paola|Caterina|Alessandra|Lucia|Ilaria|"
+    "Elisa|Valeria|Ewa|Agnieszka|Katarzyna|Małgorzata|Joanna|Fatima|Aisha|Екатерина|Наталья|Светлана|"
+    "Елена|Ольга|Татьяна|Ирина|Анна|Мария|Людмила|Галина|Юлия|Анастасия|Валентина|Марина|Оксана|Дарья|"
+    "Ксения|Алла|Лариса|Полина|Алина|Виктория|Александра|Евгения|Тамара|Нина|Ελένη|Αικατερίνη|Μαρία|"
+    "Κατερίνα|Βασιλική|Σοφία|Αγγελική|Γεωργία|Δήμητρα|Κωνσταντίνα|Παναγιώτα|Ειρήνη|Ευαγγελία|Άννα|"
+    "Ιωάννα|Χριστίνα|Αναστασία|Αθηνά",
     "m": "Michael|William|Richard|Joseph|Charles|Christopher|Matthew|Wolfgang|Jürgen|Günther|Philippe|"
-    "François|Laurent|Alejandro|Francisco|Guillermo|Александр|Дмитрий|Владимир|Γεώργιος|Κωνσταντίνος",
+    "François|Laurent|Alejandro|Francisco|Guillermo|James|Robert|John|David|Thomas|Daniel|Anthony|"
+    "Donald|Steven|Andrew|Paul|Joshua|Kenneth|Kevin|Brian|George|Timothy|Ronald|Jason|Edward|Jeffrey|"
+    "Ryan|Jacob|Gary|Nicholas|Eric|Jonathan|Stephen|Larry|Justin|Scott|Brandon|Benjamin|Samuel|Gregory|"
+    "Alexander|Patrick|Jack|Dennis|Jerry|Tyler|Aaron|Jose|Adam|Nathan|Henry|Zachary|Douglas|Peter|Kyle|"
+    "Noah|Ethan|Jeremy|Walter|Keith|Roger|Terry|Sean|Gerald|Carl|Dylan|Harold|Jesse|Bryan|Lawrence|"
+    "Arthur|Gabriel|Bruce|Billy|Joe|Alan|Juan|Elijah|Albert|Wayne|Randy|Vincent|Liam|Roy|Bobby|Caleb|"
+    "Bradley|Russell|Lucas|Oliver|Harry|Simon|Martin|Ian|Neil|Graham|Stuart|Colin|Oscar|Steve|Mike|Tom|"
+    "Jim|Dan|Tim|Tony|Matt|Ben|Fred|Ted|Luke|Philip|Hans|Klaus|Uwe|Dieter|Manfred|Helmut|Horst|Heinz|"
+    "Bernd|Jörg|Ralf|Rainer|Frank|Stefan|Andreas|Matthias|Markus|Sebastian|Tobias|Florian|Jan|Lukas|"
+    "Felix|Jonas|Maximilian|Niklas|Karl|Friedrich|Heinrich|Johannes|Gerhard|Werner|Kurt|Otto|Fritz|"
+    "Ernst|Ulrich|Volker|Holger|Thorsten|Torsten|Dirk|Sven|Lars|Björn|Christoph|Günter|Johann|Pierre|"
+    "Michel|André|Alain|Bernard|Jacques|Gérard|Christophe|Nicolas|Julien|Frédéric|Stéphane|Sébastien|"
+    "Olivier|Thierry|Pascal|Éric|Marc|Guillaume|Antoine|Mathieu|Maxime|Alexandre|Louis|Hugo|Étienne|"
+    "Luc|Yves|Didier|René|Benoît|Jérôme|José|Antonio|Manuel|Javier|Carlos|Miguel|Ángel|Pedro|Rafael|"
+    "Fernando|Luis|Sergio|Pablo|Jorge|Alberto|Álvaro|Diego|Adrián|Raúl|Enrique|Ramón|Vicente|Andrés|"
+    "Joaquín|Eduardo|Víctor|Jaime|Ignacio|Mario|Rubén|Óscar|Jesús|Ricardo|Roberto|Giuseppe|Giovanni|"
+    "Francesco|Luigi|Angelo|Vincenzo|Pietro|Salvatore|Franco|Paolo|Marco|Matteo|Lorenzo|Alessandro|"
+    "Stefano|Andrzej|Piotr|Krzysztof|Tomasz|João|Mohammed|Muhammad|Ahmed|Ali|Omar|Hassan|Александр|"
+    "Дмитрий|Владимир|Сергей|Андрей|Алексей|Иван|Михаил|Николай|Евгений|Максим|Виктор|Юрий|Олег|Павел|"
+    "Игорь|Денис|Антон|Константин|Анатолий|Василий|Борис|Григорий|Пётр|Кирилл|Илья|Артём|Никита|Фёдор|"
+    "Георгий|Леонид|Γεώργιος|Κωνσταντίνος|Γιώργος|Δημήτριος|Δημήτρης|Ιωάννης|Γιάννης|Νικόλαος|Νίκος|"
+    "Κώστας|Παναγιώτης|Βασίλειος|Βασίλης|Χρήστος|Αθανάσιος|Μιχαήλ|Ευάγγελος|Σπύρος|Αντώνιος|Αναστάσιος|"
+    "Θεόδωρος|Ανδρέας|Στέλιος|Πέτρος|Σταύρος|Αλέξανδρος",
+    "n": "Andrea|Jean|Jordan|Kelly|Alexis|Morgan|Robin|Jamie|Casey|Jessie|Alex|Sam|Chris|Camille|Claude|"
+    "Dominique|Kim|Sasha|Саша|Женя",
 }
 
 # Syllables of made-up names by script, and their endings by gender
@@ -38,13 +82,24 @@ ENDINGS = {
     "greek": {"f": "λια ρια να", "m": "λος ρος νος", "n": "λις ρις νις", "s": "ίδης όπουλος άκης"},
 }
 
+def _branched(names: list[str]) -> str:
+    """Pattern of any of ``names``, told apart by their first letters, so that a
+    word is tried against few of them; longer ones first."""
+    heads: dict[str, list[str]] = {}
+    for name in sorted(set(names), key=lambda name: (-len(name), name)):
+        heads.setdefault(name[:1], []).append(name[1:])
+    if len(names) < 5:
+        return "(?:" + "|".join(sorted(set(names), key=lambda name: (-len(name), name))) + ")"
+    return "(?:" + "|".join(head + _branched(rests) for head, rests in sorted(heads.items())) + ")"
+
+
 # What an entity looks like.  Order decides where two would start
 # at the same place.
 # Patterns read forwards only: looking back from every character is slow.  A label
 # or title is matched with what it announces, and told apart afterwards.
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 _TITLE = "(?:" + "|".join(TITLES.values()) + ")"
-_FIRST = "(?:" + "|".join(GIVEN.values()) + ")"
+_FIRST = _branched("|".join(GIVEN.values()).split("|"))
 _LABEL = r"(?i:password|passwd|pwd|secret|token|api_?key) ?[=:] ?[\"']?"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",

@@ -15,8 +15,8 @@ from flowlake.llm.components import connected_components
 THRESHOLD = 0.9
 
 # Two vectors at angle t share a bit with probability 1 - t / pi: at cosine 0.9
-# a pair meets in one of the tables with probability 0.966, at 0.95 with 0.9993.
-BITS = 14
+# a pair meets in one of the tables with probability 0.996, at 0.95 with 0.99997.
+BITS = 11
 TABLES = 28
 
 # Rows of a bucket compared in one block of lanes.

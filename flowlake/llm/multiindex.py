@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -195,9 +196,9 @@ def nearest_vectors(
     either meets in a task of bounded size.
 
     Vectors that are null, empty, zero, or hold null or non-finite parts take no
-    part, nor do rows without vec_id, nor vectors of another length than the most
-    common (of equally common ones, the shortest).  Of rows that share a vec_id
-    the smallest vector counts.  Fewer than ``k`` others give as many rows; equal
+    part, nor do rows without vec_id.  Vectors of each length are searched among
+    their own, one length after the other.  Of rows that share a vec_id the
+    smallest vector counts.  Fewer than ``k`` others give as many rows; equal
     vectors are neighbours like any other.  Other columns are ignored.
     """
     spark = embeddings.sparkSession
@@ -207,17 +208,37 @@ def nearest_vectors(
         .groupBy("vec_id")
         .agg(F.min("vector").alias("vector"))
     )
-    kind = dict(rows.dtypes)["vector"]
     rows = stored(rows, "vectors")
-    lengths = rows.groupBy(F.size("vector").alias("dim")).count()
-    common = lengths.orderBy(F.desc("count"), "dim").first()
-    if common is None:
+    # A vector alone in its length has no neighbour.
+    lengths = rows.groupBy(F.size("vector").alias("dim")).count().where("count > 1").orderBy("dim").collect()
+    parts = [
+        _nearest_of_length(
+            rows.where(F.size("vector") == dim), dim, every, k, centroids, visited, sample_rows, block_rows, block_queries
+        )
+        for dim, _ in lengths
+    ]
+    if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == common.dim)
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _nearest_of_length(
+    rows: DataFrame,
+    dim: int,
+    every: int,
+    k: int,
+    centroids: int,
+    visited: float,
+    sample_rows: int,
+    block_rows: int,
+    block_queries: int,
+) -> DataFrame:
+    """``nearest_vectors`` of the stored ``rows`` (vec_id, vector), each of ``dim`` parts."""
+    kind = dict(rows.dtypes)["vector"]
     sample = to_matrix(
         rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").toArrow()["vector"]
     )
-    cut = max(1, common.dim // 2)
+    cut = max(1, dim // 2)
     # Vectors of one component have no second half: one centroid of no width.
     one, two = centroids_of(sample[:, :cut], centroids), centroids_of(sample[:, cut:], centroids)
     index = MultiIndex(one, two, np.zeros((len(one), len(two)), np.int64))

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +17,13 @@ from flowlake.session import scratch_path
 # still handled whole.
 TEXT_BYTES = 2 << 20
 
-# Odd, so it has an inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
+# A prime of 31 bits, so products and long sums of residues fit 64 bits, and two
+# bases drawn at random below it.
+PRIME = (1 << 31) - 1
+BASES = (1_327_217_885, 905_342_647)
+
+# Words of more bytes are hashed one by one.
+LONG_WORD = 1024
 
 
 # Lets Spark delete the shuffle files of a write once it is complete.
@@ -58,36 +64,62 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = TEX
             start = stop
 
 
-# One random number per byte value, so that similar bytes give unrelated hashes.
-_BYTES = np.random.default_rng(64).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SOLID = np.ones(256, bool)
 _SOLID[[9, 10, 11, 12, 13, 32]] = False
 
-_powers = np.ones((2, 1), np.uint64)
+_powers = np.ones((4, 1), np.uint32)
+
+
+def _folded(x: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Small numbers equal to ``x`` modulo PRIME: below 2**34 after one round, and
+    below PRIME + 9 after two."""
+    prime, bits = np.uint64(PRIME), np.uint64(31)
+    for _ in range(rounds):
+        high = x >> bits
+        x = x & prime
+        x += high
+    return x
+
+
+def _residues(x: np.ndarray) -> np.ndarray:
+    x = _folded(x)
+    x[x == PRIME] = 0
+    return x
 
 
 def _powers_up_to(n: int) -> np.ndarray:
-    """Powers of BASE and of its inverse, kept by the process."""
+    """Powers of each base and of its inverse, kept by the process."""
     global _powers
     if _powers.shape[1] <= n:
-        made = np.empty((2, 2 * n + 2), np.uint64)
-        made[0], made[1] = BASE, pow(BASE, -1, 1 << 64)
-        made[:, 0] = 1
-        _powers = np.multiply.accumulate(made, axis=1)
+        made = np.ones((4, 1), np.uint64)
+        factors = np.array([f for base in BASES for f in (base, pow(base, -1, PRIME))], np.uint64)[:, None]
+        while made.shape[1] <= n:
+            made = np.concatenate([made, _residues(made * factors)], axis=1)
+            factors = _residues(factors * factors)
+        _powers = made.astype(np.uint32)
     return _powers
 
 
 class Spans:
-    """Polynomial hashes of any span of a sequence, modulo 2**64."""
+    """Polynomial hashes of any span of a sequence, modulo a prime to two bases.
+
+    A power of two as modulus would give some sequences of two values the same
+    hash whatever the base."""
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        powers, self.undo = _powers_up_to(n)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.add.accumulate(values * powers[:n], out=self.sums[1:])
+        powers = _powers_up_to(n)
+        self.undo = powers[1], powers[3]
+        self.sums = np.zeros((2, n + 1), np.uint64)
+        for sums, power, residues in zip(self.sums, powers[::2], (values, mixed(values)), strict=True):
+            np.add.accumulate(_folded(_folded(residues, 2) * power[:n], 1), out=sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[stop] - self.sums[start]) * self.undo[start])
+        high, low = (
+            _residues(_folded(sums[stop] - sums[start], 2) * undo[start])
+            for sums, undo in zip(self.sums, self.undo, strict=True)
+        )
+        return mixed(high << np.uint64(31) | low)
 
 
 class Words:
@@ -113,12 +145,47 @@ class Words:
 
     def hashes(self, change: np.ndarray | None = None) -> np.ndarray:
         """64-bit hash of each word, bytes replaced by the table ``change`` first."""
-        return Spans(byte_values(self.data, change)).of(self.begin, self.end)
-
-
-def byte_values(data: np.ndarray, change: np.ndarray | None = None) -> np.ndarray:
-    """Value of each byte for ``Spans``, bytes replaced by the table ``change`` first."""
-    return (_BYTES if change is None else _BYTES[change])[data]
+        data = self.data if change is None else change.astype(np.uint8)[self.data]
+        return byte_hashes(data, self.begin, self.end)
+
+
+def byte_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes, meant for words.
+
+    Eight bytes a step, each step one to one: spans of the same length up to eight
+    bytes never share a hash."""
+    eights = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    lengths = end - begin
+    found = mixed(lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    open_, done = np.flatnonzero((lengths <= LONG_WORD) & (lengths > 0)), 0
+    while len(open_):
+        unused = np.uint64(64) - np.minimum(lengths[open_] - done, 8).astype(np.uint64) * np.uint64(8)
+        value = eights[begin[open_] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> unused)
+        found[open_] = mixed(mixed(found[open_] ^ value) + np.uint64(done))
+        done += 8
+        open_ = open_[lengths[open_] > done]
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        found[i] = xxhash.xxh64_intdigest(data[begin[i] : end[i]].tobytes())
+    return found
+
+
+def same_bytes(
+    data: np.ndarray, begin: np.ndarray, end: np.ndarray, other: np.ndarray, from_: np.ndarray, to: np.ndarray
+) -> np.ndarray:
+    """Whether each span of ``data`` equals the span of ``other`` at its side."""
+    left, right = (
+        np.ndarray(len(x) + 1, "<u8", np.append(x, np.zeros(8, np.uint8)), strides=(1,)) for x in (data, other)
+    )
+    lengths = end - begin
+    equal = lengths == to - from_
+    open_, done = np.flatnonzero(equal & (lengths > 0)), 0
+    while len(open_):
+        unused = np.uint64(64) - np.minimum(lengths[open_] - done, 8).astype(np.uint64) * np.uint64(8)
+        unlike = (left[begin[open_] + done] ^ right[from_[open_] + done]) << unused != 0
+        equal[open_[unlike]] = False
+        done += 8
+        open_ = open_[~unlike & (lengths[open_] > done)]
+    return equal
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -10,11 +10,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Words, text_slices
+from flowlake.llm.blocks import Words, byte_hashes, same_bytes, text_slices
 
 # Window lengths, longest first, all powers of two; a window of any tier is full.
 TIERS = (4096, 2048, 1024, 512)
@@ -27,7 +28,7 @@ STEP_TOKENS = 16 * 4096
 # Tokens a task gathers before it packs them.
 BUFFER_TOKENS = 1 << 20
 
-# Words whose ids a task remembers, at some 30 bytes each; then it starts afresh.
+# Words whose ids a task remembers, at some 50 bytes each; then it starts afresh.
 WORDS_HELD = 2_000_000
 
 _LOWER = np.arange(256)
@@ -44,7 +45,8 @@ class WordIds:
     letters and marks, and takes A-Z as a-z.
 
     A text is cut into words, and a comma or full stop off a letter.  Each distinct
-    one is encoded once; its ids are held in plain arrays under its 64-bit hash."""
+    one is encoded once; its ids are held in plain arrays under its 64-bit hash,
+    along with its letters, which every word is compared with."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,6 +59,7 @@ class WordIds:
         self.keys = np.zeros(0, np.uint64)  # sorted
         self.slots = np.zeros(0, np.int64)
         self.flat, self.place = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.letters, self.spelled = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
     def _ids(self, words: list[str]) -> tuple[list[int], np.ndarray]:
         """(ids of all words, number of each word), from one call, which is faster
@@ -66,14 +69,42 @@ class WordIds:
         place = np.array([start for start, _ in found.offsets], np.int64)
         return found.ids, np.diff(np.searchsorted(place, begins))
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        ids, counts = self._ids(words)
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        ids, counts = self._ids([word.decode() for word in words])
+        self.letters = np.append(self.letters, np.frombuffer(b"".join(words), np.uint8))
+        self.spelled = np.append(self.spelled, self.spelled[-1] + np.cumsum([len(word) for word in words]))
         slots = len(self.place) - 1 + np.arange(len(keys))
         self.flat = np.append(self.flat, np.array(ids, np.uint32))
         self.place = np.append(self.place, self.place[-1] + np.cumsum(counts))
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 
+    def _slots(self, lower: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word among those held.  Words that differ from the one held
+        under their hash are hashed anew until none does."""
+        seed = 0
+        while True:
+            distinct, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+            if len(self.keys) + len(distinct) > WORDS_HELD:
+                self._forget()
+            at = np.searchsorted(self.keys, distinct)
+            known = at < len(self.keys)
+            known[known] = self.keys[at[known]] == distinct[known]
+            if not known.all():
+                new = first[~known]
+                buffer = lower.tobytes()
+                self._learn(distinct[~known], [buffer[a:b] for a, b in zip(begin[new].tolist(), end[new].tolist())])
+                at = np.searchsorted(self.keys, distinct)
+            slot = self.slots[at][index] if len(index) else index
+            unlike = np.flatnonzero(
+                ~same_bytes(lower, begin, end, self.letters, self.spelled[slot], self.spelled[slot + 1])
+            )
+            if not len(unlike):
+                return slot
+            seed += 1
+            for i in unlike:
+                hashes[i] = xxhash.xxh64_intdigest(lower[begin[i] : end[i]].tobytes(), seed)
+
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end``; first id of each text and the end)."""
         words = Words(texts)
@@ -86,21 +117,10 @@ class WordIds:
             words.begin = np.sort(np.append(words.begin, cut - 1))
             words.end = np.sort(np.append(words.end - tail, cut))
         starts = np.searchsorted(words.begin, words.offsets)
-        distinct, first, index = np.unique(words.hashes(_LOWER), return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > WORDS_HELD:
-            self._forget()
-        at = np.searchsorted(self.keys, distinct)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == distinct[known]
-        if not known.all():
-            new = first[~known]
-            buffer = data.tobytes()
-            spelled = [buffer[a:b].decode() for a, b in zip(words.begin[new].tolist(), words.end[new].tolist())]
-            self._learn(distinct[~known], spelled)
-            at = np.searchsorted(self.keys, distinct)
-        slot = self.slots[at][index] if len(index) else index
+        lower = _LOWER.astype(np.uint8)[data]
+        slot = self._slots(lower, words.begin, words.end, byte_hashes(lower, words.begin, words.end))
         place = self.place[slot]
-        counts = self.place[slot + 1] - place if len(index) else slot
+        counts = self.place[slot + 1] - place
         before = np.append(0, np.cumsum(counts))
         source = np.repeat(place - before[:-1], counts) + np.arange(before[-1])
         ends = before[starts[1:]] + np.arange(len(texts))  # one closing id per text before

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Spans, Words, byte_values, mixed, stored, text_slices
+from flowlake.llm.blocks import Words, byte_hashes, mixed, stored, text_slices
 
 # Hashed features: words, their beginnings and shapes, and words that repeat the
 # one before.
@@ -51,13 +51,14 @@ def hashed_features(
     it repeats the word before.  ``known`` marks the features wanted."""
     words = Words(texts)
     row = np.repeat(np.arange(len(texts)), np.diff(words.starts))
-    lower = Spans(byte_values(words.data, _LOWER))
-    plain = lower.of(words.begin, words.end)
+    lower = _LOWER.astype(np.uint8)[words.data]
+    plain = byte_hashes(lower, words.begin, words.end)
     kinds = _CLASS[words.data]
     run = np.append(True, kinds[1:] != kinds[:-1])[: len(kinds)]
     run[words.begin] = True
     place = np.append(0, np.cumsum(run))
-    shapes = Spans(mixed(kinds[run].astype(np.uint64) + np.uint64(1))).of(place[words.begin], place[words.end])
+    # Told apart from words spelled like a shape.
+    shapes = mixed(~byte_hashes(kinds[run].astype(np.uint8), place[words.begin], place[words.end]))
     begun = [_beginnings(words, lower, letters) for letters in BEGINNINGS]
     again = np.flatnonzero((plain[1:] == plain[:-1]) & (row[1:] == row[:-1])) + 1
     feature = np.concatenate(
@@ -76,13 +77,13 @@ def hashed_features(
     return found // BUCKETS, found % BUCKETS, counts
 
 
-def _beginnings(words: Words, lower: Spans, letters: int) -> tuple[np.ndarray, np.ndarray]:
+def _beginnings(words: Words, lower: np.ndarray, letters: int) -> tuple[np.ndarray, np.ndarray]:
     """(word, hash of its first ``letters``) of each word of more letters."""
     lead = np.flatnonzero((words.data & 0xC0) != 0x80)  # first bytes of UTF-8 letters
     first, last = np.searchsorted(lead, words.begin), np.searchsorted(lead, words.end)
     at = np.flatnonzero(last - first > letters)
     # Told apart from words of as many letters, and other beginnings.
-    return at, mixed(lower.of(words.begin[at], lead[first[at] + letters]) ^ np.uint64(letters))
+    return at, mixed(byte_hashes(lower, words.begin[at], lead[first[at] + letters]) ^ np.uint64(letters))
 
 
 @dataclass

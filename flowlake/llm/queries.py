@@ -17,6 +17,7 @@ from flowlake.llm.simhash import simhash_groups
 from flowlake.llm.substrings import remove_repeats
 from flowlake.llm.surrogates import replace_entities
 from flowlake.llm.toolcalls import link_tool_calls
+from flowlake.llm.whitening import whiten_vectors
 
 # Whoever runs this on real data gives a secret key of their own.
 SURROGATE_KEY = "a key for the test tables"
@@ -129,6 +130,10 @@ def op10_embedding_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return near_vectors(_table(spark, tables, "embeddings"))
 
 
+def op12_embedding_whitening(spark: SparkSession, tables: str) -> DataFrame:
+    return whiten_vectors(_table(spark, tables, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_tool_call_linking": op2_tool_call_linking,
@@ -140,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_hierarchical_packing": op9_hierarchical_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 _NEAR_VECTORS = """

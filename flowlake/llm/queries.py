@@ -11,6 +11,7 @@ from flowlake.llm.embeddings import near_vectors
 from flowlake.llm.lines import dedup_lines
 from flowlake.llm.multiindex import nearest_vectors
 from flowlake.llm.packing import pack_documents
+from flowlake.llm.phrases import mine_phrases
 from flowlake.llm.pieces import encode_pieces
 from flowlake.llm.quality import grade_documents, train_quality
 from flowlake.llm.simhash import simhash_groups
@@ -134,6 +135,10 @@ def op12_embedding_whitening(spark: SparkSession, tables: str) -> DataFrame:
     return whiten_vectors(_table(spark, tables, "embeddings"))
 
 
+def op13_phrase_mining(spark: SparkSession, tables: str) -> DataFrame:
+    return mine_phrases(_table(spark, tables, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_tool_call_linking": op2_tool_call_linking,
@@ -146,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hierarchical_packing": op9_hierarchical_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 _NEAR_VECTORS = """
@@ -232,8 +238,50 @@ SELECT r.conv_id, 'result', r.turn, 'c' || call, '', -1,
     CASE WHEN c.conv_id IS NULL THEN 'orphan' ELSE 'linked' END, false, '', ''
 FROM results r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.turn = r.call"""
 
+_PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM places, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+),
+counted AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1),
+inner_ AS (
+    SELECT DISTINCT c.lang, array_to_string(c.w[i : i + k.k - 1], ' ') AS phrase, c.a AS f
+    FROM candidates c, (SELECT unnest(range(2, 5)) AS k) k, (SELECT unnest(range(1, 5)) AS i)
+    WHERE k.k < c.k AND i + k.k - 1 <= c.k
+),
+kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        SELECT 1 FROM inner_ i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.f >= 100 * c.a)
+),
+cuts AS (
+    SELECT kept.lang, kept.phrase, kept.a, cut, x.f AS l, y.f AS r, n, (1000 * kept.a * n) // (x.f * y.f) AS score
+    FROM kept, (SELECT unnest(range(1, 5)) AS cut) JOIN totals ON true
+    JOIN counted x ON x.lang = kept.lang AND x.phrase = array_to_string(kept.w[1 : cut], ' ')
+    JOIN counted y ON y.lang = kept.lang AND y.phrase = array_to_string(kept.w[cut + 1 : kept.k], ' ')
+    WHERE cut < kept.k AND totals.lang = kept.lang
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_tool_call_linking": _TOOL_CALLS,
     "op5_substring_dedup": _SUBSTRINGS,
     "op10_embedding_near_dedup": _NEAR_VECTORS,
+    "op13_phrase_mining": _PHRASES,
 }

@@ -18,6 +18,7 @@ from flowlake.llm.simhash import simhash_groups
 from flowlake.llm.substrings import remove_repeats
 from flowlake.llm.surrogates import replace_entities
 from flowlake.llm.toolcalls import link_tool_calls
+from flowlake.llm.toxicity import score_toxicity, train_toxicity
 from flowlake.llm.whitening import whiten_vectors
 
 # Whoever runs this on real data gives a secret key of their own.
@@ -131,6 +132,15 @@ def op10_embedding_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return near_vectors(_table(spark, tables, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, tables: str) -> DataFrame:
+    """Ratings whose crc32 of doc_id leaves no rest modulo 5 are held out."""
+    documents, ratings = _table(spark, tables, "documents"), _table(spark, tables, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = train_toxicity(documents, ratings.where(~held_out).select("doc_id", "toxic"))
+    scored = score_toxicity(documents, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op12_embedding_whitening(spark: SparkSession, tables: str) -> DataFrame:
     return whiten_vectors(_table(spark, tables, "embeddings"))
 
@@ -150,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_hierarchical_packing": op9_hierarchical_packing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_toxicity": op11_toxicity,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_phrase_mining": op13_phrase_mining,
 }

@@ -100,21 +100,58 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts that hold a token, by class (twice the fold, plus one if toxic)."""
-    for batch, texts in text_slices(batches, "text"):
-        x = Tokens(texts)
-        kind = batch.column("kind").to_numpy().astype(np.int64)
-        parent = np.zeros(len(x.row), np.uint64)
-        for hashes in x.levels:
-            has = hashes != 0
-            token, row, above = hashes[has], x.row[has], parent[has]
+def _isin(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
+def _token_counts(level: int, known: list[np.ndarray]):
+    """Texts that hold a token of a level, with its beginning, by class (twice the
+    fold, plus one if toxic).
+
+    A beginning stands for words that are not ``known``, themselves or by a longer
+    beginning: a common word tells nothing of others that begin like it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_slices(batches, "text"):
+            x = Tokens(texts)
+            has = x.levels[level] != 0
+            for longer, hashes in zip(known, x.levels[level + 1 :]):
+                has &= ~_isin(longer, hashes)
+            parent = np.zeros(len(x.row), np.uint64)
+            for hashes in x.levels[:level]:
+                parent = np.where(hashes != 0, hashes, parent)
+            token, row, parent = x.levels[level][has], x.row[has], parent[has]
             order = np.lexsort((row, token))
-            token, row, above = token[order], row[order], above[order]
+            token, row, parent = token[order], row[order], parent[order]
             new = np.append(True, (token[1:] != token[:-1]) | (row[1:] != row[:-1]))[: len(token)]
-            columns = [token[new].view(np.int64), above[new].view(np.int64), kind[row[new]].astype(np.int32)]
+            kind = batch.column("kind").to_numpy().astype(np.int32)[row[new]]
+            columns = [token[new].view(np.int64), parent[new].view(np.int64), kind]
             yield pa.record_batch([pa.array(c) for c in columns], names=["token", "parent", "kind"])
-            parent = np.where(has, hashes, parent)
+
+    return run
+
+
+def _known_tokens(rated: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, their beginnings, texts that hold them by class), sorted by token."""
+    kinds = [f"k{k}" for k in range(2 * FOLDS)]
+    known: list[np.ndarray] = []
+    found = []
+    for level in range(len(BEGINNINGS), -1, -1):
+        counts = (
+            rated.mapInArrow(_token_counts(level, known), "token long, parent long, kind int")
+            .groupBy("token")
+            .agg(F.min("parent").alias("parent"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in range(2 * FOLDS)])
+            .where(sum((F.col(k) for k in kinds), F.lit(0)) >= LEAST_DOCS)
+            .toArrow()
+        )
+        tokens, parents = (counts.column(c).to_numpy().view(np.uint64) for c in ("token", "parent"))
+        found.append((tokens, parents, np.stack([counts.column(k).to_numpy() for k in kinds])))
+        known.insert(0, np.sort(tokens))
+    tokens, parents = (np.concatenate([part[i] for part in found]) for i in (0, 1))
+    order = np.argsort(tokens)
+    return tokens[order], parents[order], np.concatenate([part[2] for part in found], axis=1)[:, order]
 
 
 @dataclass
@@ -127,12 +164,9 @@ class TokenScores:
     def of(self, x: Tokens) -> np.ndarray:
         """Score of each word: its own, or that of its longest known beginning."""
         found = np.zeros(len(x.row))
-        if not len(self.tokens):
-            return found - DRIFT
         for hashes in x.levels:
-            at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
-            known = self.tokens[at] == hashes
-            found[known] = self.scores[at[known]]
+            known = _isin(self.tokens, hashes)
+            found[known] = self.scores[np.searchsorted(self.tokens, hashes[known])]
         return found - DRIFT
 
 
@@ -330,17 +364,7 @@ def train_toxicity(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPL
     sizes = np.zeros(2 * FOLDS, np.int64)
     for row in rated.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect():
         sizes[row.kind] = row.n
-    counts = (
-        rated.mapInArrow(_token_counts, "token long, parent long, kind int")
-        .groupBy("token")
-        .agg(F.min("parent").alias("parent"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in range(2 * FOLDS)])
-        .where(sum((F.col(f"k{k}") for k in range(2 * FOLDS)), F.lit(0)) >= LEAST_DOCS)
-        .toArrow()
-    )
-    tokens, parents = (counts.column(c).to_numpy().view(np.uint64) for c in ("token", "parent"))
-    order = np.argsort(tokens)
-    table = np.stack([counts.column(f"k{k}").to_numpy() for k in range(2 * FOLDS)])[:, order]
-    tokens, parents = tokens[order], parents[order]
+    tokens, parents, table = _known_tokens(rated)
 
     def without(fold: int | None) -> TokenScores:
         kept = [k for k in range(2 * FOLDS) if k // 2 != fold]

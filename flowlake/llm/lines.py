@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,15 @@ BUCKET_BITS = 16
 # Lines that share a token compared in one block of lanes.
 BLOCK_ROWS = 20_000
 
+# Candidates a block gives a line at most; if it has more and none of them is
+# similar, the line asks again for all.
+FIRST = 4
+
+# Lines of so many tokens carry more parity bits, four or more for a token, up to
+# 4096; shorter ones have 128.
+LONG_LINE = 128
+MOST_BITS = 4096
+
 _LINE = [*KEY, "line"]
 
 # The same in two longs, in the same order: sig and line make up the place.
@@ -91,11 +101,29 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _wide_bits(n: np.ndarray) -> np.ndarray:
+    """Parity bits of long lines of ``n`` tokens, a power of two."""
+    return np.minimum(4 << np.floor(np.log2(n)).astype(np.int64), MOST_BITS)
+
+
+def _wide_parity(x: _Lines, spread: np.ndarray) -> pa.Array:
+    """More parity bits of long lines, null for others."""
+    long = x.sizes >= LONG_LINE
+    words = np.where(long, _wide_bits(np.maximum(x.sizes, 1)) >> 6, 0)
+    starts = np.append(0, np.cumsum(words))
+    flat = np.zeros(starts[-1], np.uint64)
+    line = np.repeat(np.arange(len(x.sizes)), x.sizes)
+    mine = long[line]
+    line, index = line[mine], spread[mine] & (words[line[mine]].astype(np.uint64) * np.uint64(64) - np.uint64(1))
+    np.bitwise_xor.at(flat, starts[line] + (index >> np.uint64(6)).astype(np.int64), np.uint64(1) << (index & np.uint64(63)))
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), _signed(flat), mask=pa.array(~long))
+
+
 def _sets(rank: np.ndarray, similarity: Fraction):
     """Per line: digest and size of its token set, parity bits, prefix.
 
     Each token flips one of 128 parity bits, held in two words, so two sets differ
-    in at least as many tokens as bits."""
+    in at least as many tokens as bits.  Long lines have more in ``wide``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
@@ -120,11 +148,12 @@ def _sets(rank: np.ndarray, similarity: Fraction):
                         _signed(x.summed(np.where(spread >> np.uint64(6) & np.uint64(1) == half, bit, 0), np.bitwise_xor))
                         for half in (0, 1)
                     ],
+                    _wide_parity(x, spread),
                     pa.ListArray.from_arrays(
                         pa.array(np.append(0, np.cumsum(prefix)), pa.int32()), _signed(x.tokens[kept])
                     ),
                 ],
-                names=["d1", "d2", *_LINE, "n", *_PARITY, "prefix"],
+                names=["d1", "d2", *_LINE, "n", *_PARITY, "wide", "prefix"],
             )
 
     return run
@@ -152,10 +181,24 @@ def _tokens_of(rank: np.ndarray):
     return run
 
 
-def _candidates(similarity: Fraction, every: bool):
+def _unlike(wide: np.ndarray, starts: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing parity bits of rows ``i`` and ``j``; the longer is folded to the shorter."""
+    found = np.zeros(len(i), np.int64)
+    words = np.diff(starts)
+    for a, b in {(int(a), int(b)) for a, b in zip(words[i], words[j])}:
+        mine = np.flatnonzero((words[i] == a) & (words[j] == b))
+        left, right = (wide[starts[rows[mine]][:, None] + np.arange(n)] for rows, n in ((i, a), (j, b)))
+        width = min(a, b)
+        left, right = (np.bitwise_xor.reduce(x.reshape(len(mine), -1, width), axis=1) for x in (left, right))
+        found[mine] = np.bitwise_count(left ^ right).sum(axis=1)
+    return found
+
+
+def _candidates(similarity: Fraction, most: int | None):
     """Pairs of lines (later, earlier) that share a prefix token and pass the
-    length, positional and parity filters; only the earliest of each later line
-    and bucket unless ``every``.  Rows come sorted by bucket, in no order within."""
+    length, positional and parity filters; only the ``most`` earliest of each later
+    line and bucket, with ``more`` if there may be others.  Rows come sorted by
+    bucket, in no order within."""
     a, b = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,9 +208,13 @@ def _candidates(similarity: Fraction, every: bool):
             size = table.column("size").to_numpy()[order]
             n, left = size >> 32, (size >> 32) - 1 - (size & 0xFFFFFFFF)
             parity = [table.column(name).to_numpy().view(np.uint64)[order] for name in _PARITY]
+            lists = table.column("wide").combine_chunks().take(pa.array(order))
+            wide = lists.flatten().to_numpy().view(np.uint64)
+            wide_at = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
             begin = np.repeat(starts[:-1], np.diff(starts))
             open_ = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False)[order])
             open_ = open_[open_ > begin[open_]]
+            found, more = np.zeros(len(n), np.int32), np.zeros(len(n), bool)
             later, earlier = [], []
             step = 0
             while len(open_):
@@ -180,16 +227,25 @@ def _candidates(similarity: Fraction, every: bool):
                     & (1 + np.minimum(left[open_], left[first]) >= shared)
                     & (unlike <= total - 2 * shared)
                 )
+                long = np.flatnonzero(good & (np.minimum(n[open_], n[first]) >= LONG_LINE))
+                if len(long):
+                    bits = _unlike(wide, wide_at, open_[long], first[long])
+                    good[long] = bits <= (total - 2 * shared)[long]
                 later.append(open_[good])
                 earlier.append(first[good])
                 step += 1
                 stay = begin[open_] + step < open_
-                open_ = open_[stay if every else stay & ~good]
+                if most is not None:
+                    found[open_[good]] += 1
+                    full = good & (found[open_] >= most)
+                    more[open_[full & stay]] = True
+                    stay &= ~full
+                open_ = open_[stay]
             if later:
                 i, j = np.concatenate(later), np.concatenate(earlier)
                 ids, places = table.column("doc_id").to_numpy()[order], table.column("place").to_numpy()[order]
-                columns = [ids[i], places[i], ids[j], places[j]]
-                yield pa.record_batch([pa.array(c) for c in columns], names=[*_AT, *_EARLIER])
+                columns = [ids[i], places[i], ids[j], places[j], more[i]]
+                yield pa.record_batch([pa.array(c) for c in columns], names=[*_AT, *_EARLIER, "more"])
 
     return run
 
@@ -245,7 +301,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, rank: np.ndarray, similarity: Fr
 
 
 def kept_lines(
-    docs: DataFrame, similarity: Fraction = SIMILARITY, block_rows: int = BLOCK_ROWS
+    docs: DataFrame, similarity: Fraction = SIMILARITY, block_rows: int = BLOCK_ROWS, first: int = FIRST
 ) -> DataFrame:
     """(doc_id, sig, line) of each line with words, of ``docs`` (doc_id, text,
     sig), that no earlier line resembles, by (doc_id, sig, line)."""
@@ -257,16 +313,17 @@ def kept_lines(
     rank[order] = np.arange(len(order), dtype=np.uint64)
     lines = docs.mapInArrow(
         _sets(rank, similarity),
-        "d1 long, d2 long, doc_id long, sig int, line int, n int, parity long, parity2 long, prefix array<long>",
+        "d1 long, d2 long, doc_id long, sig int, line int, n int, parity long, parity2 long, wide array<long>, "
+        "prefix array<long>",
     )
     # Equal sets are one class, known by its first line; later ones go.
     classes = stored(
         lines.groupBy("d1", "d2", "n")
         .agg(
             F.min(F.struct(*_LINE)).alias("at"),
-            *[F.first(name).alias(name) for name in (*_PARITY, "prefix")],
+            *[F.first(name).alias(name) for name in (*_PARITY, "wide", "prefix")],
         )
-        .select("at.*", "n", *_PARITY, "prefix"),
+        .select("at.*", "n", *_PARITY, "wide", "prefix"),
         "lines",
     )
     # Only tokens of buckets this frequent can exceed a block.
@@ -274,7 +331,7 @@ def kept_lines(
 
     placed = classes.withColumn("place", _place())
 
-    def candidates(rows: DataFrame, every: bool) -> DataFrame:
+    def candidates(rows: DataFrame, most: int | None) -> DataFrame:
         rare = F.shiftrightunsigned("token", 64 - BUCKET_BITS) < frequent
         dealt = in_lanes(rows, ["token"], _AT, block_rows, rare).select(
             # Two buckets of one hash are compared as one, which costs a glance.
@@ -282,26 +339,31 @@ def kept_lines(
             *_AT,
             F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
             *_PARITY,
+            "wide",
             "asks",
         )
         return (
             dealt.repartition("bucket")
             .sortWithinPartitions("bucket")
-            .mapInArrow(_candidates(similarity, every), "doc_id long, place long, o_doc_id long, o_place long")
+            .mapInArrow(_candidates(similarity, most), "doc_id long, place long, o_doc_id long, o_place long, more boolean")
         )
 
-    tokens = placed.select(*_AT, "n", *_PARITY, F.posexplode("prefix").alias("pos", "token"))
-    earliest = (
-        candidates(tokens.withColumn("asks", F.lit(True)), False)
+    tokens = placed.select(*_AT, "n", *_PARITY, "wide", F.posexplode("prefix").alias("pos", "token"))
+    # At most FIRST per prefix token and lane of a line, and then of the line.
+    asked = (
+        candidates(tokens.withColumn("asks", F.lit(True)), first)
         .groupBy(*_AT)
-        .agg(F.min(F.struct(*_EARLIER)).alias("o"))
-        .select(*_AT, "o.*")
+        .agg(F.array_sort(F.collect_set(F.struct(*_EARLIER))).alias("all"), F.bool_or("more").alias("more"))
+        .select(*_AT, F.slice("all", 1, first).alias("some"), (F.col("more") | (F.size("all") > first)).alias("more"))
     )
-    checked = stored(_similar(docs, stored(earliest, "pairs"), rank, similarity), "checked")
-    matched = checked.where("same").select(*_AT)
-    # A line whose earliest candidate fails asks once more, for all it has.
+    asked = stored(asked, "asked")
+    pairs = asked.select(*_AT, F.inline("some"))
+    checked = _similar(docs, pairs, rank, similarity)
+    matched = stored(checked.where("same").select(*_AT).distinct(), "matched")
+    # A line with more candidates than it was given, none of them similar, asks again.
     failed = stored(
-        placed.join(checked.where("NOT same").select(*_AT), _AT, "left_semi").select(*_AT, "n", "prefix"), "failed"
+        placed.join(asked.where("more").join(matched, _AT, "left_anti"), _AT, "left_semi").select(*_AT, "n", "prefix"),
+        "failed",
     )
     if not failed.isEmpty():
         # Of each token only lines of a length that one of them could resemble.
@@ -312,7 +374,8 @@ def kept_lines(
         near = tokens.join(shared, "token").where((F.col("n") * b >= F.col("least") * a) & (F.col("n") * a <= F.col("most") * b))
         again = near.drop("least", "most").join(asking, _AT, "left")
         again = again.withColumn("asks", F.coalesce("asks", F.lit(False)))
-        more = _similar(docs, stored(candidates(again, True).distinct(), "pairs"), rank, similarity)
+        every = candidates(again, None).select(*_AT, *_EARLIER).distinct()
+        more = _similar(docs, stored(every, "pairs"), rank, similarity)
         matched = matched.union(more.where("same").select(*_AT))
     return placed.select(*_LINE, "place").join(matched.distinct(), _AT, "left_anti").select(*_LINE)
 

@@ -128,6 +128,24 @@ def test_lines_match_brute_force(spark, pages, block_rows):
     assert dedup_lines(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("first", [1, 4])
+def test_long_lines_match_brute_force(spark, first):
+    """Lines around the similarity, of all lengths from which on more bits are kept."""
+    dice = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for n in (100, 127, 128, 140, 255, 256, 300, 1100, 2200):
+        base = dice.sample(words, n)
+        for copy in range(12):
+            changed = dice.randint(int(0.12 * n), int(0.25 * n))
+            line = base[changed:] + dice.sample(words, dice.choice([0, changed, changed // 2]))
+            rows.append((dice.randrange(10**6), " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, dedup_lines(docs, first=first).collect()), key=str)
+    assert got == plain_lines(rows)
+    assert 10 < sum(r[3] for r in got) < len(rows) - 10
+
+
 def test_lines_that_only_seem_alike(spark):
     """Lines just below the similarity in a shared block, where the earliest
     candidate may fail and a later one hold."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -194,6 +196,37 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+@dataclass
+class Marks:
+    """A table of bits, set for every one of some hashes and a few others."""
+
+    bits: int
+    table: np.ndarray
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def marks_of(hashes: DataFrame, name: str, limits: tuple[int, int] = (16, 27)) -> Marks:
+    """Marks for the hashes (longs) in column ``name`` of a stored table.
+
+    32 bits for each, within powers of two: up to 16 MB, whatever their number.
+    Spark puts the table together; the driver sees its words."""
+    low, high = limits
+    bits = min(high, max(low, math.ceil(math.log2(32 * max(1, hashes.count())))))
+    at = F.shiftrightunsigned(name, 64 - bits)
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    words = (
+        hashes.select(F.shiftright(at, 6).cast("int").alias("word"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.call_function("shiftleft", F.col("one"), F.col("bit"))).alias("bits"))
+        .toArrow()
+    )
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return Marks(bits, table)
+
+
 def in_lanes(
     rows: DataFrame, keys: list[str], by: list[str], limit: int, small: Column | None = None
 ) -> DataFrame:

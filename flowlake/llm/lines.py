@@ -11,14 +11,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Words, in_lanes, mixed, stored, text_slices, whole_groups
+from flowlake.llm.blocks import Marks, Words, in_lanes, marks_of, mixed, stored, text_slices, whole_groups
 from flowlake.llm.substrings import KEY, keyed
 
 SIMILARITY = Fraction(4, 5)
 
-# Token frequencies are counted in this many buckets (two to the 16th), whatever
-# the vocabulary; the table of 65,536 counts is all that the driver sees.
-BUCKET_BITS = 16
+# Token frequencies are counted in this many buckets (two to the 20th), whatever
+# the vocabulary; the table of counts, 8 MB, is all that the driver sees.  A token
+# that makes up more than a bucket's share of all words has about its own count.
+BUCKET_BITS = 20
 
 # Lines that share a token compared in one block of lanes.
 BLOCK_ROWS = 20_000
@@ -57,8 +58,8 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     """Words per hash bucket over all documents."""
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     rows = docs.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket")
-    for row in rows.agg(F.sum("n").alias("n")).toLocalIterator():
-        total[row.bucket] = row.n
+    counts = rows.agg(F.sum("n").alias("n")).toArrow()
+    total[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
     return total
 
 
@@ -69,16 +70,12 @@ class _Lines:
     the bucket's frequency, so tokens in ascending order are in order of rarity.
     Lines without words are left out."""
 
-    def __init__(self, texts: pa.Array, rank: np.ndarray, wanted: np.ndarray | None = None):
-        """``wanted``: only these lines, as row of the slice << 32 | line."""
+    def __init__(self, texts: pa.Array, rank: np.ndarray):
         words = Words(texts)
         feeds = np.flatnonzero(words.data == 10)
         doc = np.repeat(np.arange(len(texts)), np.diff(words.starts))
         before = np.searchsorted(feeds, words.offsets[:-1])
         owner = (doc << 32) | (np.searchsorted(feeds, words.begin) - before[doc])
-        if wanted is not None:
-            mine = np.isin(owner, wanted)
-            owner, words.begin, words.end = owner[mine], words.begin[mine], words.end[mine]
         hashes = words.hashes()
         low = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
         tokens = (rank[hashes >> np.uint64(64 - BUCKET_BITS)] << np.uint64(64 - BUCKET_BITS)) | (
@@ -159,28 +156,44 @@ def _sets(rank: np.ndarray, similarity: Fraction):
     return run
 
 
-def _tokens_of(rank: np.ndarray):
-    """Token sets of the lines listed in ``lines``."""
+def _line_hash(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mixed(mixed(doc.view(np.uint64)) + place.view(np.uint64))
+
+
+def _tokens_of(rank: np.ndarray, docs: Marks, lines: Marks):
+    """Token sets of the marked lines of the marked documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_slices(batches, "text"):
-            listed = batch.column("lines")
-            owner = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy())
-            x = _Lines(texts, rank, (owner << 32) | listed.flatten().to_numpy().astype(np.int64))
-            rows = pa.array(x.doc)
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id").take(rows),
-                    batch.column("sig").take(rows),
-                    pa.array(x.line, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(x.starts, pa.int32()), _signed(x.tokens)),
-                ],
-                names=[*_LINE, "tokens"],
-            )
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            batch = batch.filter(pa.array(docs.has(_line_hash(ids, np.zeros(len(ids), np.int64)))))
+            for part, texts in text_slices([batch], "text"):
+                x = _Lines(texts, rank)
+                ids = part.column("doc_id").to_numpy()[x.doc]
+                place = part.column("sig").to_numpy()[x.doc].astype(np.int64) << 32 | x.line
+                mine = lines.has(_line_hash(ids, place))
+                sizes = x.sizes[mine]
+                yield pa.record_batch(
+                    [
+                        pa.array(ids[mine]),
+                        pa.array(place[mine]),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), _signed(x.tokens[np.repeat(mine, x.sizes)])
+                        ),
+                    ],
+                    names=["doc_id", "place", "tokens"],
+                )
 
     return run
 
 
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, place = (batch.column(name).to_numpy() for name in _AT)
+        columns = [_line_hash(ids, np.zeros(len(ids), np.int64)), _line_hash(ids, place)]
+        yield pa.record_batch([_signed(c) for c in columns], names=["doc", "line"])
+
+
 def _unlike(wide: np.ndarray, starts: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Differing parity bits of rows ``i`` and ``j``; the longer is folded to the shorter."""
     found = np.zeros(len(i), np.int64)
@@ -198,21 +211,26 @@ def _candidates(similarity: Fraction, most: int | None):
     """Pairs of lines (later, earlier) that share a prefix token and pass the
     length, positional and parity filters; only the ``most`` earliest of each later
     line and bucket, with ``more`` if there may be others.  Rows come sorted by
-    bucket, in no order within."""
+    bucket and line."""
     a, b = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["bucket"]):
-            group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            order = np.lexsort((table.column("place").to_numpy(), table.column("doc_id").to_numpy(), group))
-            size = table.column("size").to_numpy()[order]
+            sizes = np.diff(starts)
+            alone = sizes == 1
+            if alone.any():
+                table, sizes = table.filter(pa.array(~np.repeat(alone, sizes))), sizes[~alone]
+                starts = np.append(0, np.cumsum(sizes))
+            if not len(sizes):
+                continue
+            size = table.column("size").to_numpy()
             n, left = size >> 32, (size >> 32) - 1 - (size & 0xFFFFFFFF)
-            parity = [table.column(name).to_numpy().view(np.uint64)[order] for name in _PARITY]
-            lists = table.column("wide").combine_chunks().take(pa.array(order))
+            parity = [table.column(name).to_numpy().view(np.uint64) for name in _PARITY]
+            lists = table.column("wide").combine_chunks()
             wide = lists.flatten().to_numpy().view(np.uint64)
             wide_at = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
             begin = np.repeat(starts[:-1], np.diff(starts))
-            open_ = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False)[order])
+            open_ = np.flatnonzero(table.column("asks").to_numpy())
             open_ = open_[open_ > begin[open_]]
             found, more = np.zeros(len(n), np.int32), np.zeros(len(n), bool)
             later, earlier = [], []
@@ -243,7 +261,7 @@ def _candidates(similarity: Fraction, most: int | None):
                 open_ = open_[stay]
             if later:
                 i, j = np.concatenate(later), np.concatenate(earlier)
-                ids, places = table.column("doc_id").to_numpy()[order], table.column("place").to_numpy()[order]
+                ids, places = table.column("doc_id").to_numpy(), table.column("place").to_numpy()
                 columns = [ids[i], places[i], ids[j], places[j], more[i]]
                 yield pa.record_batch([pa.array(c) for c in columns], names=[*_AT, *_EARLIER, "more"])
 
@@ -275,23 +293,16 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, rank: np.ndarray, similarity: Fraction) -> DataFrame:
-    """Pairs with ``same``: whether the token sets really reach the similarity."""
+    """Pairs with ``same``: whether the token sets really reach the similarity.
+
+    The lines are marked, so that documents are scanned once more but not shuffled;
+    lines marked by chance drop out at the join."""
     other = pairs.select(*[F.col(o).alias(name) for o, name in zip(_EARLIER, _AT)])
-    sig = F.shiftright("place", 32).cast("int")
-    line = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
-    wanted = (
-        pairs.select(*_AT)
-        .union(other)
-        .groupBy("doc_id", sig.alias("sig"))
-        .agg(F.collect_set(line).alias("lines"))
-    )
-    sets = stored(
-        docs.join(stored(wanted, "wanted"), KEY)
-        .mapInArrow(_tokens_of(rank), "doc_id long, sig int, line int, tokens array<long>")
-        .select("doc_id", _place().alias("place"), "tokens")
-        .dropDuplicates(_AT),
-        "sets",
-    )
+    wanted = pairs.select(*_AT).union(other).distinct().mapInArrow(_hashes, "doc long, line long")
+    wanted = stored(wanted, "wanted")
+    marks = marks_of(wanted, "doc"), marks_of(wanted, "line")
+    sets = docs.mapInArrow(_tokens_of(rank, *marks), "doc_id long, place long, tokens array<long>")
+    sets = stored(sets.dropDuplicates(_AT), "sets")
     others = sets.select(*[F.col(name).alias(o) for name, o in zip(_AT, _EARLIER)], F.col("tokens").alias("o_tokens"))
     shared = F.size(F.array_intersect("tokens", "o_tokens"))
     union = F.size("tokens") + F.size("o_tokens") - shared
@@ -344,7 +355,7 @@ def kept_lines(
         )
         return (
             dealt.repartition("bucket")
-            .sortWithinPartitions("bucket")
+            .sortWithinPartitions("bucket", *_AT)
             .mapInArrow(_candidates(similarity, most), "doc_id long, place long, o_doc_id long, o_place long, more boolean")
         )
 

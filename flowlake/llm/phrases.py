@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.blocks import Spans, byte_hashes, mixed, same_bytes, stored, text_slices
+from flowlake.llm.blocks import Marks, Spans, byte_hashes, marks_of, mixed, same_bytes, stored, text_slices
 
 LONGEST = 5  # words of a phrase, 2 at least
 LEAST = 100  # occurrences of a phrase
@@ -21,8 +19,8 @@ FIRST = 2000  # phrases of each language
 # text is still handled whole.
 SLICE_BYTES = 8 << 20
 
-# Bits of a table of marks: 32 for every frequent fingerprint, up to 2 to the 27th
-# (16 MB).  Beyond that more rare sequences pass it, to be dropped by their counts.
+# Tables of marks have from 2 to the 16th to 2 to the 27th bits.  Where these do not
+# suffice more rare sequences pass, to be dropped by their counts.
 MARK_BITS = (16, 27)
 
 # Rows of a language ranked apart before the last merge, and copies of the lookup
@@ -38,18 +36,6 @@ _GAPS = _BREAKS.copy()
 _GAPS[[32, 9]] = True
 
 
-@dataclass
-class Marks:
-    """A table of bits, set for every frequent fingerprint."""
-
-    bits: int
-    table: np.ndarray
-
-    def has(self, prints: np.ndarray) -> np.ndarray:
-        at = prints >> np.uint64(64 - self.bits)
-        return (self.table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-
-
 class Sequences:
     """Words of a slice of texts and the fingerprint of every sequence of them that
     lies within one piece of a text."""
@@ -160,23 +146,7 @@ def _frequent(docs: DataFrame, sizes: tuple[int, ...], shorter: list[Marks], lea
     rows = docs.mapInArrow(_fingerprints(sizes, shorter), "k byte, print long, n int")
     found = rows.groupBy("k", "print").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     found = stored(found.select("k", "print"), "frequent")
-    return [_marks(found.where(F.col("k") == k)) for k in sizes]
-
-
-def _marks(found: DataFrame) -> Marks:
-    """Tables of bits are put together by Spark; at most 2 MB longs reach the driver."""
-    low, high = MARK_BITS
-    bits = min(high, max(low, math.ceil(math.log2(32 * max(1, found.count())))))
-    at = F.shiftrightunsigned("print", 64 - bits)
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    words = (
-        found.select(F.shiftright(at, 6).cast("int").alias("word"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.call_function("shiftleft", F.col("one"), F.col("bit"))).alias("bits"))
-        .toArrow()
-    )
-    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return Marks(bits, table)
+    return [marks_of(found.where(F.col("k") == k), "print", MARK_BITS) for k in sizes]
 
 
 def _spelled(marks: list[Marks]):

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from flowlake.functions.names import PROTOCOLS, SERVICES
 from flowlake.functions.sizes import UNITS, readable_size
-from flowlake.operators import flags
+from flowlake.operators import distinct, flags
 from flowlake.operators.decode import decode_flows, with_address_text
-from flowlake.operators.rollup import pair_totals, port_totals
+from flowlake.operators.rollup import fold, pair_totals, port_totals, totals_by_hour
 from flowlake.operators.staging import stage_flows
-from flowlake.plans import layout, marts, refresh, reports, retention
+from flowlake.plans import export, layout, marts, refresh, reports, retention
 from flowlake.session import configure, scratch_path
-from flowlake.sources.files import read_exports, write_export
+from flowlake.sources.files import read_exports, write_export, write_table
 from flowlake.sources.samples import PORTS, PROTOS, sample_raw_flows
 from flowlake.streaming.export import raw_stream, start_export
 
@@ -141,6 +141,75 @@ def _mart_refresh(spark: SparkSession, tables: str) -> DataFrame:
     return reduce(DataFrame.unionByName, figures)
 
 
+def _mixed_writers(spark: SparkSession, tables: str) -> DataFrame:
+    """Exports of two writers under one glob: one has unsigned counters and plain
+    binary text."""
+    target = scratch_path(spark, "mixed")
+    decoded = _decoded(spark, tables)
+    odd = F.col("bytes") % 2 == 1
+    foreign = {name: F.col(name).cast("decimal(20,0)") for name in ("bytes", "packets", "time_received_ns")}
+    foreign |= {name: F.col(name).cast("binary") for name in ("src_addr", "dst_addr")}
+    write_export(decoded.where(odd).withColumns(foreign), target, "ipfix_foreign_0.parquet")
+    write_export(decoded.where(~odd), target, "ipfix_decoded_0.parquet")
+    return read_exports(spark, target)
+
+
+def _export_batches(spark: SparkSession, tables: str) -> DataFrame:
+    """Raw files that arrive in two lots, exported in two batches and a third run
+    that finds nothing new."""
+    raw, target, landing = _raw(spark, tables), scratch_path(spark, "exports"), scratch_path(spark, "raw")
+    late = F.col("bytes") % 5 == 0
+    for lot in (raw.where(~late), raw.where(late), None):
+        if lot is not None:
+            lot.write.mode("append").parquet(landing)
+        export.run_export(spark, landing, target, scratch_path(spark, "rest"), dry_run=False)
+    return read_exports(spark, target)
+
+
+def _segments(flows: DataFrame) -> list[DataFrame]:
+    """Flows as four refreshes might have found them, the last far larger."""
+    part = F.xxhash64("received_at", "src_port") % 16
+    return [flows.where(part == 0), flows.where(part == 1), flows.where(part == 2), flows.where((part < 0) | (part > 2))]
+
+
+def _merged_matrix(spark: SparkSession, tables: str) -> DataFrame:
+    """Totals per pair of each segment, written, then merged without adding all up."""
+    build = refresh.TOTALS["pair_totals"]
+    parts = [write_table(build(part, part), scratch_path(spark, "pairs")) for part in _segments(_flows(spark, tables))]
+    return marts.merged_matrix(parts)
+
+
+def _merged_recent(spark: SparkSession, tables: str) -> DataFrame:
+    """Latest flows of each segment, written, then merged."""
+    parts = [
+        write_table(marts.recent_flows(part), scratch_path(spark, "latest")) for part in _segments(_flows(spark, tables))
+    ]
+    return marts.merged_recent(reduce(DataFrame.unionByName, parts))
+
+
+def _from_bitmaps(spark: SparkSession, tables: str, mart: Callable[..., DataFrame]) -> DataFrame:
+    """A mart from totals and bitmaps per hour; each segment numbers what is new in it."""
+    numbered = configure(spark).createDataFrame([], distinct.ADDRESSES)
+    hours, sides = [], {"src_addr": [], "dst_addr": []}
+    for part in _segments(_flows(spark, tables)):
+        new = write_table(distinct.unnumbered(part, numbered), scratch_path(spark, "new"))
+        added = write_table(distinct.number_addresses(new, numbered), scratch_path(spark, "numbers"))
+        numbered = numbered.unionByName(added)
+        hours.append(totals_by_hour(part))
+        for side, found in sides.items():
+            found.append(write_table(distinct.hour_bitmaps(part, numbered, side), scratch_path(spark, "bits")))
+    return mart(*[reduce(DataFrame.unionByName, rows) for rows in (hours, *sides.values())])
+
+
+def _merged_talkers(spark: SparkSession, tables: str) -> DataFrame:
+    """Sources and their peers from totals per pair alone."""
+    parts = [
+        write_table(pair_totals(part), scratch_path(spark, "pairs")) for part in _segments(_flows(spark, tables))
+    ]
+    pairs = reduce(DataFrame.unionByName, parts)
+    return marts.top_talkers_by_bytes(pairs, fold(pairs, "src_addr"))
+
+
 def _figures(mart: str, table: DataFrame) -> DataFrame:
     """Per column: rows, non-null values, and a sum of numbers, lengths or times."""
     figures = []
@@ -255,6 +324,8 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_marked": _on_raw(_marked),
         "export_remaining": _on_raw(_remaining),
         "export_stream": _export_stream,
+        "export_batches": _export_batches,
+        "mixed_writers": _mixed_writers,
         "scan_count": _scan_count,
         "pair_totals": _on_flows(pair_totals),
         "port_totals": _on_flows(port_totals),
@@ -262,6 +333,11 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_report": _on_flows(layout.day_report),
         "compacted_days": _compacted_days,
         "mart_refresh": _mart_refresh,
+        "traffic_matrix_merged": _merged_matrix,
+        "recent_flows_merged": _merged_recent,
+        "top_talkers_merged": _merged_talkers,
+        "traffic_by_hour_merged": lambda spark, tables: _from_bitmaps(spark, tables, marts.merged_hours),
+        "overview_stats_merged": lambda spark, tables: _from_bitmaps(spark, tables, marts.merged_overview),
         "expired_files": _on_listing(lambda files: retention.expired_exports(files, _cutoff())),
         "retention_report": _on_listing(lambda files: retention.retention_report(files, _cutoff())),
         "file_report": _on_listing(lambda files: layout.file_report(files, layout.day_of_path())),
@@ -597,6 +673,8 @@ def _flow_sql() -> dict[str, str]:
         ),
         "export_remaining": _REMAINING,
         "export_stream": _decoded_sql(),
+        "export_batches": _decoded_sql(),
+        "mixed_writers": _decoded_sql(),
         "scan_count": "SELECT count(*) AS rows FROM lineitem",
         "pair_totals": _staged(_totals("src_addr", "dst_addr")),
         "port_totals": _staged(_totals("dst_port", "proto")),
@@ -604,6 +682,11 @@ def _flow_sql() -> dict[str, str]:
         "day_report": _staged(_days()),
         "compacted_days": _staged(_days(f"WHERE received_at >= DATE '{AS_OF}' - INTERVAL 7 DAY")),
         "mart_refresh": _staged(_mart_figures()),
+        "traffic_matrix_merged": _staged(_MATRIX.format(k=500)),
+        "recent_flows_merged": _staged(_LATEST.format(k=50000)),
+        "top_talkers_merged": _staged(_TALKERS.format(k=100)),
+        "traffic_by_hour_merged": _staged(_HOURS),
+        "overview_stats_merged": _staged(_OVERVIEW),
         "expired_files": _listed(f"SELECT * FROM ages WHERE modified_at < TIMESTAMP '{CUTOFF}'"),
         "retention_report": _listed(
             f"""SELECT count(*) AS files_checked,

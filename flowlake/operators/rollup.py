@@ -66,3 +66,14 @@ def pair_totals(flows: DataFrame) -> DataFrame:
 def port_totals(flows: DataFrame) -> DataFrame:
     """Per (destination port, protocol): at most 65,536 x 256 rows."""
     return roll_up(flows, "dst_port", "proto")
+
+
+def totals_by_hour(flows: DataFrame) -> DataFrame:
+    """Totals per hour; ``sized`` counts the rows that have a size."""
+    return flows.groupBy("received_hour").agg(
+        F.count(F.lit(1)).alias("flows"),
+        F.sum("bytes").alias("bytes"),
+        F.count("bytes").alias("sized"),
+        F.min("received_at").alias("first_at"),
+        F.max("received_at").alias("last_at"),
+    )

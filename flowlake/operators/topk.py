@@ -82,3 +82,50 @@ def latest_rows(flows: DataFrame, order: list[Column], k: int) -> DataFrame:
         in_hours = _since(in_hours, "day", partition_key(hour))
     seconds = in_hours.select(F.date_trunc("second", "received_at").alias("second"))
     return top_rows(_since(in_hours, "received_at", _cut(seconds, "second", k)), order, k)
+
+
+def top_sums(
+    parts: list[DataFrame], keys: list[str], value: str, order: list[Column], k: int
+) -> DataFrame:
+    """First ``k`` keys in ``order`` by the sum of ``value`` over ``parts``, each of
+    which has a key once; other columns are summed up as well.
+
+    A threshold algorithm, so that parts are not added up as a whole.  The k largest
+    of each part give k keys a sum known in part; the least of these sums, over the
+    number of parts, is a value that each of the k largest keys reaches in some part.
+    Only rows that reach it are fetched: parts should be written with large values
+    first, as row groups are then skipped by their statistics.  Keys whose sum could
+    still be large enough are then looked up in all parts.
+
+    ``order`` must rank by ``value``, descending.  Values must not be negative; null
+    ones count as nothing.  Where there are fewer than ``k`` keys, all are added up.
+    """
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    others = [name for name in every.columns if name not in keys]
+
+    def kth(rows: DataFrame, name: str) -> Column:
+        """Value of the k-th row, 0 where there are fewer."""
+        first = rows.orderBy(F.desc(name)).limit(k)
+        return first.agg(F.when(F.count(name) >= k, F.min(name)).otherwise(0).alias(name)).scalar()
+
+    largest = parts[0].select(*keys, value).orderBy(F.desc(value)).limit(k)
+    for part in parts[1:]:
+        largest = largest.unionByName(part.select(*keys, value).orderBy(F.desc(value)).limit(k))
+    known = largest.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    cut = known.agg(F.lit(1)).select(kth(known, "_sum").alias("_cut")).first()[0]
+    if not cut:
+        return top_rows(every.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in others]), order, k)
+    # Rounded down, so that no key is lost to the division.
+    least = int(cut) // len(parts)
+    fetched = (
+        every.where(F.col(value) >= least)
+        .groupBy(*keys)
+        .agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_parts"))
+    )
+    # A part in which a key was not fetched adds less than the least fetched value.
+    possible = fetched.where(F.col("_sum") + (len(parts) - F.col("_parts")) * least >= int(cut))
+    match = [F.col(f"c.{key}").eqNullSafe(F.col(f"e.{key}")) for key in keys]
+    found = every.alias("e").join(possible.select(*keys).alias("c"), match, "left_semi")
+    return top_rows(found.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in others]), order, k)

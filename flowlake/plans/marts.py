@@ -7,12 +7,15 @@ per-key totals also accept these ready-made, which is how a refresh shares them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.names import protocol_name, service_name
 from flowlake.functions.sizes import gigabytes, megabytes
 from flowlake.functions.times import bucket_end
+from flowlake.operators.distinct import merged_count
 from flowlake.operators.rollup import (
     destination_totals,
     hour_totals,
@@ -20,7 +23,7 @@ from flowlake.operators.rollup import (
     roll_up,
     source_totals,
 )
-from flowlake.operators.topk import latest_rows, top_rows
+from flowlake.operators.topk import latest_rows, top_rows, top_sums
 
 # Row caps.
 TALKERS = 100
@@ -86,12 +89,30 @@ def overview_stats(
     )
 
 
+def merged_overview(hours: DataFrame, sources: DataFrame, destinations: DataFrame) -> DataFrame:
+    """``overview_stats`` from totals per hour and bitmaps of addresses per hour, of
+    which there may be several rows per hour."""
+    return hours.agg(
+        F.coalesce(F.sum("flows"), F.lit(0).cast("bigint")).alias("total_flows"),
+        gigabytes(F.sum("bytes")).alias("total_gb"),
+        F.min("first_at").alias("start_time"),
+        F.max("last_at").alias("end_time"),
+    ).select(
+        "total_flows",
+        "total_gb",
+        merged_count(sources, "unique_sources").scalar().alias("unique_sources"),
+        merged_count(destinations, "unique_destinations").scalar().alias("unique_destinations"),
+        "start_time",
+        "end_time",
+    )
+
+
 def _with_peers(flows: DataFrame, top: DataFrame, mart: str, peer: str, name: str) -> DataFrame:
     """Add to each top row the number of distinct ``peer`` values of its key.
 
     Distinct values are costly, so they are counted for the winners only, in a
-    second scan of two columns.  Spark knows the cap and broadcasts the winners
-    while they are few; then rows stay in their task, are deduplicated there, and
+    second scan of two columns, of flows or of totals per pair.  Spark knows the cap
+    and broadcasts the winners while they are few; then rows stay in their task, are deduplicated there, and
     the rows of one hot key spread over the partitions by peer.
     """
     key = ORDER[mart][-1]
@@ -135,6 +156,14 @@ def traffic_matrix(flows: DataFrame, k: int = PAIRS) -> DataFrame:
     return top_rows(pairs, order_of("traffic_matrix"), k)
 
 
+def merged_matrix(pairs: list[DataFrame], k: int = PAIRS) -> DataFrame:
+    """``traffic_matrix`` from totals per pair of several parts, see ``top_sums``."""
+    kept = [part.select("src_addr", "dst_addr", "bytes", "flows") for part in pairs]
+    order = [F.desc_nulls_last("bytes"), *order_of("traffic_matrix")[1:]]
+    top = top_sums(kept, ["src_addr", "dst_addr"], "bytes", order, k)
+    return top.select("src_addr", "dst_addr", megabytes(F.col("bytes")).alias("mb"), "flows")
+
+
 def top_ports(flows: DataFrame, ports: DataFrame | None = None, k: int = PORTS) -> DataFrame:
     """Busiest destination ports; the service is looked up for the kept rows only."""
     return (
@@ -182,10 +211,25 @@ def traffic_by_hour(
         .groupBy("received_hour")
         .agg(F.count("dst_addr").alias("destinations"))
     )
-    # Each side has every hour once; null hours meet as well, unlike in a join.
+    return _hours(by_source, by_destination)
+
+
+def merged_hours(hours: DataFrame, sources: DataFrame, destinations: DataFrame) -> DataFrame:
+    """``traffic_by_hour`` from totals per hour and bitmaps of addresses per hour, of
+    which there may be several rows per hour."""
+    totals = hours.groupBy("received_hour").agg(*[F.sum(name).alias(name) for name in ("flows", "bytes", "sized")])
+    return _hours(
+        totals,
+        merged_count(sources, "sources", "received_hour"),
+        merged_count(destinations, "destinations", "received_hour"),
+    )
+
+
+def _hours(*sides: DataFrame) -> DataFrame:
+    # Each side has an hour once; null hours meet as well, unlike in a join.
     names = ("flows", "bytes", "sized", "sources", "destinations")
     return (
-        by_source.unionByName(by_destination, allowMissingColumns=True)
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
         .groupBy("received_hour")
         .agg(*[F.max(name).alias(name) for name in names])
         .select(
@@ -194,8 +238,9 @@ def traffic_by_hour(
             F.col("flows").alias("flow_count"),
             # Exact integer sum over count; avg() would add doubles in task order.
             F.try_divide("bytes", "sized").alias("avg_bytes_per_flow"),
-            F.col("sources").alias("unique_sources"),
-            F.col("destinations").alias("unique_destinations"),
+            # An hour may have no address on one side.
+            F.coalesce("sources", F.lit(0)).alias("unique_sources"),
+            F.coalesce("destinations", F.lit(0)).alias("unique_destinations"),
         )
     )
 
@@ -203,3 +248,8 @@ def traffic_by_hour(
 def recent_flows(flows: DataFrame, k: int = LATEST) -> DataFrame:
     columns = [name.lstrip("-") for name in ORDER["recent_flows"]]
     return latest_rows(flows, order_of("recent_flows"), k).select(*columns)
+
+
+def merged_recent(latest: DataFrame, k: int = LATEST) -> DataFrame:
+    """``recent_flows`` from those of several parts: no other flow can be among them."""
+    return top_rows(latest, order_of("recent_flows"), k)

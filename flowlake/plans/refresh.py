@@ -1,9 +1,13 @@
 """Refresh of the staging table, the shared totals and all marts.
 
 Exports are staged once, in segments: a segment holds the exports that were new
-at one refresh, and their totals, which add up.  A refresh stages what is new,
-stages again the rest of segments that lost an export, and leaves all others as
-they are.  Marts are built from the totals of all segments.
+at one refresh, and what the marts need of them, in a form that adds up: totals
+per pair, hour and port, bitmaps of the addresses of each hour, its latest flows.
+A refresh stages what is new, stages again the rest of segments that lost an
+export, and leaves all others as they are.  Marts are built from these tables of
+all segments; the staged flows of old segments are not read again.
+
+Addresses are numbered once, for the bitmaps; a version has the whole numbering.
 
 Everything goes to folders of its own.  A version is published at the end by one
 empty marker; readers follow the latest marker, so they see the old tables until
@@ -21,7 +25,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.operators.rollup import fold, hour_totals, port_totals
+from flowlake.operators.distinct import (
+    ADDRESSES,
+    hour_bitmaps,
+    number_addresses,
+    unnumbered,
+)
+from flowlake.operators.rollup import fold, pair_totals, port_totals, totals_by_hour
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import marts, reports
 from flowlake.sources.files import (
@@ -36,28 +46,38 @@ from flowlake.sources.files import (
 # Jobs submitted side by side; a small mart leaves most of a cluster idle.
 SIDE_BY_SIDE = 4
 
-# Tables of a segment, from its staged flows.
-TOTALS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "hour_sources": lambda flows: hour_totals(flows, "src_addr"),
-    "hour_destinations": lambda flows: hour_totals(flows, "dst_addr"),
-    "port_totals": port_totals,
+# Tables of a segment from its staged flows and the numbered addresses.  Pairs with
+# the most bytes come first in their files, see ``top_sums``.
+TOTALS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "pair_totals": lambda flows, _: pair_totals(flows).sortWithinPartitions(F.desc_nulls_last("bytes")),
+    "hour_totals": lambda flows, _: totals_by_hour(flows),
+    "port_totals": lambda flows, _: port_totals(flows),
+    "hour_sources": lambda flows, numbered: hour_bitmaps(flows, numbered, "src_addr"),
+    "hour_destinations": lambda flows, numbered: hour_bitmaps(flows, numbered, "dst_addr"),
+    "latest_flows": lambda flows, _: marts.recent_flows(flows),
 }
 
+# Tables of a segment from its totals per pair.
+FOLDED = {"source_totals": "src_addr", "destination_totals": "dst_addr"}
+
 MANIFEST = "segment string, entry string, stamp long"
 
 
 def build_marts(decoded: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Build and publish every table under ``root`` from the decoded flows alone."""
+    """Build and publish every table under ``root`` from the decoded flows alone.
+
+    Addresses are numbered anew."""
     spark = decoded.sparkSession
-    segment = _stage(decoded, root)
-    return _publish(spark, root, spark.createDataFrame([(segment, None, None)], MANIFEST))
+    segment = _stage(decoded, root, spark.createDataFrame([], ADDRESSES))
+    return _publish(spark, root, spark.createDataFrame([(segment, None, None)], MANIFEST), [segment], None)
 
 
 def refresh_marts(spark: SparkSession, export_root: str, root: str) -> dict[str, DataFrame]:
     """Bring the tables under ``root`` up to the exports now under ``export_root``.
 
     Reads only exports that are new, or changed, or share a segment with one that
-    is gone.  The driver sees one row per export.
+    is gone.  The driver sees one row per export.  Numbers of addresses that are gone
+    are kept, as they cost a row each, until the tables are built anew.
     """
     stamp = F.bit_xor(F.xxhash64("path", "size_bytes", "modified_at"))
     listed = {
@@ -69,20 +89,37 @@ def refresh_marts(spark: SparkSession, export_root: str, root: str) -> dict[str,
         segments.setdefault(row.segment, set()).add((row.entry, row.stamp))
     kept = {name: exports for name, exports in segments.items() if exports <= listed}
     waiting = listed.difference(*kept.values())
+    numbered, added = _numbered(spark, root), []
     if waiting:
         decoded = read_decoded(spark, *sorted(entry for entry, _ in waiting))
-        kept[_stage(decoded, root)] = waiting
+        added = [_stage(decoded, root, spark.createDataFrame([], ADDRESSES) if numbered is None else numbered)]
+        kept[added[0]] = waiting
     rows = [(name, entry, mark) for name, exports in kept.items() for entry, mark in sorted(exports)]
     if not rows:
         raise ValueError(f"no exports under {export_root}")
-    return _publish(spark, root, spark.createDataFrame(rows, MANIFEST))
+    return _publish(spark, root, spark.createDataFrame(rows, MANIFEST), added, numbered)
+
 
+def _numbered(spark: SparkSession, root: str) -> DataFrame | None:
+    """Numbered addresses of the latest version, if its segments use them."""
+    found = versions(spark, root)
+    if not found or _manifest(spark, root).isEmpty():
+        return None
+    return spark.read.schema(ADDRESSES).parquet(f"{root}/{found[-1]}/addresses")
 
-def _stage(decoded: DataFrame, root: str) -> str:
+
+def _stage(decoded: DataFrame, root: str, numbered: DataFrame) -> str:
     """Write a segment; its totals start from the written flows."""
+    spark = decoded.sparkSession
     segment = f"segments/{uuid.uuid4().hex}"
-    flows = write_table(stage_flows(decoded), f"{root}/{segment}/stg_flows")
-    _side_by_side({name: (build(flows), f"{root}/{segment}/{name}") for name, build in TOTALS.items()})
+    folder = f"{root}/{segment}"
+    flows = write_table(stage_flows(decoded), f"{folder}/stg_flows")
+    new = write_table(unnumbered(flows, numbered), f"{folder}/new_addresses")
+    added = write_table(number_addresses(new, numbered), f"{folder}/addresses")
+    delete_path(spark, f"{folder}/new_addresses")
+    every = numbered.unionByName(added)
+    totals = _side_by_side({name: (build(flows, every), f"{folder}/{name}") for name, build in TOTALS.items()})
+    _side_by_side({name: (fold(totals["pair_totals"], key), f"{folder}/{name}") for name, key in FOLDED.items()})
     return segment
 
 
@@ -91,39 +128,41 @@ def _side_by_side(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFra
         return dict(zip(tables, pool.map(lambda table: write_table(*table), tables.values()), strict=True))
 
 
-def _publish(spark: SparkSession, root: str, manifest: DataFrame) -> dict[str, DataFrame]:
+def _publish(
+    spark: SparkSession, root: str, manifest: DataFrame, added: list[str], numbered: DataFrame | None
+) -> dict[str, DataFrame]:
     before = versions(spark, root)
     version = f"v{int(before[-1][1:]) + 1 if before else 1:010d}"
     folder = f"{root}/{version}"
     delete_path(spark, folder)  # left over by a refresh that failed
     manifest = write_table(manifest.coalesce(1), f"{folder}/manifest")
-    segments = [row.segment for row in manifest.select("segment").distinct().collect()]
+    segments = sorted(row.segment for row in manifest.select("segment").distinct().collect())
+
+    def parts(name: str) -> list[DataFrame]:
+        return [spark.read.parquet(f"{root}/{segment}/{name}") for segment in segments]
 
     def all_of(name: str) -> DataFrame:
-        parts = [spark.read.parquet(f"{root}/{segment}/{name}") for segment in sorted(segments)]
-        return reduce(DataFrame.unionByName, parts)
-
-    flows, ports = all_of("stg_flows"), all_of("port_totals")
-    by_source, by_destination = all_of("hour_sources"), all_of("hour_destinations")
-    totals = _side_by_side(
-        {
-            "source_totals": (fold(by_source, "src_addr"), f"{folder}/source_totals"),
-            "destination_totals": (fold(by_destination, "dst_addr"), f"{folder}/destination_totals"),
-        }
-    )
-    sources, destinations = totals["source_totals"], totals["destination_totals"]
+        return reduce(DataFrame.unionByName, parts(name))
+
+    numbers = [spark.read.schema(ADDRESSES).parquet(f"{root}/{segment}/addresses") for segment in added]
+    numbers = [*([] if numbered is None else [numbered]), *numbers]
+    flows, pairs, ports = all_of("stg_flows"), all_of("pair_totals"), all_of("port_totals")
+    hours, sources, destinations = (all_of(f"hour_{name}") for name in ("totals", "sources", "destinations"))
+    by_source, by_destination = (fold(all_of(name), key) for name, key in FOLDED.items())
     tables = {
-        "traffic_matrix": marts.traffic_matrix(flows),
-        "recent_flows": marts.recent_flows(flows),
-        "top_talkers_by_bytes": marts.top_talkers_by_bytes(flows, sources),
-        "top_destinations": marts.top_destinations(flows, destinations),
-        "traffic_by_hour": marts.traffic_by_hour(flows, by_source, by_destination),
-        "overview_stats": marts.overview_stats(flows, sources, destinations),
+        "addresses": reduce(DataFrame.unionByName, numbers),
+        "traffic_matrix": marts.merged_matrix(parts("pair_totals")),
+        "recent_flows": marts.merged_recent(all_of("latest_flows")),
+        "top_talkers_by_bytes": marts.top_talkers_by_bytes(pairs, by_source),
+        "top_destinations": marts.top_destinations(pairs, by_destination),
+        "traffic_by_hour": marts.merged_hours(hours, sources, destinations),
+        "overview_stats": marts.merged_overview(hours, sources, destinations),
         "top_ports": marts.top_ports(flows, ports),
         "protocol_breakdown": marts.protocol_breakdown(flows, ports),
     }
     stored = _side_by_side({name: (table, f"{folder}/{name}") for name, table in tables.items()})
     make_folder(spark, f"{root}/published/{version}")
+    del stored["addresses"]
     return {"stg_flows": flows, **stored}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ EXPORT_PREFIX = "ipfix_"
 EXPORT_GLOB = "ipfix_*.parquet"
 EXPORT_NAME = "ipfix_decoded_{}.parquet"
 
+# Footers read side by side by the driver, one per export.
+FOOTERS_AT_ONCE = 16
+
 LISTING = "path string, entry string, modified_at timestamp, size_bytes long"
 
 
@@ -23,6 +27,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.schema(raw_schema(spark, path)).parquet(path), RAW)
 
 
+def read_raw_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Raw flows of exactly these files."""
+    return conform(spark.read.parquet(*paths), RAW)
+
+
 def raw_schema(spark: SparkSession, path: str) -> T.StructType:
     """Schema of the raw files under ``path``, ``RAW`` while there are none."""
     if list_files(spark, path, prefix="").isEmpty():
@@ -34,13 +43,54 @@ def raw_schema(spark: SparkSession, path: str) -> T.StructType:
 def read_decoded(spark: SparkSession, *globs: str) -> DataFrame:
     """Exported flows.  A glob matches plain files and Spark-written folders.
 
-    The files under one glob must store a column the same way; give files of
-    different writers by globs of their own, each is cast before the union.
+    Files of different writers may lie under one glob: the footer of one file of
+    each match says how it stores its columns, and all that store them alike are
+    one scan, whose columns are then cast.  The files of one folder are of one writer.
     """
-    parts = [conform(spark.read.parquet(glob), DECODED) for glob in globs]
+    kinds = _by_schema(spark, globs)
+    if len(kinds) < 2:  # Spark also says so where nothing matches
+        return conform(spark.read.parquet(*globs), DECODED)
+    parts = [conform(spark.read.parquet(*paths), DECODED) for paths in kinds]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _by_schema(spark: SparkSession, globs: tuple[str, ...]) -> list[list[str]]:
+    """Paths that match, grouped by how their columns are stored."""
+    statuses = [status for glob in globs for status in _matches(spark, glob)]
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        kinds = list(pool.map(lambda status: _stored_schema(spark, status), statuses))
+    found: dict[str, list[str]] = {}
+    for status, kind in zip(statuses, kinds, strict=True):
+        if kind is not None:
+            found.setdefault(kind, []).append(status.getPath().toString())
+    return [paths for _, paths in sorted(found.items())]
+
+
+def _matches(spark: SparkSession, glob: str) -> list:
+    system, target = _file_system(spark, glob)
+    return list(system.globStatus(target) or [])
+
+
+def _stored_schema(spark: SparkSession, status) -> str | None:
+    """Schema in the footer of a file, or of the first file of a folder."""
+    path = status.getPath()
+    if status.isDirectory():
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        path = None
+        while path is None and files.hasNext():
+            found = files.next().getPath()
+            path = found if found.getName().endswith(".parquet") else None
+        if path is None:
+            return None
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    file = parquet.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration())
+    reader = parquet.ParquetFileReader.open(file)
+    try:
+        return reader.getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+
+
 def read_exports(spark: SparkSession, root: str) -> DataFrame:
     """All exported flows retained under ``root``."""
     return read_decoded(spark, f"{root}/{EXPORT_GLOB}")

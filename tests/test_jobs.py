@@ -160,6 +160,52 @@ def test_batch_export_after_a_crash(spark, raw, tmp_path, monkeypatch, complete)
         assert io.read_raw(spark, rest).count() == 0
 
 
+def test_files_that_arrive_during_an_export(spark, raw, tmp_path, monkeypatch):
+    """One file between the listing and the scan, one between a crash and the next run."""
+    source, root, rest = (str(tmp_path / name) for name in ("raw", "exports", "rest"))
+    part = F.xxhash64("time_received_ns", "src_port") % 3
+    lots = [raw.where(part == 0), raw.where(part > 0), raw.where(part < 0)]
+    lots[0].coalesce(1).write.mode("append").parquet(source)
+    plain = export.read_raw_files
+
+    def late(*args):
+        lots[1].coalesce(1).write.mode("append").parquet(source)
+        return plain(*args)
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(export, "read_raw_files", late)
+        patch.setattr(export, "remaining_flows", crash)
+        with pytest.raises(RuntimeError):
+            export.run_export(spark, source, root, rest, dry_run=False)
+    lots[2].coalesce(1).write.mode("append").parquet(source)
+    first = export.run_export(spark, source, root, rest, dry_run=False)
+    assert first["rows_exported"] == lots[0].count()
+    assert spark.read.parquet(first["replaces"]).count() == 1
+    assert export.late_files(spark, source, root).count() == 2
+    second = export.run_export(spark, source, root, rest, dry_run=False)
+    assert second["rows_exported"] == raw.count() - first["rows_exported"]
+    assert export.run_export(spark, source, root, rest, dry_run=False) == second
+    assert sums(io.read_exports(spark, root)) == sums(decode_flows(raw))
+    assert export.late_files(spark, source, root).count() == 0
+
+
+def test_exports_of_many_writers_are_few_scans(spark, raw, tmp_path):
+    root = str(tmp_path / "exports")
+    for n in range(6):
+        part = decode_flows(raw.where(F.pmod(F.xxhash64("time_received_ns", "src_port"), F.lit(6)) == n))
+        if n % 2:
+            part = part.withColumns({"bytes": F.col("bytes").cast("decimal(20,0)"), "src_addr": F.col("src_addr").cast("binary")})
+        io.write_export(part, root, f"ipfix_decoded_{n}.parquet")
+    found = io.read_exports(spark, root)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert sums(found) == sums(decode_flows(raw))
+    few = io.read_decoded(spark, *[f"{root}/ipfix_decoded_{n}.parquet" for n in (0, 2, 4)])
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_nothing_has_landed_yet(spark, raw, tmp_path):
     source, root = f"{tmp_path}/raw", f"{tmp_path}/exports"
     report = export.run_export(spark, source, root, f"{tmp_path}/rest", dry_run=False)
@@ -423,6 +469,26 @@ def test_refresh_reads_only_what_is_new(spark, raw, tmp_path):
     assert contents(spark, root) == contents(spark, f"{tmp_path}/less")
 
 
+def test_refresh_leaves_old_flows_alone(spark, raw, tmp_path):
+    """With the staged flows of the first segment gone, the second refresh still
+    gives the whole marts."""
+    exports, root = f"{tmp_path}/exports", f"{tmp_path}/marts"
+    write_exports(raw, exports, 0, 2)
+    refresh.refresh_marts(spark, exports, root)
+    (old,) = (tmp_path / "marts" / "segments").iterdir()
+    flows = spark.read.parquet(f"{old}/stg_flows")
+    assert flows.count() > 0
+    spark.createDataFrame([], flows.schema).write.mode("overwrite").parquet(f"{old}/stg_flows")
+    write_exports(raw, exports, 1, -1, -2)
+    refresh.refresh_marts(spark, exports, root)
+    refresh.build_marts(io.read_exports(spark, exports), f"{tmp_path}/full")
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/full")
+    # Numbers are dense, and an address has one.
+    numbers = refresh._numbered(spark, root)
+    found = numbers.agg(F.max("id"), F.countDistinct("id"), F.countDistinct("address"), F.count(F.lit(1))).first()
+    assert len(set(found)) == 1
+
+
 def test_failed_refresh_changes_and_deletes_nothing(spark, raw, exports, tmp_path, monkeypatch):
     source, root = f"{tmp_path}/own", f"{tmp_path}/marts"
     write_exports(raw, source, 0)

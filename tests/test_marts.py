@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlake.operators.rollup import destination_totals, port_totals, source_totals
-from flowlake.operators.topk import top_rows
+from flowlake.operators import distinct
+from flowlake.operators.rollup import pair_totals, totals_by_hour
+from flowlake.operators.topk import top_rows, top_sums
 from flowlake.plans import marts, reports
 from flowlake.schema import STAGED
 from flowlake.sources.files import write_table
@@ -249,3 +251,65 @@ def test_latest_rows_push_their_time_filter_and_prune_before_each_shuffle(stored
 def test_seven_days_reach_the_scan(stored):
     plan = plan_of(reports.hourly_traffic_of(stored, date(2024, 5, 15)))
     assert plan.count("GreaterThanOrEqual(received_hour,2024-05-07 23:00:00.0)") == 2
+
+
+# --- merged parts ------------------------------------------------------------
+
+
+def test_top_sums_like_adding_up(spark):
+    """Keys spread over parts, ties at the cut, null keys and values, empty parts."""
+    draw = random.Random(7)
+    names = [None, *[f"k{i}" for i in range(40)]]
+    tables = [
+        {name: draw.choice([None, 0, 1, 5, 5, draw.randrange(1000)]) for name in names if draw.random() < 0.6}
+        for _ in range(4)
+    ] + [{}, {"hot": 10**15, "k1": 5}]
+    parts = [
+        spark.createDataFrame([(a, "x", v, 1) for a, v in t.items()], "a string, b string, v long, n long") for t in tables
+    ]
+    want = defaultdict(lambda: [None, 0])
+    for t in tables:
+        for name, value in t.items():
+            if value is not None:
+                want[name][0] = (want[name][0] or 0) + value
+            want[name][1] += 1
+    rank = lambda row: (row[1] is None, -(row[1] or 0), row[0] is None, row[0] or "")
+    rows = sorted(((name, v, n) for name, (v, n) in want.items()), key=rank)
+    order = [F.desc_nulls_last("v"), F.asc_nulls_last("a")]
+    for k in (1, 7, 20, 39, 500):
+        got = top_sums(parts, ["a", "b"], "v", order, k)
+        assert [(r.a, r.v, r.n) for r in got.collect()] == rows[:k]
+
+
+def test_marts_from_parts(spark):
+    flows = [random_flows(700, seed) for seed in (1, 2, 3)] + [[flow(None, None, "new", None), flow(size=None, src=None)]]
+    whole = staged(spark, [row for part in flows for row in part])
+    parts = [staged(spark, rows) for rows in flows]
+    numbered = spark.createDataFrame([], distinct.ADDRESSES)
+    hours, sides = [], {"src_addr": [], "dst_addr": []}
+    for part in parts:
+        added = distinct.number_addresses(distinct.unnumbered(part, numbered), numbered)
+        added = spark.createDataFrame(added.collect(), distinct.ADDRESSES)
+        numbered = numbered.unionByName(added)
+        hours.append(totals_by_hour(part))
+        for side, found in sides.items():
+            found.append(distinct.hour_bitmaps(part, numbered, side))
+
+    def all_of(tables):
+        found = tables[0]
+        for table in tables[1:]:
+            found = found.unionByName(table)
+        return found
+
+    merged = [all_of(hours), *[all_of(found) for found in sides.values()]]
+    found = lambda df: sorted(map(str, df.collect()))
+    assert found(marts.merged_hours(*merged)) == found(marts.traffic_by_hour(whole))
+    assert found(marts.merged_overview(*merged)) == found(marts.overview_stats(whole))
+    empty = [df.limit(0) for df in merged]
+    assert found(marts.merged_overview(*empty)) == found(marts.overview_stats(whole.limit(0)))
+    pairs = [pair_totals(part) for part in parts]
+    assert found(marts.merged_matrix(pairs, 30)) == found(marts.traffic_matrix(whole, 30))
+    latest = all_of([marts.recent_flows(part, 40) for part in parts])
+    assert found(marts.merged_recent(latest, 40)) == found(marts.recent_flows(whole, 40))
+    ids = sorted(r.id for r in numbered.collect())
+    assert ids == list(range(1, len(ids) + 1))

@@ -51,6 +51,16 @@ def main() -> None:
     decoded = read_exports(spark, f"{root}/exports")
     flows = write_table(stage_flows(decoded), f"{root}/flows")
 
+    grown, marts_root = f"{root}/grown", f"{root}/marts-of-grown"
+    write_export(decoded, grown, "ipfix_decoded_0.parquet")
+    refresh.refresh_marts(spark, grown, marts_root)
+
+    def second() -> None:
+        """One more export of a twentieth of the flows, and a refresh."""
+        number = next(runs)
+        write_export(decoded.where(f"pmod(time_received_ns, 20) = {number % 20}"), grown, f"ipfix_decoded_{number}.parquet")
+        refresh.refresh_marts(spark, grown, marts_root)
+
     jobs: dict[str, Callable[[], object]] = {
         "decode_flows": export,
         "export_census": lambda: export_census(raw).collect(),
@@ -68,6 +78,7 @@ def main() -> None:
         ),
         "day_report": lambda: _drain(layout.day_report(flows)),
         "mart_refresh": lambda: refresh.build_marts(decoded, f"{root}/marts-{next(runs)}"),
+        "second_refresh": lambda: second(),
     }
     cold, warm = {}, {}
     for name, job in jobs.items():

@@ -37,8 +37,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets replaced."""
-    replaced = replace_entities(docs, SURROGATE_KEY).drop("n_entities")
+    """Personal data and secrets replaced; null texts stay null."""
+    # Under a name that no column of the documents has.
+    count = max(docs.columns, key=len) + "_replaced"
+    replaced = replace_entities(docs, SURROGATE_KEY, count)
     return replaced.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

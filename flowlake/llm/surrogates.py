@@ -377,9 +377,9 @@ def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
         rows = judged.select("kind", "normal", (F.col("turn") + F.col("again").cast("int")).alias("turn"))
 
 
-def replace_entities(docs: DataFrame, key: str) -> DataFrame:
+def replace_entities(docs: DataFrame, key: str, count: str = "n_entities") -> DataFrame:
     """``docs`` (doc_id, text, and any others) with each entity of ``text``
-    replaced, and ``n_entities``.
+    replaced, and their number as ``count``.
 
     Kinds: e-mail addresses, passwords and keys, IBANs, telephone, card and
     social security numbers, IPv4 addresses, names after a title or with a known
@@ -393,9 +393,9 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     Only entities are shuffled and compared; texts move once, to meet their
     surrogates.  Texts without entities, empty and null texts are unchanged.
     Rows that repeat are replaced alike; rows without doc_id too.  Columns of
-    ``docs`` may have any names but ``n_entities``, which is replaced.
+    ``docs`` may have any names but that of ``count``, which is replaced.
     """
-    columns = [c for c in docs.columns if c != "n_entities"]
+    columns = [c for c in docs.columns if c != count]
     own = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"]).alias("row")
     rows = docs.select(
         own,
@@ -417,7 +417,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list("word")).alias("words"))
         .select(*_ROW, "place", F.concat("lead", F.array_join("words.new", " ")).alias("new"), F.size("words").alias("n"))
         .groupBy(*_ROW)
-        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"), F.sum("n").alias("n_entities"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"), F.sum("n").alias("_count"))
     )
     rebuilt = F.array_join(
         F.zip_with(
@@ -430,5 +430,5 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     text = F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col("text"))
     return rows.join(by_row, _ROW, "left").select(
         *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
-        F.coalesce("n_entities", F.lit(0)).cast("long").alias("n_entities"),
+        F.coalesce("_count", F.lit(0)).cast("long").alias(count),
     )

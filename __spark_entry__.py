@@ -8,7 +8,7 @@ shares no decoding code with the Spark side.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +22,10 @@ from flowlake.operators.rollup import fold, pair_totals, port_totals, totals_by_
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import export, layout, marts, refresh, reports, retention
 from flowlake.session import configure, scratch_path
-from flowlake.sources.files import read_exports, write_export, write_table
+from flowlake.sources.files import delete_path, read_exports, write_export, write_table
 from flowlake.sources.samples import PORTS, PROTOS, sample_raw_flows
 from flowlake.streaming.export import raw_stream, start_export
+from flowlake.streaming.marts import start_marts
 
 try:  # the optional part; errors inside it are not hidden
     from flowlake.llm import queries as llm_queries
@@ -41,6 +42,7 @@ except ModuleNotFoundError as missing:
 
 AS_OF = date(2000, 1, 1)  # "today" of the reports that look back from a day
 EPOCH_MICROS = 820_000_000_000_000  # keeps sums of moments small
+EXPIRE_BEFORE = datetime(1998, 6, 1, 10, 30)
 CUTOFF = "1998-01-15 00:00:00"  # orders have times at midnight, some of them this one
 
 
@@ -141,6 +143,40 @@ def _mart_refresh(spark: SparkSession, tables: str) -> DataFrame:
     return reduce(DataFrame.unionByName, figures)
 
 
+def _stream_marts(spark: SparkSession, tables: str) -> DataFrame:
+    """Stream the raw files through the marts in three batches, the last repeated as
+    after a crash before it was committed; every stored column in figures."""
+    landing, target, root, checkpoint = (
+        scratch_path(spark, name) for name in ("raw", "exports", "marts", "checkpoint")
+    )
+    lots = F.xxhash64("time_received_ns", "src_port")
+    raw = _raw(spark, tables)
+    for lot in range(3):
+        part = raw.where(F.pmod(lots, F.lit(3)) == lot)
+        part.coalesce(1).write.mode("append").parquet(landing)
+    for last in (False, True):
+        query = start_marts(raw_stream(spark, landing, max_files=1), target, root, checkpoint, once=True)
+        query.awaitTermination()
+        if not last:
+            for name in ("commits/2", "commits/.2.crc"):
+                delete_path(spark, f"{checkpoint}/{name}")
+    names = ["overview_stats", *marts.ORDER]
+    figures = [_figures(name, refresh.read_mart(spark, root, name)) for name in names]
+    return reduce(DataFrame.unionByName, figures)
+
+
+def _expired_flows(spark: SparkSession, tables: str) -> DataFrame:
+    """Exports of which some lie wholly before a moment, some after and some on both
+    sides; what expiry by event time leaves."""
+    target, decoded = scratch_path(spark, "exports"), _decoded(spark, tables)
+    mixed = F.col("bytes") % 16 == 0
+    narrow = decoded.where(~mixed).repartitionByRange(8, "time_received_ns")
+    write_export(narrow, target, "ipfix_decoded_narrow.parquet")
+    write_export(decoded.where(mixed), target, "ipfix_decoded_mixed.parquet")
+    retention.expire_flows(spark, target, EXPIRE_BEFORE, dry_run=False)
+    return read_exports(spark, target)
+
+
 def _mixed_writers(spark: SparkSession, tables: str) -> DataFrame:
     """Exports of two writers under one glob: one has unsigned counters and plain
     binary text."""
@@ -326,6 +362,8 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_stream": _export_stream,
         "export_batches": _export_batches,
         "mixed_writers": _mixed_writers,
+        "stream_marts": _stream_marts,
+        "expired_flows": _expired_flows,
         "scan_count": _scan_count,
         "pair_totals": _on_flows(pair_totals),
         "port_totals": _on_flows(port_totals),
@@ -675,6 +713,11 @@ def _flow_sql() -> dict[str, str]:
         "export_stream": _decoded_sql(),
         "export_batches": _decoded_sql(),
         "mixed_writers": _decoded_sql(),
+        "stream_marts": _staged(f"SELECT * FROM ({_mart_figures()}) WHERE mart <> 'stg_flows'"),
+        "expired_flows": _decoded_sql(
+            "WHERE make_timestamp(round_even(time_received_ns / 1e9 * 1e6, 0)::BIGINT)"
+            f" >= TIMESTAMP '{EXPIRE_BEFORE}'"
+        ),
         "scan_count": "SELECT count(*) AS rows FROM lineitem",
         "pair_totals": _staged(_totals("src_addr", "dst_addr")),
         "port_totals": _staged(_totals("dst_port", "proto")),

@@ -62,6 +62,11 @@ def hour_bitmaps(flows: DataFrame, numbered: DataFrame, address: str) -> DataFra
     )
 
 
+def merged_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """``hour_bitmaps`` from those of several parts."""
+    return bitmaps.groupBy("received_hour", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
 def merged_count(bitmaps: DataFrame, name: str, *keys: str) -> DataFrame:
     """Distinct values per ``keys`` over all ``bitmaps``: or, then count bits."""
     merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))

@@ -77,3 +77,14 @@ def totals_by_hour(flows: DataFrame) -> DataFrame:
         F.min("received_at").alias("first_at"),
         F.max("received_at").alias("last_at"),
     )
+
+
+def fold_hours(totals: DataFrame) -> DataFrame:
+    """``totals_by_hour`` from those of several parts."""
+    return totals.groupBy("received_hour").agg(
+        F.sum("flows").alias("flows"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("sized").alias("sized"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )

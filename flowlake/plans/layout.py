@@ -12,18 +12,20 @@ from flowlake.functions.sizes import readable_size
 from flowlake.functions.times import flow_time, partition_key
 from flowlake.operators.topk import top_rows
 from flowlake.schema import DECODED
+from flowlake.sources.files import qualified
+from flowlake.sources.footers import file_footers, footers_readable, list_parquet, scanned_footers
 
 FILE_ROWS = 10_000_000  # rows of a compacted file, some 500 MB
 
 
 def file_rows(spark: SparkSession, glob: str) -> DataFrame:
-    """Row count, size and age per file; no column is read, only footers."""
-    meta = spark.read.parquet(glob).select("_metadata.*")
-    return meta.groupBy(
-        F.col("file_path").alias("path"),
-        F.col("file_size").alias("size_bytes"),
-        F.col("file_modification_time").alias("modified_at"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    """Row count, size and age per file, from listing and footers; no flow is read."""
+    files = list_parquet(spark, glob)
+    if footers_readable(qualified(spark, glob)):
+        found = file_footers(files)
+    else:
+        found = scanned_footers(spark.read.parquet(glob), files)
+    return files.join(found.select("path", "rows"), "path")
 
 
 def file_report(files: DataFrame, partition: Column) -> DataFrame:

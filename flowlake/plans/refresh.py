@@ -4,7 +4,8 @@ Exports are staged once, in segments: a segment holds the exports that were new
 at one refresh, and what the marts need of them, in a form that adds up: totals
 per pair, hour and port, bitmaps of the addresses of each hour, its latest flows.
 A refresh stages what is new, stages again the rest of segments that lost an
-export, and leaves all others as they are.  Marts are built from these tables of
+export, and leaves all others as they are, save that eight segments of a like size
+become one by adding up their tables, so that their number stays small.  Marts are built from these tables of
 all segments; the staged flows of old segments are not read again.
 
 Addresses are numbered once, for the bitmaps; a version has the whole numbering.
@@ -16,6 +17,7 @@ the new ones are complete, and keep them if a refresh fails.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -28,10 +30,11 @@ from pyspark.sql import functions as F
 from flowlake.operators.distinct import (
     ADDRESSES,
     hour_bitmaps,
+    merged_bitmaps,
     number_addresses,
     unnumbered,
 )
-from flowlake.operators.rollup import fold, pair_totals, port_totals, totals_by_hour
+from flowlake.operators.rollup import fold, fold_hours, pair_totals, port_totals, totals_by_hour
 from flowlake.operators.staging import stage_flows
 from flowlake.plans import marts, reports
 from flowlake.sources.files import (
@@ -60,6 +63,22 @@ TOTALS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 # Tables of a segment from its totals per pair.
 FOLDED = {"source_totals": "src_addr", "destination_totals": "dst_addr"}
 
+# How the tables of segments become those of one segment of all their flows.
+MERGED: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "stg_flows": lambda rows: rows,
+    "pair_totals": lambda rows: fold(rows, "src_addr", "dst_addr").sortWithinPartitions(F.desc_nulls_last("bytes")),
+    "hour_totals": fold_hours,
+    "port_totals": lambda rows: fold(rows, "dst_port", "proto"),
+    "hour_sources": merged_bitmaps,
+    "hour_destinations": merged_bitmaps,
+    "latest_flows": marts.merged_recent,
+    **{name: lambda rows, key=key: fold(rows, key) for name, key in FOLDED.items()},
+}
+
+# Segments of about one size that become one, and the most exports a merged one may
+# hold: what is staged again when the oldest of them expires.
+FAN_IN, MOST_EXPORTS = 8, 64
+
 MANIFEST = "segment string, entry string, stamp long"
 
 
@@ -94,9 +113,12 @@ def refresh_marts(spark: SparkSession, export_root: str, root: str) -> dict[str,
         decoded = read_decoded(spark, *sorted(entry for entry, _ in waiting))
         added = [_stage(decoded, root, spark.createDataFrame([], ADDRESSES) if numbered is None else numbered)]
         kept[added[0]] = waiting
-    rows = [(name, entry, mark) for name, exports in kept.items() for entry, mark in sorted(exports)]
-    if not rows:
+    if not kept:
         raise ValueError(f"no exports under {export_root}")
+    for names in _mergeable(kept):
+        merged = _merge(spark, root, names)
+        kept[merged] = set().union(*[kept.pop(name) for name in names])
+    rows = [(name, entry, mark) for name, exports in kept.items() for entry, mark in sorted(exports)]
     return _publish(spark, root, spark.createDataFrame(rows, MANIFEST), added, numbered)
 
 
@@ -123,6 +145,36 @@ def _stage(decoded: DataFrame, root: str, numbered: DataFrame) -> str:
     return segment
 
 
+def _mergeable(segments: dict[str, set]) -> list[list[str]]:
+    """Groups of ``FAN_IN`` segments to merge: of a like number of exports, by powers
+    of ``FAN_IN``, and adjacent by name, so that they are of a like age.
+
+    A merged segment holds ``MOST_EXPORTS`` at most, so n exports staged one by one
+    end up in about n / ``MOST_EXPORTS`` segments and a few small ones, and every
+    flow is rewritten as often as there are powers below that number.
+    """
+    sizes: dict[int, list[str]] = {}
+    for name in sorted(segments, key=lambda name: min(segments[name])):
+        sizes.setdefault(math.floor(math.log(len(segments[name]), FAN_IN) + 1e-9), []).append(name)
+    groups = [names[at : at + FAN_IN] for names in sizes.values() for at in range(0, len(names), FAN_IN)]
+    return [
+        names for names in groups if len(names) == FAN_IN and sum(len(segments[name]) for name in names) <= MOST_EXPORTS
+    ]
+
+
+def _merge(spark: SparkSession, root: str, names: list[str]) -> str:
+    """Write one segment with what ``names`` hold; nothing is computed from flows."""
+    segment = f"segments/{uuid.uuid4().hex}"
+
+    def merged(table: str) -> DataFrame:
+        return MERGED[table](
+            reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/{name}/{table}") for name in names])
+        )
+
+    _side_by_side({table: (merged(table), f"{root}/{segment}/{table}") for table in MERGED})
+    return segment
+
+
 def _side_by_side(tables: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
         return dict(zip(tables, pool.map(lambda table: write_table(*table), tables.values()), strict=True))

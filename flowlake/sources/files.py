@@ -47,14 +47,14 @@ def read_decoded(spark: SparkSession, *globs: str) -> DataFrame:
     each match says how it stores its columns, and all that store them alike are
     one scan, whose columns are then cast.  The files of one folder are of one writer.
     """
-    kinds = _by_schema(spark, globs)
+    kinds = paths_by_schema(spark, *globs)
     if len(kinds) < 2:  # Spark also says so where nothing matches
         return conform(spark.read.parquet(*globs), DECODED)
     parts = [conform(spark.read.parquet(*paths), DECODED) for paths in kinds]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _by_schema(spark: SparkSession, globs: tuple[str, ...]) -> list[list[str]]:
+def paths_by_schema(spark: SparkSession, *globs: str) -> list[list[str]]:
     """Paths that match, grouped by how their columns are stored."""
     statuses = [status for glob in globs for status in _matches(spark, glob)]
     with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
@@ -120,6 +120,17 @@ def _file_system(spark: SparkSession, path: str):
     return system, system.makeQualified(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system."""
+    return _file_system(spark, path)[1].toString()
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder within a file system; False if ``source`` is not there."""
+    system, origin = _file_system(spark, source)
+    return system.exists(origin) and system.rename(origin, _file_system(spark, target)[1])
+
+
 def list_names(spark: SparkSession, glob: str) -> list[str]:
     """Names of the files and folders that match."""
     system, target = _file_system(spark, glob)

@@ -20,7 +20,9 @@ from flowlake.schema import DECODED, RAW, STAGED
 from flowlake.sources import files as io
 from flowlake.sources.files import write_table
 from flowlake.sources.samples import sample_raw_flows
+from flowlake.sources import footers
 from flowlake.streaming.export import raw_stream, start_export
+from flowlake.streaming.marts import start_marts
 
 TABLES = "/root/testdata/sf0.001"
 NOW = datetime(2024, 5, 10, 12, 0, 0)
@@ -524,3 +526,156 @@ def test_dashboard(spark, raw, tmp_path):
     assert talkers == sorted(talkers, reverse=True)
     assert page["hourly_traffic"].first().hour >= datetime(1999, 12, 25)
     assert page["top_sources_chart"].columns == ["src_addr", "mb"]
+
+
+def test_segments_merge_and_stay_few(spark, raw, tmp_path, monkeypatch):
+    """Exports that come one by one end up in few segments, with the same marts."""
+    monkeypatch.setattr(refresh, "FAN_IN", 2)
+    monkeypatch.setattr(refresh, "MOST_EXPORTS", 2)
+    exports, root = f"{tmp_path}/exports", f"{tmp_path}/marts"
+    for number in (0, 1, 2):
+        write_exports(raw, exports, number)
+        refresh.refresh_marts(spark, exports, root)
+    manifest = refresh._manifest(spark, root)
+    counts = sorted(row["count"] for row in manifest.groupBy("segment").count().collect())
+    assert counts == [1, 2]
+    refresh.build_marts(io.read_exports(spark, exports), f"{tmp_path}/full")
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/full")
+    # The rest of a merged segment is staged again when one of its exports expires.
+    io.delete_path(spark, f"{exports}/ipfix_decoded_0.parquet")
+    refresh.refresh_marts(spark, exports, root)
+    refresh.build_marts(io.read_exports(spark, exports), f"{tmp_path}/less")
+    assert contents(spark, root) == contents(spark, f"{tmp_path}/less")
+
+
+def test_groups_of_segments():
+    def segments(*sizes):
+        numbers = iter(range(10_000))
+        return {f"s{at:04d}": {(next(numbers), 0) for _ in range(size)} for at, size in enumerate(sizes)}
+
+    assert refresh._mergeable(segments(*[1] * 7)) == []
+    assert [len(names) for names in refresh._mergeable(segments(*[1] * 17))] == [8, 8]
+    assert [len(names) for names in refresh._mergeable(segments(*[8] * 8, 1, 1))] == [8]
+    assert refresh._mergeable(segments(*[64] * 20)) == []
+    assert refresh._mergeable(segments(*[20] * 8)) == []
+
+
+# --- streaming marts ---------------------------------------------------------
+
+
+def run_marts(spark, root, max_files=None):
+    stream = raw_stream(spark, f"{root}/raw", max_files=max_files)
+    start_marts(stream, f"{root}/exports", f"{root}/marts", f"{root}/checkpoint", once=True).awaitTermination()
+
+
+def test_streaming_marts_with_a_repeated_batch(spark, raw, tmp_path):
+    raw.repartition(2).write.parquet(f"{tmp_path}/raw")
+    run_marts(spark, tmp_path, max_files=1)
+    refresh.build_marts(decode_flows(raw), f"{tmp_path}/full")
+    expected = contents(spark, f"{tmp_path}/full")
+    assert contents(spark, f"{tmp_path}/marts") == expected
+    # As after a crash between publishing the last batch and committing it.
+    for commit in [*(tmp_path / "checkpoint" / "commits").glob("*1"), *(tmp_path / "checkpoint" / "commits").glob(".*1.crc")]:
+        commit.unlink()
+    segments = set((tmp_path / "marts" / "segments").iterdir())
+    run_marts(spark, tmp_path, max_files=1)
+    assert contents(spark, f"{tmp_path}/marts") == expected
+    assert set((tmp_path / "marts" / "segments").iterdir()) == segments  # staged once
+
+
+# --- footers and expiry by event time ----------------------------------------
+
+
+def span_file(path, times):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    columns = {f.name: pa.array([None] * len(times), pa.string()) for f in DECODED}
+    columns |= {
+        f.name: pa.array([7] * len(times), pa.int64()) for f in DECODED if f.dataType.typeName() in ("long", "integer")
+    }
+    columns["time_received_ns"] = pa.array(times, pa.int64())
+    pq.write_table(pa.table(columns), path, row_group_size=2)
+
+
+MOMENT = datetime(2024, 5, 10)
+AT = int(MOMENT.replace(tzinfo=timezone.utc).timestamp()) * 10**9
+
+
+def span_exports(root):
+    """An old file, a new one, one of both, one without times, an empty one."""
+    span_file(root / "ipfix_old.parquet", [AT - 10**9, AT - 5000, AT - 2000])
+    span_file(root / "ipfix_new.parquet" / "part 1+.parquet", [AT + 5000, AT + 10**9])
+    span_file(root / "ipfix_new.parquet" / "part-2.parquet", [AT - 10**12, AT - 10**13])
+    span_file(root / "ipfix_both.parquet", [AT - 10**9, AT - 501, AT - 499, AT, AT + 1, None])
+    span_file(root / "ipfix_none.parquet", [None, None])
+    span_file(root / "ipfix_nulls.parquet", [None, AT - 10**9])
+    span_file(root / "ipfix_empty.parquet", [])
+
+
+@pytest.mark.parametrize("readable", [True, False])
+def test_spans_from_footers_or_a_scan(spark, tmp_path, monkeypatch, readable):
+    span_exports(tmp_path)
+    for module in (retention, layout):
+        monkeypatch.setattr(module, "footers_readable", lambda path: readable)
+    spans = {r.path.rsplit("/", 1)[1]: (r.action, r.rows) for r in retention.flow_spans(spark, str(tmp_path), MOMENT).collect()}
+    assert spans == {
+        "ipfix_old.parquet": ("drop", 3),
+        "part 1+.parquet": ("keep", 2),
+        "part-2.parquet": ("drop", 2),
+        "ipfix_both.parquet": ("rewrite", 6),
+        "ipfix_none.parquet": ("keep", 2),
+        "ipfix_nulls.parquet": ("rewrite", 2),
+        "ipfix_empty.parquet": ("keep", 0),
+    }
+    rows = layout.file_rows(spark, f"{tmp_path}/ipfix_*.parquet").collect()
+    assert {r.path.rsplit("/", 1)[1]: r.rows for r in rows} == {name: n for name, (_, n) in spans.items()}
+
+
+def test_footers_of_other_kinds(spark, tmp_path):
+    pq.write_table(pa.table({"t": pa.array([1, 2**64 - 1], pa.uint64())}), tmp_path / "wide.parquet")
+    pq.write_table(pa.table({"t": ["a", "b"]}), tmp_path / "text.parquet")
+    pq.write_table(pa.table({"t": [3, 4]}), tmp_path / "silent.parquet", write_statistics=False)
+    pq.write_table(pa.table({"u": [3, 4]}), tmp_path / "other.parquet")
+    pq.write_table(pa.table({"t": [-3, None, 4]}), tmp_path / "plain.parquet")
+    found = footers.file_footers(footers.list_parquet(spark, str(tmp_path)), "t").collect()
+    spans = {r.path.rsplit("/", 1)[1].removesuffix(".parquet"): tuple(r)[1:] for r in found}
+    unknown = (2, None, None, None)
+    assert spans == {name: unknown for name in ("wide", "text", "silent", "other")} | {"plain": (3, -3, 4, 1)}
+
+
+def test_expiry_by_event_time(spark, tmp_path):
+    root = tmp_path / "exports"
+    span_exports(root)
+    before = {path.name for path in root.rglob("*.parquet")}
+    assert retention.expire_flows(spark, str(root), MOMENT) == {"dry_run": True, "drop": 2, "rewrite": 2, "keep": 3}
+    assert {path.name for path in root.rglob("*.parquet")} == before
+    report = retention.expire_flows(spark, str(root), MOMENT, dry_run=False)
+    assert (report["drop"], report["rewrite"]) == (2, 2)
+    times = [r[0] for r in io.read_exports(spark, str(root)).select("time_received_ns").collect()]
+    near = 10**7  # double seconds decide what lies within a microsecond
+    assert sorted(t - AT for t in times if t is not None and abs(t - AT) > near) == [10**9]
+    assert times.count(None) == 4
+    left = {path.name for path in root.iterdir()}
+    assert left >= {"ipfix_new.parquet", "ipfix_none.parquet", "ipfix_empty.parquet"}
+    assert not left & {"ipfix_old.parquet", "ipfix_both.parquet", "ipfix_nulls.parquet"}
+    # The new export straddles nothing any more, so nothing is left to do.
+    again = retention.expire_flows(spark, str(root), MOMENT, dry_run=False)
+    assert (again["drop"], again["path"] is None or again["rewrite"] == 1) == (0, True)
+    assert sorted(map(str, times)) == sorted(str(r[0]) for r in io.read_exports(spark, str(root)).select("time_received_ns").collect())
+
+
+@pytest.mark.parametrize("step", ["move_path", "delete_path"])
+def test_expiry_after_a_crash(spark, tmp_path, monkeypatch, step):
+    root = tmp_path / "exports"
+    span_exports(root)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+        patch.setattr(retention, step, crash)
+        retention.expire_flows(spark, str(root), MOMENT, dry_run=False)
+    retention.expire_flows(spark, str(root), MOMENT, dry_run=False)
+    other = tmp_path / "other"
+    span_exports(other)
+    retention.expire_flows(spark, str(other), MOMENT, dry_run=False)
+    assert sums(io.read_exports(spark, str(root))) == sums(io.read_exports(spark, str(other)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,11 @@ from flowlake.llm.blocks import stored
 _CALL = ["conv_id", "call_id"]
 
 # What an argument that is the string "$result:<call_id>" refers to; the quote
-# that opens it is not an escaped one inside a longer string.
-_REFERENCE = r'(?<!\\)"\$result:([^"\\]+)"'
+# that opens it is not an escaped one inside a longer string, and it is no key.
+_REFERENCE = r'(?<!\\)"\$result:([^"\\]+)"(?!:)'
+
+# Digits that a number keeps: as a decimal, and as a double if it has an exponent.
+_DIGITS, _DOUBLE_DIGITS, _EXPONENT = 38, 15, 290
 
 # JSON Schema types and the variant types that fit them.
 _TYPES = {
@@ -25,10 +30,29 @@ _TYPES = {
 }
 
 
+def exact_numbers(text: Column) -> Column:
+    """Whether every number of a JSON text can be kept as it is.
+
+    A number without exponent may have 38 digits, one with an exponent 15 and an
+    exponent of at most 290 either way; others would change their value.
+    """
+    # Without escapes every quote opens or closes a string.
+    bare = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    numbers = F.regexp_extract_all(F.regexp_replace(bare, '"[^"]*+"', '""'), F.lit("[0-9][0-9.eE+-]*+"), F.lit(0))
+
+    def kept(number: Column) -> Column:
+        power = F.regexp_extract(number, "[eE]([+-]?[0-9]+)", 1)
+        digits = F.length(F.regexp_replace(F.regexp_replace(number, "[eE].*", ""), "[^0-9]", ""))
+        near = F.coalesce(F.abs(power.try_cast("long")) <= _EXPONENT, F.lit(False))
+        return F.when(power == "", digits <= _DIGITS).otherwise((digits <= _DOUBLE_DIGITS) & near)
+
+    return F.forall(numbers, kept)
+
+
 def canonical_json(text: Column) -> Column:
     """JSON with sorted keys and no spaces; null unless ``text`` is JSON whose
-    objects have no key twice."""
-    return F.to_json(F.try_parse_json(text))
+    objects have no key twice and whose numbers are all kept, see ``exact_numbers``."""
+    return F.when(exact_numbers(text), F.to_json(F.try_parse_json(text)))
 
 
 def _quoted(value: Column) -> Column:
@@ -90,31 +114,79 @@ def order_calls(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(conv_id, call_id, level): 0 for calls that need no other, else one more
     than the highest level among those needed; null on or behind a cycle.
 
-    ``needs`` has (conv_id, call_id, needed).  Level by level: each round joins
-    only what was placed last, so the rounds are the longest chain of calls and
-    the work is linear in ``needs``.  Each round is a written table.
+    ``needs`` has (conv_id, call_id, needed).  Calls with one need are contracted
+    first: each points to the call its chain ends in, found by doubling in as many
+    rounds as the length of the longest chain has binary digits.  What is left, calls
+    with several needs, is peeled level by level along chains as weighted steps, so
+    these rounds are the most such calls in a row.  Each round is a written table.
     """
     needs = stored(needs.distinct(), "needs")
-    waiting = stored(needs.groupBy(*_CALL).agg(F.count(F.lit(1)).alias("open")), "waiting")
-    last = stored(calls.join(waiting, _CALL, "left_anti").select(*_CALL, F.lit(0).alias("level")), "level")
-    levels, level = [last], 0
+    waiting = stored(
+        needs.groupBy(*_CALL).agg(F.count(F.lit(1)).alias("open"), F.min("needed").alias("needed")), "waiting"
+    )
+    chained = _chain_ends(waiting.where("open = 1").select(*_CALL, F.col("needed").alias("top")))
+    ends = chained.select("conv_id", F.col("call_id").alias("needed"), "top", "steps")
+    waiting = waiting.where("open > 1").select(*_CALL, "open", F.lit(0).alias("level"))
+    steps = (
+        needs.join(waiting.select(*_CALL), _CALL, "left_semi")
+        .join(ends, ["conv_id", "needed"], "left")
+        .select(
+            *_CALL,
+            F.coalesce("top", "needed").alias("needed"),
+            (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
+        )
+    )
+    steps = stored(steps, "steps")
+    waiting = stored(waiting, "waiting")
+    last = stored(calls.join(needs, _CALL, "left_anti").select(*_CALL, F.lit(0).alias("level")), "level")
+    placed = [last]
     while not waiting.isEmpty() and not last.isEmpty():
-        level += 1
         met = (
-            needs.join(last.select("conv_id", F.col("call_id").alias("needed")), ["conv_id", "needed"])
+            steps.join(last.select("conv_id", F.col("call_id").alias("needed"), "level"), ["conv_id", "needed"])
             .groupBy(*_CALL)
-            .agg(F.count(F.lit(1)).alias("met"))
+            .agg(F.count(F.lit(1)).alias("met"), F.max(F.col("level") + F.col("steps")).alias("reached"))
+        )
+        waiting = stored(
+            waiting.join(met, _CALL, "left").select(
+                *_CALL,
+                (F.col("open") - F.coalesce("met", F.lit(0))).alias("open"),
+                F.greatest("level", "reached").alias("level"),
+            ),
+            "waiting",
         )
-        left = F.col("open") - F.coalesce("met", F.lit(0))
-        waiting = stored(waiting.join(met, _CALL, "left").select(*_CALL, left.alias("open")), "waiting")
-        last = waiting.where("open = 0").select(*_CALL, F.lit(level).alias("level"))
+        last = waiting.where("open = 0").select(*_CALL, "level")
         waiting = waiting.where("open > 0")
-        levels.append(last)
-    levels.append(waiting.select(*_CALL, F.lit(None).cast("int").alias("level")))
-    union = levels[0]
-    for one in levels[1:]:
-        union = union.unionByName(one)
-    return union
+        placed.append(last)
+    levels = reduce(DataFrame.unionByName, placed)
+    ended = levels.select("conv_id", F.col("call_id").alias("top"), F.col("level").alias("start"))
+    along = chained.join(ended, ["conv_id", "top"], "left")
+    never = waiting.select(*_CALL, F.lit(None).cast("int").alias("level"))
+    return levels.unionByName(along.select(*_CALL, (F.col("start") + F.col("steps")).alias("level"))).unionByName(never)
+
+
+def _chain_ends(chains: DataFrame) -> DataFrame:
+    """(conv_id, call_id, top, steps) from (conv_id, call_id, top), the one call each
+    needs: the first call on the way that is none of these, and how far it is.
+
+    Steps double each round.  A round in which no chain ends is the last: where some
+    call is farther from its end than any so far, so is one half as far.  Calls on or
+    behind a cycle keep a top that is one of these calls.
+    """
+    inner = F.col("next").isNotNull()
+    links = stored(chains.withColumn("steps", F.lit(1)), "chains")
+    ended, going = [], links
+    before = None
+    while True:
+        on = links.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("next"), F.col("steps").alias("more"))
+        moved = stored(going.join(on, ["conv_id", "top"], "left"), "chains")
+        ended.append(moved.where(~inner).select(*_CALL, "top", "steps"))
+        going = moved.where(inner).select(*_CALL, F.col("next").alias("top"), (F.col("steps") + F.col("more")).alias("steps"))
+        left = going.count()
+        if left in (0, before):
+            return reduce(DataFrame.unionByName, [*ended, going])
+        before = left
+        # Those that have ended are jumped to as well: their next is their end.
+        links = reduce(DataFrame.unionByName, [*ended, going])
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -129,7 +201,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     comes after that call.  ``status`` of a call is "answered", "unanswered" or
     "duplicate" (an earlier call has its id); of a result "linked", "repeated" (an
     earlier result answers the call) or "orphan".  ``errors`` names violations of
-    the tool's schema, references to calls that are not there, and cycles.
+    the tool's schema, numbers that would change, references to calls that are not
+    there, and cycles.
     ``record`` is the canonical JSON of a call: sorted keys, no spaces, the result
     included; null on rows that are no call of their own.
 
@@ -167,7 +240,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     firsts = stored(
         first_call.join(first_result, _CALL, "left").select(*_CALL, "c", "r"), "linked"
     )
-    nodes = firsts.select(*_CALL, canonical_json(F.col("c.arguments")).alias("plain"))
+    nodes = firsts.select(*_CALL, F.to_json(F.try_parse_json("c.arguments")).alias("plain"))
     references = stored(
         nodes.select(
             *_CALL,
@@ -185,8 +258,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     )
     none = F.array().cast("array<string>")
     parsed = F.try_parse_json("c.arguments")
+    exact = F.coalesce(exact_numbers(F.col("c.arguments")), F.lit(True)) | parsed.isNull()
+    changed = F.when(~exact, F.array(F.lit("a number cannot be kept"))).otherwise(none)
     cycle = F.when(F.col("level").isNull(), F.array(F.lit("cycle"))).otherwise(none)
-    # Keys in order of the alphabet; arguments that are no JSON stay a string.
+    # Keys in order of the alphabet; arguments that are no JSON, or hold a number that
+    # would change, stay a string.
     record = F.concat(
         F.lit('{"arguments":'),
         F.coalesce(canonical_json(F.col("c.arguments")), _quoted(F.col("c.arguments"))),
@@ -208,7 +284,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
             "level",
             F.when(F.col("r").isNotNull(), "answered").otherwise("unanswered").alias("status"),
             F.concat(
-                argument_errors(F.col("c.name"), parsed, schemas), F.coalesce("missing", none), cycle
+                argument_errors(F.col("c.name"), parsed, schemas), changed, F.coalesce("missing", none), cycle
             ).alias("errors"),
             record.alias("record"),
         )

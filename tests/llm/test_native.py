@@ -3,6 +3,7 @@
 import json
 import random
 import re
+from decimal import Decimal
 
 import pytest
 
@@ -48,6 +49,9 @@ def errors_of(spark, name, arguments):
         ("add", None, ["arguments are not an object"]),
         ("add", "", ["arguments are not an object"]),
         ("add", '{"a":1,"a":2}', ["arguments are not an object"]),
+        ("add", '{"a":1,"b":1e400}', ["b: maximum", "a number cannot be kept"]),
+        ("say", '{"text":"1e400","other":{"$result:zz":1}}', []),
+        ("say", '{"text":"ok","other":[{"$result:zz":"$result:y"}]}', ["no such call: y"]),
     ],
 )
 def test_arguments_against_schemas(spark, name, arguments, errors):
@@ -63,6 +67,43 @@ def test_canonical_json(spark):
     assert got == want + [None, None, None]
 
 
+def test_numbers_are_kept_or_refused(spark):
+    kept = ["1", "-0.5", "12345678901234567890123456789012345678", "1.5e10", "1E-290", '"1e400"', '"\\\\"', '["a\\"1e400"]']
+    lost = ["1e400", "1" * 41, "0." + "1" * 40, "1234567890123456789e3", "[1,[2,{\"x\":-1e-400}]]", '["\\\\",1e400]']
+    rows = spark.createDataFrame([(t,) for t in kept + lost], "t string")
+    got = [r.c for r in rows.select(canonical_json(F.col("t")).alias("c")).collect()]
+    assert got[len(kept) :] == [None] * len(lost)
+    for text, plain in zip(kept, got, strict=False):
+        assert json.loads(plain, parse_int=Decimal, parse_float=Decimal) == json.loads(text, parse_int=Decimal, parse_float=Decimal)
+    assert errors_of(spark, "add", '{"a":1e400}').record == '{"arguments":"{\\"a\\":1e400}","id":"c","name":"add","result":null}'
+
+
+def levels_of(needs, calls):
+    """Longest path by repeated passes; None on or behind a cycle."""
+    levels = {}
+    for _ in calls:
+        for call in calls:
+            if all(n in levels for n in needs.get(call, ())):
+                levels[call] = max((levels[n] + 1 for n in needs.get(call, ())), default=0)
+    return {call: levels.get(call) for call in calls}
+
+
+def test_levels_against_brute_force(spark):
+    """Chains, forks, joins of chains, cycles and what hangs behind them."""
+    dice = random.Random(5)
+    calls = [f"c{i}" for i in range(120)]
+    needs = {f"c{i}": {f"c{i - 1}"} for i in range(1, 50)}
+    for i in range(50, 110):
+        needs[f"c{i}"] = {f"c{dice.randrange(i)}" for _ in range(dice.choice([1, 1, 1, 2, 3]))}
+    needs |= {"c110": {"c112"}, "c111": {"c110"}, "c112": {"c111"}, "c113": {"c112"}, "c114": {"c113", "c3"}, "c115": {"c115"}}
+    table = spark.createDataFrame([(conv, c) for conv in (1, 2) for c in calls], "conv_id long, call_id string")
+    rows = [(1, c, n) for c, ns in needs.items() for n in ns] + [(2, "c1", "c0"), (2, "c1", "c0")]
+    got = order_calls(table, spark.createDataFrame(rows, "conv_id long, call_id string, needed string")).collect()
+    assert len(got) == 240
+    assert {r.call_id: r.level for r in got if r.conv_id == 1} == levels_of(needs, calls)
+    assert {r.call_id: r.level for r in got if r.conv_id == 2} == levels_of({"c1": {"c0"}}, calls)
+
+
 def test_calls_are_linked_and_ordered(spark):
     calls = [
         (1, 1, "a", "add", '{"a":1}'),

@@ -71,6 +71,35 @@ def test_ordinal_gradient_finds_the_likeliest():
     assert np.allclose(model.tails(np.zeros(1)), [[0.8, 0.5]], atol=0.01)
 
 
+def test_ordinal_fit_with_features_is_a_minimum():
+    """No numeric slope of the penalised loss is left, in any weight or threshold."""
+    dice = np.random.default_rng(3)
+    n, decay = 400, 1e-2
+    given = dice.random((n, 5)) < 0.4
+    pull = given @ np.array([2.0, -1.0, 0.5, 0.0, -2.0]) + dice.logistic(size=n)
+    grades = np.digitize(pull, [-1.0, 0.5, 1.5])
+    row, feature = np.nonzero(given)
+    count = dice.integers(1, 4, len(row))
+    model = fit_ordinal(grades, row, feature * 7 + 3, count, rounds=6000, rate=0.01, decay=decay)
+    at, value, row = model.values(n, row, feature * 7 + 3, count)
+
+    def loss(theta):
+        weights, limits = theta[:5], theta[5:]
+        score = np.bincount(row, weights[at] * value, n)
+        up_to = 1 / (1 + np.exp(score[:, None] - limits))
+        whole = np.hstack([np.zeros((n, 1)), up_to, np.ones((n, 1))])
+        places = np.arange(n)
+        return -np.log(whole[places, grades + 1] - whole[places, grades]).mean() + decay / 2 * (weights**2).sum()
+
+    theta = np.concatenate([model.weights, model.thresholds])
+    assert theta.shape == (8,) and (np.diff(model.thresholds) > 0).all() and (np.abs(model.weights) > 0.05).any()
+    step = 1e-5 * np.eye(8)
+    slopes = np.array([(loss(theta + s) - loss(theta - s)) / 2e-5 for s in step])
+    start = np.concatenate([np.zeros(5), model.thresholds])
+    assert loss(theta) < loss(start) - 0.01
+    assert np.abs(slopes).max() < 1e-3
+
+
 def test_words_of_a_shape_share_a_feature():
     def features(*texts):
         row, feature, count = hashed_features(pa.array(texts, pa.large_string()))

@@ -275,6 +275,14 @@ def _compacted_days(spark: SparkSession, tables: str) -> DataFrame:
     return layout.day_report(kept)
 
 
+def _clustered_days(spark: SparkSession, tables: str) -> DataFrame:
+    """Cluster the exports by time and addresses, then report on one source."""
+    path = scratch_path(spark, "clustered")
+    layout.compact(_decoded(spark, tables), path, by_address=True)
+    flows = stage_flows(layout.read_days(spark, path))
+    return layout.day_report(flows.where(F.col("src_addr") == flows.agg(F.min("src_addr")).scalar()))
+
+
 def _listing(spark: SparkSession, tables: str) -> DataFrame:
     """A listing of files made of orders: dates as ages, prices as sizes; eight
     files to an entry, a table per priority, a partition per month."""
@@ -370,6 +378,7 @@ def _flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "traffic_sizes": _on_flows(_traffic_sizes),
         "day_report": _on_flows(layout.day_report),
         "compacted_days": _compacted_days,
+        "clustered_days": _clustered_days,
         "mart_refresh": _mart_refresh,
         "traffic_matrix_merged": _merged_matrix,
         "recent_flows_merged": _merged_recent,
@@ -724,6 +733,7 @@ def _flow_sql() -> dict[str, str]:
         "traffic_sizes": _staged(_SIZES),
         "day_report": _staged(_days()),
         "compacted_days": _staged(_days(f"WHERE received_at >= DATE '{AS_OF}' - INTERVAL 7 DAY")),
+        "clustered_days": _staged(_days("WHERE src_addr = (SELECT min(src_addr) FROM staged)")),
         "mart_refresh": _staged(_mart_figures()),
         "traffic_matrix_merged": _staged(_MATRIX.format(k=500)),
         "recent_flows_merged": _staged(_LATEST.format(k=50000)),

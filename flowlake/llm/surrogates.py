@@ -97,8 +97,11 @@ def _branched(names: list[str]) -> str:
 # at the same place.
 # Patterns read forwards only: looking back from every character is slow.  A label
 # or title is matched with what it announces, and told apart afterwards.
-_NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
-_TITLE = "(?:" + "|".join(TITLES.values()) + ")"
+# A possessive ending is no part of a name.
+_NAME = r"\p{Lu}(?:\p{L}|-(?=\p{L})|['’](?!s\b)(?=\p{L})){1,30}"
+_TITLE = "(?:" + "|".join([*TITLES.values(), *map(str.upper, TITLES.values())]) + ")"
+# Most titles in small letters are words; these are not, before a full stop.
+_LOWER_TITLE = r"(?:mr|mrs|ms)\. "
 _FIRST = _branched("|".join(GIVEN.values()).split("|"))
 _LABEL = r"(?i:password|passwd|pwd|secret|token|api_?key) ?[=:] ?[\"']?"
 PATTERNS = {
@@ -112,10 +115,13 @@ PATTERNS = {
     "ip": r"\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "card": r"\b\d(?:[ -]?\d){12,18}\b",
-    "name": rf"\b{_TITLE}\.? {_NAME}(?: {_NAME})?|\b{_FIRST} {_NAME}",
+    "name": rf"\b{_TITLE}\.? {_NAME}(?: {_NAME})?|\b{_FIRST} {_NAME}|\b{_LOWER_TITLE}(?!and\b)\p{{Ll}}{{2,31}}",
 }
 PATTERN = "|".join(PATTERNS.values())
 
+# The country calling codes of one and two digits; all others have three.
+CALLING_CODE = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
 # Turns after which a surrogate gets characters more, one each turn: few shapes
 # have many values, and some have none but the entity's own.
 LONGER = 4
@@ -129,7 +135,7 @@ def _is(kind: str, hit: Column) -> Column:
 
 def _lead(hit: Column) -> Column:
     """The label or title that an entity was matched with, or nothing."""
-    return F.regexp_extract(hit, rf"^(?:{_LABEL}|{_TITLE}\.? (?=\p{{Lu}}))", 0)
+    return F.regexp_extract(hit, rf"^(?:{_LABEL}|{_TITLE}\.? (?=\p{{Lu}})|{_LOWER_TITLE}(?=\p{{Ll}}))", 0)
 
 
 def _kind(hit: Column, lead: Column, first: Column, alone: Column) -> Column:
@@ -141,10 +147,12 @@ def _kind(hit: Column, lead: Column, first: Column, alone: Column) -> Column:
     script = (
         F.when(hit.rlike(r"\p{IsCyrillic}"), "cyrillic").when(hit.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
     )
-    surname = ~hit.rlike(f"^{_FIRST}$") & (~first | alone)
+    written = F.initcap(hit)
+    surname = ~(hit.rlike(f"^{_FIRST}$") | written.rlike(f"^{_FIRST}$")) & (~first | alone)
     gender = F.lit("n")
     for g in ("f", "m"):
-        named = hit.rlike(f"^(?:{GIVEN[g]})$") | lead.rlike(rf"^(?:{TITLES[g]})\.? $")
+        given = rf"^(?:{GIVEN[g]})$"
+        named = hit.rlike(given) | written.rlike(given) | lead.rlike(rf"^(?iu:{TITLES[g]})\.? $")
         gender = F.when(named, g).otherwise(gender)
     name = F.concat_ws("_", F.lit("name"), F.when(surname, "s").otherwise(gender), script)
     return (
@@ -165,8 +173,8 @@ def _normal(kind: Column, hit: Column) -> Column:
     digits = F.regexp_replace(hit, r"\D", "")
     return (
         F.when(kind == "email", F.lower(hit))
-        # Ten digits are a number with or without its country code.
-        .when(kind == "phone", F.when(F.length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
+        # The same number with and without its country code.
+        .when(kind == "phone", F.when(hit.startswith("+"), F.regexp_replace(digits, CALLING_CODE, "")).otherwise(digits))
         .when(kind.isin("ssn", "card"), digits)
         .when(kind == "iban", F.replace(hit, F.lit(" "), F.lit("")))
         .when(kind.startswith("name"), F.lower(hit))
@@ -219,6 +227,19 @@ def _luhn(digits: Column) -> Column:
     return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((10 - total % 10) % 10).cast("string"))
 
 
+def _iban(country: Column, account: Column) -> Column:
+    """An IBAN with its check digits: 98 less the remainder by 97 of the account, the
+    country and two zeros, letters counting from 10."""
+
+    def read(rest: Column, at: Column) -> Column:
+        code = F.ascii(F.substr(tail, at, F.lit(1)))
+        return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97).cast("int")
+
+    tail = F.concat(account, country, F.lit("00"))
+    rest = F.aggregate(F.sequence(F.lit(1), F.length(tail)), F.lit(0), read)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
+
+
 def _made_name(digest: Column, kind: Column, turn: Column) -> Column:
     """Syllables and an ending; more syllables the more often a name was taken."""
 
@@ -252,7 +273,8 @@ def surrogate(key: str, kind: Column, normal: Column, turn: Column) -> Column:
     more = F.right(digest, F.greatest(turn - LONGER + 1, F.lit(0)))
     more = F.when(kind.isin("ip", "ssn", "phone", "card", "iban"), F.translate(more, "abcdef", "012345")).otherwise(more)
     return (
-        # The last label of a host and the first letters of a key or account stay.
+        # The last label of a host, the country of an account and the first letters of a
+        # key stay.
         F.when(
             kind == "email",
             F.concat(
@@ -261,7 +283,7 @@ def surrogate(key: str, kind: Column, normal: Column, turn: Column) -> Column:
         )
         .when(kind == "ip", F.concat(octets, more))
         .when(kind == "card", _luhn(F.concat(changed, more)))
-        .when(kind == "iban", F.concat(F.left(normal, F.lit(2)), F.substr(changed, F.lit(3)), more))
+        .when(kind == "iban", _iban(F.left(normal, F.lit(2)), F.concat(F.substr(changed, F.lit(5)), more)))
         .when(kind.startswith("name"), _made_name(digest, kind, turn))
         .when(normal.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substr(changed, F.lit(5)), more))
         .otherwise(F.concat(changed, more))
@@ -319,7 +341,9 @@ def _written(kind: Column, hit: Column, old: Column, made: Column) -> Column:
         .when(kind == "email", cased)
         .when(
             kind.startswith("name"),
-            F.when((hit == F.upper(hit)) & (F.length(hit) > 1), F.upper(normal)).otherwise(capital),
+            F.when((hit == F.upper(hit)) & (F.length(hit) > 1), F.upper(normal))
+            .when(hit == F.lower(hit), normal)
+            .otherwise(capital),
         )
         .otherwise(normal)
     )
@@ -331,7 +355,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
     ``part`` the words of a name."""
     # Most texts hold nothing that could start an entity; those are told apart by
     # cheaper passes.
-    likely = F.col("text").rlike("[0-9@=:]|AKIA[A-Z]{16}") | F.col("text").rlike(rf"\b(?:{_TITLE}|{_FIRST})\b")
+    likely = F.col("text").rlike("[0-9@=:]|AKIA[A-Z]{16}") | F.col("text").rlike(rf"\b(?:{_TITLE}|{_FIRST}|{_LOWER_TITLE.strip()})(?:\b| )")
     found = docs.where(likely).select(
         *_ROW, F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "whole")
     )
@@ -357,7 +381,9 @@ def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
     take another turn, until all differ.  From turn ``LONGER`` on there are ever
     more values of any shape, so that comes to an end.
     """
-    names = entities.select("kind", "normal").distinct()
+    # By count, not by bytes: the rows are short, but each takes long.
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = entities.select("kind", "normal").distinct().repartition(parts, "kind", "normal")
     rows = names.withColumn("turn", F.lit(0))
     while True:
         made = rows.select(
@@ -377,16 +403,46 @@ def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
         rows = judged.select("kind", "normal", (F.col("turn") + F.col("again").cast("int")).alias("turn"))
 
 
+def _again(named: DataFrame) -> DataFrame:
+    """(doc_id, sig, forms, news, again) of the names of each text: how they may be
+    written, what that becomes, and a pattern of where they stand alone.
+
+    A known name counts with a capital or in capitals, in small letters after a title
+    only, as many names are words."""
+    hit = F.col("hit")
+    forms = F.array_distinct(F.array(hit, F.upper(hit), F.initcap(hit), F.lower(hit)))
+    forms = named.where(F.col("kind").startswith("name")).select("*", F.explode(forms).alias("form"))
+    new = _written(F.col("kind"), F.col("form"), F.col("normal"), F.col("surrogate"))
+    # One entity to a form, should a word be first name and surname in one text.
+    by_form = forms.groupBy(*_ROW, "form").agg(F.min(F.struct("kind", new.alias("new"))).getField("new").alias("new"))
+    lists = by_form.groupBy(*_ROW).agg(F.sort_array(F.collect_list(F.struct("form", "new"))).alias("known"))
+    small = F.filter("known.form", lambda form: form == F.lower(form))
+    large = F.filter("known.form", lambda form: form != F.lower(form))
+    return lists.select(
+        *_ROW,
+        F.col("known.form").alias("_forms"),
+        F.col("known.new").alias("_news"),
+        F.concat(
+            F.lit(r"(?<![\p{L}\p{N}_@])(?:"),
+            F.array_join(large, "|"),
+            F.lit(r")(?![\p{L}\p{N}_@])|(?<=\b(?:mr|mrs|ms|dr|prof)\.? )(?:"),
+            F.array_join(small, "|"),
+            F.lit(r")(?!\p{L})"),
+        ).alias("_again"),
+    )
+
+
 def replace_entities(docs: DataFrame, key: str, count: str = "n_entities") -> DataFrame:
     """``docs`` (doc_id, text, and any others) with each entity of ``text``
     replaced, and their number as ``count``.
 
     Kinds: e-mail addresses, passwords and keys, IBANs, telephone, card and
     social security numbers, IPv4 addresses, names after a title or with a known
-    first name.  A surrogate has the kind, script, gender, punctuation and case of
-    what it replaces; cards keep a valid check digit, IBANs their country, but not
-    its check digits.  The last ten digits make a telephone number, so one with
-    and one without a country code are the same.  First names and surnames are
+    first name.  A name found in a text is an entity wherever else it stands in it,
+    alone, or in capitals.  A surrogate has the kind, script, gender, punctuation and case of
+    what it replaces; cards and IBANs have valid check digits, IBANs keep their
+    country, telephone numbers their country code: a number with it and one without
+    are the same.  First names and surnames are
     entities of their own, so a name stays recognisable where only a part of it
     is used.
 
@@ -419,16 +475,28 @@ def replace_entities(docs: DataFrame, key: str, count: str = "n_entities") -> Da
         .groupBy(*_ROW)
         .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"), F.sum("n").alias("_count"))
     )
-    rebuilt = F.array_join(
-        F.zip_with(
-            F.split("text", PATTERN, -1),
-            F.col("_new.new"),
-            lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))),
-        ),
-        "",
-    )
-    text = F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col("text"))
-    return rows.join(by_row, _ROW, "left").select(
+    by_row = by_row.join(_again(named), _ROW, "left")
+
+    def known(gap: Column) -> Column:
+        """What stands around known names in a gap between entities, and what they become."""
+        hits = F.regexp_extract_all(gap, F.col("_again"), F.lit(0))
+        news = F.transform(hits, lambda hit: F.get("_news", F.array_position("_forms", hit).cast("int") - 1))
+        return F.when(F.col("_again").isNull(), F.struct(F.array(gap).alias("around"), none.alias("news"))).otherwise(
+            F.struct(F.split(gap, F.col("_again"), -1).alias("around"), news.alias("news"))
+        )
+
+    none = F.array().cast("array<string>")
+    gaps = F.transform(F.split("text", PATTERN, -1), known)
+    # A column of its own, as it is used twice.
+    done = rows.join(by_row, _ROW, "left").withColumn("_gaps", F.when(F.col("_new").isNotNull(), gaps))
+
+    def joined(around: Column, news: Column) -> Column:
+        return F.array_join(F.zip_with(around, news, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+
+    around = F.transform("_gaps", lambda gap: joined(gap["around"], gap["news"]))
+    text = F.when(F.col("_new").isNotNull(), joined(around, F.col("_new.new"))).otherwise(F.col("text"))
+    more = F.aggregate("_gaps", F.lit(0).cast("long"), lambda total, gap: total + F.size(gap["news"]))
+    return done.select(
         *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
-        F.coalesce("_count", F.lit(0)).cast("long").alias(count),
+        (F.coalesce("_count", F.lit(0)) + F.coalesce(more, F.lit(0))).cast("long").alias(count),
     )

@@ -381,9 +381,10 @@ def make_surrogates(entities: DataFrame, key: str) -> DataFrame:
     take another turn, until all differ.  From turn ``LONGER`` on there are ever
     more values of any shape, so that comes to an end.
     """
-    # By count, not by bytes: the rows are short, but each takes long.
+    # By count, not by bytes: the rows are short, but each takes long.  Not by both
+    # columns, as Spark then takes the shuffle of distinct() for it and merges that.
     parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = entities.select("kind", "normal").distinct().repartition(parts, "kind", "normal")
+    names = entities.select("kind", "normal").distinct().repartition(parts, "normal")
     rows = names.withColumn("turn", F.lit(0))
     while True:
         made = rows.select(

@@ -251,8 +251,9 @@ def _figures(mart: str, table: DataFrame) -> DataFrame:
     figures = []
     for name, kind in table.dtypes:
         total = F.sum(F.length(name) if kind == "string" else name)
-        if kind == "timestamp":  # summed as integers: exact in any order
-            total = F.sum(F.unix_micros(name) - EPOCH_MICROS) / 1000000.0
+        if kind == "timestamp":  # summed as integers, exact in any order; the sum may pass a long
+            moments = (F.unix_micros(name) - EPOCH_MICROS).cast("decimal(20,0)")
+            total = F.sum(moments).cast("double") / 1000000.0
         total = F.coalesce(F.round(total.cast("double"), 3), F.lit(0.0))
         figures.append(
             F.struct(

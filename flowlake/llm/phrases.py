@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,11 @@ _GAPS = _BREAKS.copy()
 _GAPS[[32, 9]] = True
 
 
+def _places(bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``bounds`` are at or before each of the sorted ``at``."""
+    return np.searchsorted(bounds, at, side="right").astype(np.int32)
+
+
 class Sequences:
     """Words of a slice of texts and the fingerprint of every sequence of them that
     lies within one piece of a text."""
@@ -54,15 +59,15 @@ class Sequences:
         last[:-1] &= ~solid[1:]
         last[inner - 1] = solid[inner - 1]
         self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self.doc = np.searchsorted(offsets, self.begin, side="right") - 1
+        del solid, first, last
+        doc = _places(offsets, self.begin) - 1
         # Both grow along the words, so their sum changes where either does.
-        self.piece = np.append(0, np.cumsum(_BREAKS[raw]))[self.begin] + self.doc
+        self.piece = _places(np.flatnonzero(_BREAKS[raw]), self.begin) + doc
         self.names = langs.dictionary_encode()
-        self.lang = self.names.indices.to_numpy().astype(np.int64)[self.doc]
+        self.lang = self.names.indices.to_numpy()[doc]
         letters = self.names.dictionary.cast(pa.large_binary()).to_pylist()
         ends = np.cumsum([0] + [len(x) for x in letters])
-        seeds = byte_hashes(np.frombuffer(b"".join(letters), np.uint8), ends[:-1], ends[1:])
-        self.seed = seeds[self.lang] if len(letters) else np.zeros(0, np.uint64)
+        self.seeds = byte_hashes(np.frombuffer(b"".join(letters), np.uint8), ends[:-1], ends[1:])
         self.hashes = byte_hashes(self.data, self.begin, self.end)
         self.spans = Spans(self.hashes)
 
@@ -73,7 +78,7 @@ class Sequences:
 
     def prints(self, at: np.ndarray, k: int) -> np.ndarray:
         """Fingerprints of the sequences of ``k`` words from ``at``, of their language."""
-        return mixed(self.spans.of(at, at + k) + mixed(self.seed[at] ^ np.uint64(k)))
+        return mixed(self.spans.of(at, at + k) + mixed(self.seeds ^ np.uint64(k))[self.lang[at]])
 
     def words(self) -> np.ndarray:
         """A number for each word, the same for equal spellings only."""
@@ -105,9 +110,14 @@ class Sequences:
         return pa.LargeStringArray.from_buffers(len(at), buffers[1], buffers[2]).cast(pa.string())
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Sequences]:
-    for batch, texts in text_slices(batches, "text", SLICE_BYTES):
-        yield Sequences(texts, batch.column("lang"))
+def _per_slice(count: Callable[[Sequences], Iterator[pa.RecordBatch]]):
+    """``count`` over slices of batches; one slice is gone before the next is read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_slices(batches, "text", SLICE_BYTES):
+            yield from count(Sequences(texts, batch.column("lang")))
+
+    return run
 
 
 def _likely(x: Sequences, k: int, shorter: list[Marks]) -> np.ndarray:
@@ -129,16 +139,15 @@ def _likely(x: Sequences, k: int, shorter: list[Marks]) -> np.ndarray:
 def _fingerprints(sizes: tuple[int, ...], shorter: list[Marks]):
     """Fingerprints of the likely sequences of ``sizes`` words and how often they occur."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _slices(batches):
-            for k in sizes:
-                prints, n = np.unique(x.prints(_likely(x, k, shorter), k), return_counts=True)
-                yield pa.record_batch(
-                    [pa.array(np.full(len(n), k, np.int8)), pa.array(prints.view(np.int64)), pa.array(n, pa.int32())],
-                    names=["k", "print", "n"],
-                )
+    def count(x: Sequences) -> Iterator[pa.RecordBatch]:
+        for k in sizes:
+            prints, n = np.unique(x.prints(_likely(x, k, shorter), k), return_counts=True)
+            yield pa.record_batch(
+                [pa.array(np.full(len(n), k, np.int8)), pa.array(prints.view(np.int64)), pa.array(n, pa.int32())],
+                names=["k", "print", "n"],
+            )
 
-    return run
+    return _per_slice(count)
 
 
 def _frequent(docs: DataFrame, sizes: tuple[int, ...], shorter: list[Marks], least: int) -> list[Marks]:
@@ -156,32 +165,31 @@ def _spelled(marks: list[Marks]):
     Within a slice a fingerprint keeps the place of its first occurrence.  Every
     other is compared with that one word by word; those that differ count apart."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _slices(batches):
-            number = x.words()
-            names = x.names.dictionary
-            langs, total = np.unique(x.lang, return_counts=True)
-            yield _counted(names.take(pa.array(langs)), 0, pa.array([""] * len(langs), pa.string()), total)
-            for k, marked in enumerate(marks, 1):
-                at = x.starts(k)
-                prints = x.prints(at, k)
-                keep = marked.has(prints)
-                at = at[keep]
-                _, first, group = np.unique(prints[keep], return_index=True, return_inverse=True)
-                held = at[first][group]
-                same = x.lang[at] == x.lang[held]
-                for step in range(k):
-                    same &= number[at + step] == number[held + step]
-                counts = np.bincount(group[same], minlength=len(first))
-                if not same.all():
-                    odd = at[~same]
-                    spelled = np.stack([x.lang[odd], *[number[odd + step] for step in range(k)]])
-                    _, other, n = np.unique(spelled, axis=1, return_index=True, return_counts=True)
-                    at, first, counts = np.append(at, odd), np.append(first, len(at) + other), np.append(counts, n)
-                place = at[first]
-                yield _counted(names.take(pa.array(x.lang[place])), k, x.phrases(place, k), counts)
-
-    return run
+    def count(x: Sequences) -> Iterator[pa.RecordBatch]:
+        number = x.words()
+        names = x.names.dictionary
+        langs, total = np.unique(x.lang, return_counts=True)
+        yield _counted(names.take(pa.array(langs)), 0, pa.array([""] * len(langs), pa.string()), total)
+        for k, marked in enumerate(marks, 1):
+            at = x.starts(k)
+            prints = x.prints(at, k)
+            keep = marked.has(prints)
+            at = at[keep]
+            _, first, group = np.unique(prints[keep], return_index=True, return_inverse=True)
+            held = at[first][group]
+            same = x.lang[at] == x.lang[held]
+            for step in range(k):
+                same &= number[at + step] == number[held + step]
+            counts = np.bincount(group[same], minlength=len(first))
+            if not same.all():
+                odd = at[~same]
+                spelled = np.stack([x.lang[odd], *[number[odd + step] for step in range(k)]])
+                _, other, n = np.unique(spelled, axis=1, return_index=True, return_counts=True)
+                at, first, counts = np.append(at, odd), np.append(first, len(at) + other), np.append(counts, n)
+            place = at[first]
+            yield _counted(names.take(pa.array(x.lang[place])), k, x.phrases(place, k), counts)
+
+    return _per_slice(count)
 
 
 def _counted(langs: pa.Array, k: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:

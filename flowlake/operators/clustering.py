@@ -49,12 +49,17 @@ def slot_of(value: Column, bounds: list[int]) -> Column:
         return F.lit(0)
     table = F.array(*[F.lit(b) for b in bounds])
     steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        # A step beyond the last bound finds null and is not taken.
-        lambda at, step: F.when(F.get(table, at + step - 1) <= value, at + step).otherwise(at),
+    # As element of an array ``value`` is worked out once, not at every step.
+    slots = F.transform(
+        F.array(value),
+        lambda known: F.aggregate(
+            steps,
+            F.lit(0),
+            # A step beyond the last bound finds null and is not taken.
+            lambda at, step: F.when(F.get(table, at + step - 1) <= known, at + step).otherwise(at),
+        ),
     )
+    return F.get(slots, F.lit(0))
 
 
 def time_slot(nanos: Column) -> Column:

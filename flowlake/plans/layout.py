@@ -16,7 +16,8 @@ from flowlake.schema import DECODED
 from flowlake.sources.files import qualified
 from flowlake.sources.footers import file_footers, footers_readable, list_parquet, scanned_footers
 
-FILE_ROWS = 10_000_000  # rows of a compacted file, some 500 MB
+# Rows of a compacted file, some 100 MB.  One task sorts them, at some 300 bytes each.
+FILE_ROWS = 2_000_000
 
 
 def file_rows(spark: SparkSession, glob: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,9 @@ UNIGRAM, BPE = 1, 2
 # Words whose ids a task remembers; then it starts afresh.
 WORDS_HELD = 200_000
 
+# Words that a BPE model encodes in one call.
+RUN = 32
+
 # Threads that a task encodes a batch with.
 THREADS = 2
 
@@ -164,6 +168,40 @@ def build_tokenizer(model: Model, marked: bool = False):
     return tokenizer
 
 
+@dataclass
+class Coded:
+    """Ids of some texts in a row, how many each has, and whether they are equal to
+    the reference library's and decode to the text."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    parity: np.ndarray
+    back: np.ndarray
+
+    @classmethod
+    def none(cls) -> Coded:
+        return cls(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool))
+
+    def then(self, other: Coded) -> Coded:
+        return Coded(*[np.concatenate([getattr(self, f.name), getattr(other, f.name)]) for f in fields(self)])
+
+
+def _sizes(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32)
+
+
+def _same_lists(flat: np.ndarray, sizes: np.ndarray, other: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    same = sizes == other_sizes
+    left, right = np.repeat(same, sizes), np.repeat(same, other_sizes)
+    rows = np.repeat(np.arange(len(sizes)), sizes)[left]
+    same[rows[flat[left] != other[right]]] = False
+    return same
+
+
 class Encoder:
     """Encodes texts, and compares what it encodes with the reference library.
 
@@ -188,14 +226,51 @@ class Encoder:
             and not any(kind == USER for _, _, kind in self.model.pieces)
             and not any(SPACE in piece.lstrip(SPACE) for piece, _, _ in self.model.pieces)
         )
-        self.held: dict[str, tuple[list[int], bool, bool]] = {}
-
-    def _checked(self, texts: list[str], tokenizer, marker: str) -> list[tuple[list[int], bool, bool]]:
-        ids = [x.ids for x in tokenizer.encode_batch_fast([marker + x for x in texts], add_special_tokens=False)]
+        # Then words in a row, one marker ahead of each, give the ids of each, and a
+        # piece that starts with the marker is the first of a word.
+        self.by_run = self.model.kind == BPE and any(piece == SPACE and kind == NORMAL for piece, _, kind in self.model.pieces)
+        self.opens = np.array([piece.startswith(SPACE) for piece, _, _ in self.model.pieces])
+        # What pieces are shown as; null for those that are not their own text.
+        own = [piece.replace(SPACE, " ") if kind == NORMAL and not piece.startswith("<0x") else None for piece, _, kind in self.model.pieces]
+        self.shown = pa.array(own, pa.large_string())
+        self.places: dict[str, int] = {}
+        self.held = Coded.none()
+
+    def _ids(self, texts: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        if tokenizer is self.marked:
+            if self.by_run:
+                runs = [SPACE + SPACE.join(texts[i : i + RUN]) for i in range(0, len(texts), RUN)]
+                flat = _flat([x.ids for x in tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+                starts = np.flatnonzero(self.opens[flat])
+                return flat, np.diff(np.append(starts, len(flat)))
+            texts = [SPACE + x for x in texts]
+        lists = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return _flat(lists), _sizes(lists)
+
+    def _back(self, flat: np.ndarray, sizes: np.ndarray, texts: list[str], tokenizer) -> np.ndarray:
+        """Whether the ids decode to the texts.
+
+        Ids of plain pieces decode to the pieces in a row; what differs from the
+        text by that, or has other ids, is decoded by the tokenizer."""
+        ends = np.append(0, np.cumsum(sizes))
+        shown = pa.LargeListArray.from_arrays(pa.array(ends), self.shown.take(pa.array(flat)))
+        lead, none = (pa.scalar(x, pa.large_string()) for x in (" " if self.model.dummy_prefix else "", ""))
+        plain = pc.binary_join_element_wise(lead, pa.array(texts, pa.large_string()), none)
+        same = pc.fill_null(pc.equal(pc.binary_join(shown, none), plain), False).to_numpy(zero_copy_only=False).copy()
+        rest = np.flatnonzero(~same)
+        if len(rest):
+            back = tokenizer.decode_batch([flat[ends[i] : ends[i + 1]].tolist() for i in rest], skip_special_tokens=False)
+            same[rest] = [b == texts[i] for i, b in zip(rest, back)]
+        return same
+
+    def _checked(self, texts: list[str], tokenizer) -> Coded:
+        flat, sizes = self._ids(texts, tokenizer)
         others = self.other.encode(texts, num_threads=1)
-        back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-        plain = [" ".join(filter(None, x.split(" "))) for x in texts] if self.model.single_spaces else texts
-        return [(i, i == o, b == t) for i, o, b, t in zip(ids, others, back, plain)]
+        parity = _same_lists(flat, sizes, _flat(others), _sizes(others))
+        if tokenizer is self.whole and self.model.single_spaces:
+            texts = [" ".join(filter(None, x.split(" "))) for x in texts]
+        return Coded(flat, sizes, parity, self._back(flat, sizes, texts, tokenizer))
 
     def encode(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, np.ndarray]:
         """(ids, equal to the other library's, decodes to the text) of each text."""
@@ -208,28 +283,29 @@ class Encoder:
         lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
         coded = pc.list_flatten(lists).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.held) + len(distinct) > WORDS_HELD:
-            self.held = {}
-        new = [word for word in distinct if word not in self.held]
-        self.held.update(zip(new, self._checked(new, self.marked, SPACE)))
-        index = coded.indices.to_numpy(zero_copy_only=False)
+        new = [word for word in distinct if word not in self.places]
+        if len(self.places) + len(new) > WORDS_HELD:
+            self.places, self.held, new = {}, Coded.none(), distinct
+        if new:
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.held = self.held.then(self._checked(new, self.marked))
+        found = self.held
+        places = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        index = places[coded.indices.to_numpy(zero_copy_only=False)]
         rows = np.repeat(plain, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        found = [self.held[word] for word in distinct]
         if odd.any():
             at = np.flatnonzero(odd)
-            index = np.append(index, len(found) + np.arange(len(at)))
-            found += self._checked(texts.take(pa.array(at)).to_pylist(), self.whole, "")
+            index = np.append(index, len(found.sizes) + np.arange(len(at)))
+            found = found.then(self._checked(texts.take(pa.array(at)).to_pylist(), self.whole))
             order = np.argsort(np.append(rows, at), kind="stable")
             index, rows = index[order], np.append(rows, at)[order]
-        sizes = np.fromiter((len(x[0]) for x in found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x[0]), np.int32, int(sizes.sum()))
-        counts = sizes[index]
-        before = np.append(0, np.cumsum(counts))
-        at = np.repeat((np.cumsum(sizes) - sizes)[index] - before[:-1], counts) + np.arange(before[-1])
+        before = np.append(0, np.cumsum(found.sizes[index]))
         ends = np.append(0, before[np.searchsorted(rows, np.arange(n), side="right")])
-        wrong = [np.bincount(rows, np.array([not x[k] for x in found])[index] if len(index) else None, n) for k in (1, 2)]
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[at]))
-        return ids, wrong[0] == 0, wrong[1] == 0
+        flat = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(found.sizes)), found.ids).take(pa.array(index)).flatten()
+        parity, back = np.ones(n, bool), np.ones(n, bool)
+        parity[rows[~found.parity[index]]] = False
+        back[rows[~found.back[index]]] = False
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), parity, back
 
 
 @lru_cache(maxsize=1)

@@ -46,6 +46,38 @@ def test_pieces_match_the_other_library(spark, docs):
     assert pieces.encode_pieces(table.limit(0), path).collect() == []
 
 
+class Counted:
+    """A tokenizer that counts the texts given to it."""
+
+    def __init__(self, inner):
+        self.inner, self.encoded, self.decoded = inner, 0, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.encoded += len(texts)
+        return self.inner.encode_batch_fast(texts, **options)
+
+    def decode_batch(self, ids, **options):
+        self.decoded += len(ids)
+        return self.inner.decode_batch(ids, **options)
+
+
+@pytest.mark.parametrize("held", [50, 200_000])
+def test_words_are_encoded_in_runs(prose, monkeypatch, held):
+    """The time of a word went to calls for it alone, to encode and to decode it."""
+    monkeypatch.setattr(pieces, "WORDS_HELD", held)
+    encoder = pieces.Encoder(public_tokenizers.path("piece_bpe_32k.model"), 1)
+    counted = encoder.marked = Counted(encoder.marked)
+    strange = ["<0x41>", "漢字", "😀x", "\x00", "a\u00a0b", "<s>", "<unk>"]
+    slices = [prose(3000).split() + strange for _ in range(4)]
+    distinct = sum(len(set(words)) for words in slices)
+    for words in slices:
+        texts = [" ".join(words), words[0], "", " odd", *strange]
+        ids, parity, back = encoder.encode(pa.array(texts, pa.large_string()))
+        assert ids.to_pylist() == [encoder.other.encode(x) for x in texts]
+        assert parity.all() and back.all()
+    assert counted.encoded < distinct / 20 and counted.decoded < distinct / 20
+
+
 def _message(*parts):
     out = b""
     for number, value in parts:

@@ -21,6 +21,9 @@ SIMILARITY = Fraction(4, 5)
 # that makes up more than a bucket's share of all words has about its own count.
 BUCKET_BITS = 20
 
+# Neighbouring buckets whose counts a task passes on as one row.
+STRETCH = 256
+
 # Lines that share a token compared in one block of lanes.
 BLOCK_ROWS = 20_000
 
@@ -50,6 +53,21 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, texts in text_slices(batches, "text"):
         buckets = Words(texts).hashes() >> np.uint64(64 - BUCKET_BITS)
         total += np.bincount(buckets.astype(np.int64), minlength=len(total))
+    # In stretches of buckets, as a row for each of them would cost more than its words.
+    stretches = total.reshape(-1, STRETCH)
+    used = np.flatnonzero(stretches.any(axis=1))
+    ends = pa.array(np.arange(len(used) + 1) * STRETCH, pa.int32())
+    yield pa.record_batch(
+        [pa.array(used), pa.ListArray.from_arrays(ends, pa.array(stretches[used].ravel()))], names=["stretch", "counts"]
+    )
+
+
+def _summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << BUCKET_BITS, np.int64).reshape(-1, STRETCH)
+    for batch in batches:
+        counts = batch.column("counts").flatten().to_numpy().reshape(-1, STRETCH)
+        np.add.at(total, batch.column("stretch").to_numpy(), counts)
+    total = total.ravel()
     used = np.flatnonzero(total)
     yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
 
@@ -57,12 +75,29 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bucket_counts(docs: DataFrame) -> np.ndarray:
     """Words per hash bucket over all documents."""
     total = np.zeros(1 << BUCKET_BITS, np.int64)
-    rows = docs.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket")
-    counts = rows.agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select("text").mapInArrow(_counts, "stretch long, counts array<long>")
+    counts = rows.repartition("stretch").mapInArrow(_summed_counts, "bucket long, n long").toArrow()
     total[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
     return total
 
 
+def _by_line(owner: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Order by owner, which ascends, and token.
+
+    One sort of numbers made up of the line's and the top bits of the token; only
+    if two unlike tokens of a line share these are both sorted in full."""
+    line = np.cumsum(np.append(False, owner[1:] != owner[:-1])[: len(owner)], dtype=np.uint64)
+    bits = int(line[-1]).bit_length() if len(line) else 0
+    if not bits:
+        return np.argsort(tokens, kind="stable")
+    key = line << np.uint64(64 - bits) | tokens >> np.uint64(bits)
+    order = np.argsort(key)
+    key, by_key = key[order], tokens[order]
+    if ((key[1:] == key[:-1]) & (by_key[1:] != by_key[:-1])).any():
+        return np.lexsort((tokens, owner))
+    return order
+
+
 class _Lines:
     """Token sets of the lines of a slice of documents.
 
@@ -81,7 +116,7 @@ class _Lines:
         tokens = (rank[hashes >> np.uint64(64 - BUCKET_BITS)] << np.uint64(64 - BUCKET_BITS)) | (
             hashes & low
         )
-        order = np.lexsort((tokens, owner))
+        order = _by_line(owner, tokens)
         tokens = tokens[order]
         new = np.append(True, (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1]))[: len(tokens)]
         self.tokens, owner = tokens[new], owner[new]
@@ -116,6 +151,15 @@ def _wide_parity(x: _Lines, spread: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), _signed(flat), mask=pa.array(~long))
 
 
+def _firsts(d1: np.ndarray, d2: np.ndarray, n: np.ndarray, *line: np.ndarray) -> np.ndarray:
+    """Places of the first line of each set, by the first digest."""
+    order = np.lexsort((*line[::-1], n, d2, d1))
+    same = np.zeros(len(order), bool)
+    if len(order):
+        same[1:] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (d1, d2, n)])
+    return order[~same]
+
+
 def _sets(rank: np.ndarray, similarity: Fraction):
     """Per line: digest and size of its token set, parity bits, prefix.
 
@@ -133,10 +177,10 @@ def _sets(rank: np.ndarray, similarity: Fraction):
             within = np.arange(len(x.tokens)) - np.repeat(x.starts[:-1], n)
             kept = within < np.repeat(prefix, n)
             rows = pa.array(x.doc)
-            yield pa.record_batch(
+            digests = x.summed(spread, np.add), x.summed(mixed(spread ^ np.uint64(0x5BD1E995)), np.add)
+            made = pa.record_batch(
                 [
-                    _signed(x.summed(spread, np.add)),
-                    _signed(x.summed(mixed(spread ^ np.uint64(0x5BD1E995)), np.add)),
+                    *[_signed(digest) for digest in digests],
                     batch.column("doc_id").take(rows),
                     batch.column("sig").take(rows),
                     pa.array(x.line, pa.int32()),
@@ -152,10 +196,28 @@ def _sets(rank: np.ndarray, similarity: Fraction):
                 ],
                 names=["d1", "d2", *_LINE, "n", *_PARITY, "wide", "prefix"],
             )
+            yield made.take(pa.array(_firsts(*digests, n, *[made.column(name).to_numpy() for name in _LINE])))
 
     return run
 
 
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each set, of rows sorted by ``d1``.  Those of a batch's
+    last digest wait for the next."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.concat_batches([held, batch]) if held else batch
+        rows = rows.take(pa.array(_firsts(*[rows.column(name).to_numpy() for name in ("d1", "d2", "n", *_LINE)])))
+        d1 = rows.column("d1").to_numpy()
+        cut = int(np.searchsorted(d1, d1[-1]))
+        yield rows.slice(0, cut).drop_columns(["d1", "d2"])
+        held = rows.slice(cut)
+    if held:
+        yield held.drop_columns(["d1", "d2"])
+
+
 def _line_hash(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mixed(mixed(doc.view(np.uint64)) + place.view(np.uint64))
 
@@ -211,26 +273,27 @@ def _candidates(similarity: Fraction, most: int | None):
     """Pairs of lines (later, earlier) that share a prefix token and pass the
     length, positional and parity filters; only the ``most`` earliest of each later
     line and bucket, with ``more`` if there may be others.  Rows come sorted by
-    bucket and line."""
+    bucket; ``size`` is a line's size, a bit if it asks, and the token's place."""
     a, b = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["bucket"]):
             sizes = np.diff(starts)
-            alone = sizes == 1
-            if alone.any():
-                table, sizes = table.filter(pa.array(~np.repeat(alone, sizes))), sizes[~alone]
-                starts = np.append(0, np.cumsum(sizes))
-            if not len(sizes):
+            group = np.repeat(np.arange(len(sizes)), sizes)
+            shared = np.flatnonzero(np.repeat(sizes > 1, sizes))
+            if not len(shared):
                 continue
+            at = [table.column(name).to_numpy()[shared] for name in _AT]
+            table = table.take(pa.array(shared[np.lexsort((*at[::-1], group[shared]))])).combine_chunks()
+            starts = np.append(0, np.cumsum(sizes[sizes > 1]))
             size = table.column("size").to_numpy()
-            n, left = size >> 32, (size >> 32) - 1 - (size & 0xFFFFFFFF)
+            n, left = size >> 33, (size >> 33) - 1 - (size & 0xFFFFFFFF)
             parity = [table.column(name).to_numpy().view(np.uint64) for name in _PARITY]
             lists = table.column("wide").combine_chunks()
             wide = lists.flatten().to_numpy().view(np.uint64)
             wide_at = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
             begin = np.repeat(starts[:-1], np.diff(starts))
-            open_ = np.flatnonzero(table.column("asks").to_numpy())
+            open_ = np.flatnonzero(size >> 32 & 1)
             open_ = open_[open_ > begin[open_]]
             found, more = np.zeros(len(n), np.int32), np.zeros(len(n), bool)
             later, earlier = [], []
@@ -329,12 +392,9 @@ def kept_lines(
     )
     # Equal sets are one class, known by its first line; later ones go.
     classes = stored(
-        lines.groupBy("d1", "d2", "n")
-        .agg(
-            F.min(F.struct(*_LINE)).alias("at"),
-            *[F.first(name).alias(name) for name in (*_PARITY, "wide", "prefix")],
-        )
-        .select("at.*", "n", *_PARITY, "wide", "prefix"),
+        lines.repartition("d1", "d2", "n")
+        .sortWithinPartitions("d1")
+        .mapInArrow(_classes, lines.drop("d1", "d2").schema),
         "lines",
     )
     # Only tokens of buckets this frequent can exceed a block.
@@ -343,23 +403,29 @@ def kept_lines(
     placed = classes.withColumn("place", _place())
 
     def candidates(rows: DataFrame, most: int | None) -> DataFrame:
-        rare = F.shiftrightunsigned("token", 64 - BUCKET_BITS) < frequent
+        # Lines whose last token is rare have no other; they are not unfolded to see.
+        rare = (F.shiftrightunsigned("last", 64 - BUCKET_BITS) < frequent) | (
+            F.shiftrightunsigned("token", 64 - BUCKET_BITS) < frequent
+        )
         dealt = in_lanes(rows, ["token"], _AT, block_rows, rare).select(
             # Two buckets of one hash are compared as one, which costs a glance.
             F.xxhash64("token", "low", "high").alias("bucket"),
             *_AT,
-            F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("size"),
+            F.shiftleft(F.col("n").cast("long"), 33)
+            .bitwiseOR(F.shiftleft(F.col("asks").cast("long"), 32))
+            .bitwiseOR(F.col("pos").cast("long"))
+            .alias("size"),
             *_PARITY,
             "wide",
-            "asks",
         )
         return (
             dealt.repartition("bucket")
-            .sortWithinPartitions("bucket", *_AT)
+            .sortWithinPartitions("bucket")
             .mapInArrow(_candidates(similarity, most), "doc_id long, place long, o_doc_id long, o_place long, more boolean")
         )
 
-    tokens = placed.select(*_AT, "n", *_PARITY, "wide", F.posexplode("prefix").alias("pos", "token"))
+    last = F.element_at("prefix", -1).alias("last")
+    tokens = placed.select(*_AT, "n", *_PARITY, "wide", last, F.posexplode("prefix").alias("pos", "token"))
     # At most FIRST per prefix token and lane of a line, and then of the line.
     asked = (
         candidates(tokens.withColumn("asks", F.lit(True)), first)

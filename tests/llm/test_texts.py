@@ -4,8 +4,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from flowlake.llm import lines
 from flowlake.llm.lines import dedup_lines
 from flowlake.llm.substrings import remove_repeats
 
@@ -171,3 +174,45 @@ def test_same_doc_id_with_two_texts(spark):
     assert hashlib.sha256("".join(sorted(r.text for r in kept if r.doc_id == 1)).encode()).hexdigest()
     assert {r.n_removed for r in kept if r.doc_id == 1} == {0}
     assert [r.text for r in kept if r.doc_id == 2] == [""]
+
+
+def test_tasks_pass_on_counts_in_stretches(spark, prose):
+    """A task gave a row for each of a million buckets, and all lines were sorted
+    ahead of a shuffle that hardly any of them was spared."""
+    texts = [prose(n) for n in (1, 50, 4000, 4000)] + [None, ""]
+    docs = spark.createDataFrame([(x,) for x in texts], "text string")
+    words = [w for text in texts if text for w in words_of(text)]
+    counts = lines.bucket_counts(docs.repartition(3))
+    one = pa.array([" ".join(words)], pa.large_string())
+    buckets = lines.Words(one).hashes() >> np.uint64(64 - lines.BUCKET_BITS)
+    assert np.array_equal(counts, np.bincount(buckets.astype(np.int64), minlength=1 << lines.BUCKET_BITS))
+    rows = list(lines._counts([pa.record_batch([one], names=["text"])]))
+    assert sum(x.num_rows for x in rows) <= (1 << lines.BUCKET_BITS) // lines.STRETCH
+    assert not lines.bucket_counts(docs.limit(0)).any()
+
+
+def test_order_of_tokens_that_share_their_top_bits():
+    dice = np.random.default_rng(3)
+    for top in (1, 1 << 20, 1 << 63):
+        owner = np.sort(dice.integers(0, 9, 500)) << 32
+        tokens = dice.integers(0, 60, 500).astype(np.uint64) * np.uint64(top)
+        order = lines._by_line(owner, tokens)
+        want = np.lexsort((tokens, owner))
+        assert np.array_equal(tokens[order], tokens[want]) and np.array_equal(owner[order], owner[want])
+    assert not len(lines._by_line(np.zeros(0, np.int64), np.zeros(0, np.uint64)))
+
+
+def test_a_slice_and_a_task_leave_one_line_of_each_set():
+    """Sets that go on from batch to batch, and two that share a digest."""
+    dice = np.random.default_rng(5)
+    names = ["d1", "d2", "doc_id", "sig", "line", "n"]
+    rows = np.stack([dice.integers(0, k, 400) for k in (12, 2, 50, 2, 3, 2)], axis=1)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    best = {}
+    for d1, d2, *line, n in rows.tolist():
+        best[d1, d2, n] = min(best.get((d1, d2, n), line), line)
+    for size in (1, 7, 400):
+        batches = [pa.record_batch(list(rows[i : i + size].T.copy()), names=names) for i in range(0, 400, size)]
+        got = [tuple(r.values()) for x in lines._classes(iter(batches)) for r in x.to_pylist()]
+        assert sorted(got) == sorted((*line, n) for (_, _, n), line in best.items())
+    assert list(lines._classes(iter([]))) == []
